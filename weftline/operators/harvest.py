@@ -180,10 +180,13 @@ def _target(ident: Column, path: Column) -> Column:
     )
 
 
-def _leaf_targets() -> Column:
-    table = F.array(_target(pt.leaf_table(F.col("node"), F.col("detail")), F.lit(None).cast("string")))
-    files = F.transform(pt.leaf_paths(F.col("detail")), lambda p: _target(F.lit(None).cast("string"), p))
-    return F.when(F.col("kind") == "table", table).when(F.col("kind") == "files", files)
+def leaf_targets(node: Column, detail: Column) -> Column:
+    """What a leaf reads, as an array of targets; null for leaves that are neither table nor files."""
+    nothing = F.lit(None).cast("string")
+    kind = pt.leaf_kind(node, detail)
+    table = F.array(_target(pt.leaf_table(node, detail), nothing))
+    files = F.transform(pt.leaf_paths(detail), lambda p: _target(nothing, p))
+    return F.when(kind == "table", table).when(kind == "files", files)
 
 
 def input_targets(chosen: DataFrame, leaves: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
@@ -193,7 +196,7 @@ def input_targets(chosen: DataFrame, leaves: DataFrame, settings: JobSettings =
     if settings.strict_view:
         reading = reading.where((command != pt.CREATE_VIEW) | F.col("simple_shape"))
     known = leaves.where(F.col("kind").isin("table", "files")).select(
-        *STATEMENT, "leaf_pos", _leaf_targets().alias("targets")
+        *STATEMENT, "leaf_pos", leaf_targets(F.col("node"), F.col("detail")).alias("targets")
     )
     span = F.lit(1 << 20).cast("bigint")
     met = (

@@ -10,6 +10,7 @@ def local_session(cores: int = 8, partitions: int = 8, **extra: str) -> SparkSes
         SparkSession.builder.master(f"local[{cores}]")
         .appName("weftline")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")

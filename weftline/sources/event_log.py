@@ -1,12 +1,14 @@
 """Spark event logs as tables.
 
 A log line is one JSON event. ``read_lines`` keeps only the kinds used here, by a prefix test that
-runs before any JSON parsing, and ``stage`` writes them once as Parquet partitioned by kind, so that
-later jobs read just the kind they need instead of the whole log again.
+runs before any JSON parsing. ``stage`` writes the events once as typed Parquet tables; jobs over a
+large fleet read those, so that they scan only the kinds and columns they need.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, fields
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,11 +81,6 @@ def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return raw.select(app.alias("app_id"), kind_of(F.col("value")).alias("kind"), "value").where("kind is not null")
 
 
-def stage(lines: DataFrame, target: str) -> None:
-    """Write ``lines`` once, partitioned by kind."""
-    lines.write.mode("overwrite").partitionBy("kind").parquet(target)
-
-
 def _of_kind(lines: DataFrame, kind: str, schema: str) -> DataFrame:
     # A malformed line parses to nulls; it then matches nothing and stops nothing.
     return lines.where(F.col("kind") == kind).withColumn("e", F.from_json("value", schema))
@@ -148,15 +145,24 @@ def ended_executions(lines: DataFrame) -> DataFrame:
     )
 
 
-def successful_executions(lines: DataFrame) -> DataFrame:
-    """Executions that ended without an error. A failed or unfinished one leaves no lineage."""
-    good = ended_executions(lines).where("not failed").select("app_id", "execution_id").distinct()
-    return started_executions(lines).join(good, ["app_id", "execution_id"], "left_semi")
+def successful_executions(started: DataFrame, ended: DataFrame) -> DataFrame:
+    """Executions that ended without an error and belong to a statement that did.
+
+    A failed or unfinished statement leaves no lineage, even where a part of it succeeded. The test
+    runs on ids alone; plan text meets its result once.
+    """
+    ids = started.select("app_id", "execution_id", "root_execution_id")
+    good = ended.where("not failed").select("app_id", "execution_id").distinct()
+    roots = good.withColumnRenamed("execution_id", "root_execution_id")
+    kept = ids.join(good, ["app_id", "execution_id"], "left_semi").join(
+        roots, ["app_id", "root_execution_id"], "left_semi"
+    )
+    return started.join(kept.select("app_id", "execution_id"), ["app_id", "execution_id"], "left_semi")
 
 
-def batch_executions(lines: DataFrame) -> DataFrame:
+def batch_executions(started: DataFrame, ended: DataFrame) -> DataFrame:
     """Successful executions that belong to no streaming query."""
-    return successful_executions(lines).where("query_id is null")
+    return successful_executions(started.where("query_id is null"), ended)
 
 
 def catalog_events(lines: DataFrame) -> DataFrame:
@@ -186,12 +192,59 @@ def ml_events(lines: DataFrame) -> DataFrame:
     )
 
 
-def query_progress(lines: DataFrame) -> DataFrame:
+def query_progress(lines: DataFrame, with_time: bool = False) -> DataFrame:
     """One row per finished micro-batch with its sources and sink."""
+    time = [F.col("e.progress.timestamp").cast("timestamp").alias("progress_time")] if with_time else []
     return _of_kind(lines, "progress", _PROGRESS).select(
         "app_id",
         F.col("e.progress.id").alias("query_id"),
         F.col("e.progress.batchId").alias("batch_id"),
         F.col("e.progress.sources").alias("sources"),
         F.col("e.progress.sink.description").alias("sink_description"),
+        *time,
     )
+
+
+@dataclass(frozen=True)
+class EventLog:
+    """The events of a set of logs, one table per kind."""
+
+    started: DataFrame
+    ended: DataFrame
+    progress: DataFrame
+    catalog: DataFrame
+    ml: DataFrame
+    applications: DataFrame
+
+    def executions(self) -> DataFrame:
+        """All successful executions, batch and streaming."""
+        return successful_executions(self.started, self.ended)
+
+
+def from_lines(lines: DataFrame) -> EventLog:
+    """The event tables computed from log lines each time they are read."""
+    return EventLog(
+        started_executions(lines),
+        ended_executions(lines),
+        query_progress(lines),
+        catalog_events(lines),
+        ml_events(lines),
+        applications(lines),
+    )
+
+
+def stage(lines: DataFrame, target: str) -> EventLog:
+    """Write the event tables under ``target`` and return them as written.
+
+    The lines are split by kind first, so the whole text is read once.
+    """
+    spark = lines.sparkSession
+    lines.write.mode("overwrite").partitionBy("kind").parquet(f"{target}/lines")
+    split = from_lines(spark.read.schema(lines.schema).parquet(f"{target}/lines"))
+    for part in fields(EventLog):
+        getattr(split, part.name).write.mode("overwrite").parquet(f"{target}/{part.name}")
+    return read_staged(spark, target)
+
+
+def read_staged(spark: SparkSession, target: str) -> EventLog:
+    return EventLog(*[spark.read.parquet(f"{target}/{part.name}") for part in fields(EventLog)])
