@@ -47,7 +47,7 @@ def main(folder: str, wanted: list[str]) -> int:
     from weftline.session import local_session
 
     spark = local_session()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     connection = duck(folder)
     oracle, bad = plans.oracle_sql(), 0
     for key, run in plans.queries().items():
@@ -71,7 +71,7 @@ def main(folder: str, wanted: list[str]) -> int:
                 print("  only sql  ", list((expected - got).items())[:4])
         except Exception as problem:  # report and go on with the next query
             bad += 1
-            print(f"{key}: FAILED {type(problem).__name__} {str(problem)[:1500]}", flush=True)
+            print(f"{key}: FAILED {type(problem).__name__} {str(problem).splitlines()[0][:600]}", flush=True)
     return bad
 
 

@@ -264,7 +264,7 @@ def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     altered = F.col("since") > 0
     versions = F.when(key % 3 == 0, F.array(F.lit(0), F.lit(5000))).otherwise(F.array(F.lit(0)))
     rows = table(spark, folder, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    return rows.withColumn("since", F.explode(versions).cast("bigint")).select(
+    return rows.withColumn("since", F.explode(versions.cast("array<bigint>"))).select(
         *_catalog_scope(key),
         text("t<n>", n=key).alias("name"),
         "since",
@@ -506,11 +506,12 @@ def statement_plans(spark: SparkSession, folder: str) -> DataFrame:
         _kind().isin(2, 13), _written("InsertIntoHadoopFsRelationCommand", "file:/wh/c<k>, false, ORC, [path=file:/wh/c<k>], Overwrite, [x]", **v)
     ).when(_kind() == 9, _plan("* Project (4)", "\n(4) Project\nOutput [1]: [x#1]", 0))
     rows = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    running = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
     return rows.select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("c"),
         (F.col("o_orderpriority") == "5-LOW").alias("failed"),
-        ~((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")).alias("finished"),
+        (~running).alias("finished"),
     ).select("*", plan.alias("plan"), nested.alias("nested_plan"))
 
 
