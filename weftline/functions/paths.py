@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.settings import JobSettings
@@ -29,8 +29,7 @@ def authority(uri: Column) -> Column:
 
 def _tidy(path: Column) -> Column:
     """One slash between segments and none at the end (the root stays ``/``)."""
-    single = F.regexp_replace(path, "/{2,}", "/")
-    return F.when(F.length(single) > 1, F.regexp_replace(single, "/$", "")).otherwise(single)
+    return F.regexp_replace(F.regexp_replace(path, "/{2,}", "/"), "(?<=.)/$", "")
 
 
 def _without_dots(path: Column) -> Column:
@@ -47,15 +46,22 @@ def _without_dots(path: Column) -> Column:
 
 def _decoded(path: Column) -> Column:
     """Undo percent escapes. A plus sign is a plain character in a path."""
-    plain = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.when(path.contains("%"), F.coalesce(plain, path)).otherwise(path)
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
 
 
 def plain_path(uri: Column) -> Column:
-    """Path of a URI without scheme, authority, query and fragment."""
+    """Path of a URI without scheme, authority, query and fragment.
+
+    The functions below take it as ``plain``. Put it in a column of its own first (``with_plain``),
+    so that it is worked out once per row however many of them use it.
+    """
     return _tidy(_decoded(_without_dots(F.regexp_extract(uri, _RAW_PATH, 1))))
 
 
+def with_plain(frame: DataFrame, uri: str = "uri", plain: str = "plain") -> DataFrame:
+    return frame.withColumn(plain, plain_path(F.col(uri)))
+
+
 def resolve(path: Column, settings: JobSettings = JobSettings()) -> Column:
     """Full URI of ``path``: unchanged if it names a scheme, else placed on the default filesystem.
 
@@ -82,26 +88,25 @@ def s3_bucket_name(uri: Column) -> Column:
     return F.concat(F.lit("s3://"), authority(uri))
 
 
-def s3_dir(uri: Column) -> Column:
-    return F.regexp_replace(plain_path(uri), "[^/]*$", "")
+def s3_dir(plain: Column) -> Column:
+    return F.regexp_replace(plain, "[^/]*$", "")
 
 
-def s3_object(uri: Column) -> Column:
-    return F.regexp_replace(plain_path(uri), "^.*/", "")
+def s3_object(plain: Column) -> Column:
+    return F.substring_index(plain, "/", -1)
 
 
-def path_qualified_name(uri: Column) -> Column:
+def path_qualified_name(uri: Column, plain: Column) -> Column:
     """S3 objects are named ``s3://bucket/dir/object`` whatever the input scheme; other URIs keep their text."""
-    s3 = F.concat(s3_bucket_name(uri), s3_dir(uri), s3_object(uri))
-    return F.when(is_s3(uri), s3).otherwise(uri)
+    return F.when(is_s3(uri), F.concat(s3_bucket_name(uri), plain)).otherwise(uri)
 
 
-def path_name(uri: Column) -> Column:
-    return F.when(is_s3(uri), s3_object(uri)).otherwise(F.lower(plain_path(uri)))
+def path_name(uri: Column, plain: Column) -> Column:
+    return F.when(is_s3(uri), s3_object(plain)).otherwise(F.lower(plain))
 
 
-def path_attr(uri: Column) -> Column:
-    return F.when(is_s3(uri), plain_path(uri)).otherwise(F.lower(plain_path(uri)))
+def path_attr(uri: Column, plain: Column) -> Column:
+    return F.when(is_s3(uri), plain).otherwise(F.lower(plain))
 
 
 def path_cluster(uri: Column) -> Column:

@@ -137,13 +137,14 @@ def database_drops(
     line = line.where("event <> 'Definition'").withColumn("memory", F.coalesce(memory, used))
     line = asof.carry_forward(line, ["app_id", "db"], "at", "memory", "remembered", width, strict=True)
 
-    uri = paths.resolve(F.col("remembered.location"), settings)
+    drops = line.where("event = 'DropDatabase'").withColumn("uri", paths.resolve(F.col("remembered.location"), settings))
+    drops = paths.with_plain(drops)
+    uri = F.col("uri")
     drop_db = mutations.delete(F.lit(names.SPARK_DB), names.db_name(F.col("prefix"), F.col("db")), 0)
-    drop_path = mutations.delete(paths.path_type(uri), paths.path_qualified_name(uri), 0)
+    drop_path = mutations.delete(paths.path_type(uri), paths.path_qualified_name(uri, F.col("plain")), 0)
     rows = F.when(F.coalesce(F.col("remembered.held"), F.lit(False)), F.array(drop_db, drop_path)).otherwise(
         F.array(drop_db)
     )
-    drops = line.where("event = 'DropDatabase'")
     return drops.select("app_id", ((F.col("at") - 1) / 2).cast("bigint").alias("seq"), F.inline(rows))
 
 

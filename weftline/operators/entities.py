@@ -187,9 +187,9 @@ def refreshed(event_definition: Column, catalog_definition: Column) -> Column:
     return F.coalesce(catalog_definition, event_definition)
 
 
-def path_entities(uri: Column) -> Column:
+def path_entities(uri: Column, plain: Column) -> Column:
     """Entities of a path: one, or for an S3 object the chain object, directory, bucket."""
-    bucket, folder, thing = paths.s3_bucket_name(uri), paths.s3_dir(uri), paths.s3_object(uri)
+    bucket, folder, thing = paths.s3_bucket_name(uri), paths.s3_dir(plain), paths.s3_object(plain)
     folder_name = F.concat(bucket, folder)
     s3 = F.array(
         entity(paths.S3_BUCKET, bucket, paths.authority(uri), attributes(none=F.lit(None))),
@@ -205,12 +205,12 @@ def path_entities(uri: Column) -> Column:
             paths.S3_OBJECT,
             F.concat(folder_name, thing),
             thing,
-            attributes(path=paths.plain_path(uri)),
+            attributes(path=plain),
             deps=F.array(ref(paths.S3_PSEUDO_DIR, folder_name)),
             rels=F.array(rel("pseudoDirectory", paths.S3_PSEUDO_DIR, folder_name)),
         ),
     )
-    low = paths.path_name(uri)
+    low = F.lower(plain)
     hdfs = entity(paths.HDFS_PATH, uri, low, attributes(path=low, clusterName=paths.authority(uri)))
     other = entity(paths.FS_PATH, uri, low, attributes(path=low))
     return F.when(paths.is_s3(uri), s3).when(paths.scheme(uri) == "hdfs", F.array(hdfs)).otherwise(F.array(other))
@@ -218,8 +218,8 @@ def path_entities(uri: Column) -> Column:
 
 def path_graph(frame: DataFrame, path: str, settings: JobSettings = JobSettings()) -> DataFrame:
     """Entities of a column of paths."""
-    resolved = frame.select(paths.resolve(F.col(path), settings).alias("uri"))
-    return resolved.select(F.inline(path_entities(F.col("uri"))))
+    resolved = paths.with_plain(frame.select(paths.resolve(F.col(path), settings).alias("uri")))
+    return resolved.select(F.inline(path_entities(F.col("uri"), F.col("plain"))))
 
 
 def connector_graph(found: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ from weftline.settings import JobSettings
 
 STATEMENT = ["app_id", "root_execution_id", "tag"]
 EDGE_KEYS = ["app_id", "execution_id", "query_id", "batch_id", "command_pos", "command"]
+STREAM_PRIORITY = 6
+NO_COMMAND = 9
 PLAIN_DEFINITIONS = [pt.CREATE_TABLE, pt.CREATE_SOURCE_TABLE]
 
 
@@ -67,7 +69,11 @@ def plan_nodes(executions: DataFrame) -> DataFrame:
 
 
 def command_rows(parsed: DataFrame) -> DataFrame:
-    """One row per execution that has commands: its best priority and its commands as an array."""
+    """One row per execution: its best priority and its commands as an array.
+
+    Executions without commands stay in with the worst priority. A filter on the parsed arrays would
+    be pushed below the parse and make Spark parse every plan again inside the filter.
+    """
     simple = F.forall(
         F.filter("nodes", lambda n: ~n["is_leaf"] & (n["pos"] > 0)),
         lambda n: n["node"].isin(pt.CREATE_VIEW, "Project", "SubqueryAlias"),
@@ -82,23 +88,25 @@ def command_rows(parsed: DataFrame) -> DataFrame:
             simple.alias("simple_shape"),
         ),
     )
-    return parsed.where(F.size("commands") > 0).select(
+    best = F.array_min(F.transform("commands", lambda c: _priority(c["command"])))
+    return parsed.select(
         "app_id",
         "root_execution_id",
         "execution_id",
         "query_id",
         "batch_id",
-        F.array_min(F.transform("commands", lambda c: _priority(c["command"]))).alias("priority"),
+        F.coalesce(best, F.lit(NO_COMMAND)).alias("priority"),
         listed.alias("listed"),
     )
 
 
-def stream_sink_rows(parsed: DataFrame, progress: DataFrame) -> DataFrame:
-    """The same rows for micro-batches whose plan shows no write: the progress record names the sink."""
-    top = F.col("execution_id") == F.col("root_execution_id")
-    silent = parsed.where(top & F.col("query_id").isNotNull() & (F.size("commands") == 0)).select(
-        "app_id", "root_execution_id", "execution_id", "query_id", "batch_id"
-    )
+def stream_sink_rows(executions: DataFrame, progress: DataFrame) -> DataFrame:
+    """The same rows for finished micro-batches: the progress record names the sink.
+
+    Their priority lies below any command, so they count only where the plan shows no write.
+    """
+    top = (F.col("execution_id") == F.col("root_execution_id")) & F.col("query_id").isNotNull()
+    batches = executions.where(top).select("app_id", "root_execution_id", "execution_id", "query_id", "batch_id")
     sinks = progress.select("app_id", "query_id", "batch_id", "sink_description")
     sink = F.struct(
         F.lit(-1).alias("command_pos"),
@@ -107,13 +115,13 @@ def stream_sink_rows(parsed: DataFrame, progress: DataFrame) -> DataFrame:
         F.lit("all").alias("tag"),
         F.lit(True).alias("simple_shape"),
     )
-    return silent.join(sinks, ["app_id", "query_id", "batch_id"]).select(
+    return batches.join(sinks, ["app_id", "query_id", "batch_id"]).select(
         "app_id",
         "root_execution_id",
         "execution_id",
         "query_id",
         "batch_id",
-        F.lit(5).alias("priority"),
+        F.lit(STREAM_PRIORITY).alias("priority"),
         F.array(sink).alias("listed"),
     )
 
@@ -190,7 +198,7 @@ def leaf_targets(node: Column, detail: Column) -> Column:
 
 
 def input_targets(chosen: DataFrame, leaves: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
-    """Tables and files the leaves of a statement read, and the path a load reads."""
+    """Tables and files the leaves of a statement read."""
     command = F.col("command")
     reading = chosen.where(~command.isin(pt.LOAD_DATA, *PLAIN_DEFINITIONS))
     if settings.strict_view:
@@ -199,34 +207,37 @@ def input_targets(chosen: DataFrame, leaves: DataFrame, settings: JobSettings =
         *STATEMENT, "leaf_pos", leaf_targets(F.col("node"), F.col("detail")).alias("targets")
     )
     span = F.lit(1 << 20).cast("bigint")
-    met = (
+    return (
         reading.select(*EDGE_KEYS, "root_execution_id", "tag")
         .join(known, STATEMENT)
         .select(*EDGE_KEYS, "leaf_pos", F.posexplode("targets").alias("nth", "target"))
-        .select(*EDGE_KEYS, (F.col("leaf_pos") * span + F.col("nth")).alias("ordinal"), "target.*")
-    )
-    nothing = F.lit(None).cast("string")
-    loads = chosen.where(command == pt.LOAD_DATA).select(
-        *EDGE_KEYS,
-        F.lit(0).cast("bigint").alias("ordinal"),
-        _target(nothing, pt.command_path(command, F.col("arguments"))).alias("target"),
+        .select(
+            *EDGE_KEYS,
+            F.lit("input").alias("direction"),
+            (F.col("leaf_pos") * span + F.col("nth")).alias("ordinal"),
+            "target.*",
+        )
     )
-    return met.unionByName(loads.select(*EDGE_KEYS, "ordinal", "target.*")).withColumn("direction", F.lit("input"))
 
 
-def output_targets(chosen: DataFrame) -> DataFrame:
-    """Table or path each command writes."""
+def command_targets(chosen: DataFrame) -> DataFrame:
+    """The table or path each command writes, and the path a load reads."""
     command, arguments = F.col("command"), F.col("arguments")
-    path = F.when(command == pt.STREAM_SINK, sink_path(arguments)).otherwise(
-        F.when(command != pt.LOAD_DATA, pt.command_path(command, arguments))
+    path = F.when(command == pt.STREAM_SINK, sink_path(arguments)).otherwise(pt.command_path(command, arguments))
+    nothing = F.lit(None).cast("string")
+
+    def way(direction: str, target: Column) -> Column:
+        return F.struct(F.lit(direction).alias("direction"), F.lit(0).cast("bigint").alias("ordinal"), target.alias("target"))
+
+    named = chosen.where(~command.isin(*PLAIN_DEFINITIONS)).select(
+        *EDGE_KEYS, pt.command_table(command, arguments).alias("ident"), path.alias("path")
     )
-    writing = chosen.where(~command.isin(*PLAIN_DEFINITIONS))
-    return (
-        writing.select(*EDGE_KEYS, _target(pt.command_table(command, arguments), path).alias("target"))
-        .select(*EDGE_KEYS, F.lit(0).cast("bigint").alias("ordinal"), "target.*")
-        .where("table is not null or path is not null")
-        .withColumn("direction", F.lit("output"))
+    written = way("output", _target(F.col("ident"), F.col("path")))
+    loaded = way("input", _target(nothing, F.col("path")))
+    ways = F.when(command == pt.LOAD_DATA, F.array(way("output", _target(F.col("ident"), nothing)), loaded)).when(
+        F.col("ident").isNotNull() | F.col("path").isNotNull(), F.array(written)
     )
+    return named.select(*EDGE_KEYS, F.inline(ways)).select(*EDGE_KEYS, "direction", "ordinal", "target.*")
 
 
 def identify(applications: DataFrame, targets: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
@@ -240,6 +251,7 @@ def identify(applications: DataFrame, targets: DataFrame, settings: JobSettings
     return (
         targets.join(applications.select("app_id", "prefix", "remote_hms"), "app_id", "left")
         .withColumn("uri", paths.resolve(F.col("path"), settings))
+        .withColumn("plain", paths.plain_path(uri))
         .withColumn(
             "type_name",
             F.when(F.col("table").isNull(), paths.path_type(uri))
@@ -248,11 +260,11 @@ def identify(applications: DataFrame, targets: DataFrame, settings: JobSettings
         )
         .withColumn(
             "qualified_name",
-            F.when(F.col("table").isNull(), paths.path_qualified_name(uri))
+            F.when(F.col("table").isNull(), paths.path_qualified_name(uri, F.col("plain")))
             .when(remote, names.hive_name(db, table, F.lit(settings.cluster)))
             .otherwise(own),
         )
-        .drop("prefix", "remote_hms", "uri")
+        .drop("prefix", "remote_hms", "uri", "plain")
     )
 
 
@@ -313,7 +325,7 @@ def statements(executions: DataFrame, progress: DataFrame | None = None) -> tupl
     parsed = parse(executions)
     rows = command_rows(parsed)
     if progress is not None:
-        rows = rows.unionByName(stream_sink_rows(parsed, progress))
+        rows = rows.unionByName(stream_sink_rows(executions, progress))
     return chosen_commands(rows), leaf_rows(parsed)
 
 
@@ -330,7 +342,7 @@ def process_edges(
     """
     chosen, leaves = statements(executions, progress)
     chosen = chosen.where(~_no_location())
-    targets = input_targets(chosen, leaves, settings).unionByName(output_targets(chosen))
+    targets = input_targets(chosen, leaves, settings).unionByName(command_targets(chosen))
     columns = [*EDGE_KEYS, "direction", "type_name", "qualified_name"]
     edges = identify(applications, targets, settings).select(*columns, "ordinal")
     if options is not None:

@@ -28,7 +28,8 @@ def pipeline_saves(events: DataFrame, settings: JobSettings = JobSettings()) ->
     """Saves of pipelines created before: ``app_id, seq, uid, pipeline_uri``."""
     created = _first_seen(events, "CreatePipeline", "created")
     saves = events.where("event = 'SavePipeline'").join(created, PAIR).where("seq > created")
-    return saves.select("app_id", "seq", "uid", paths.resolve(F.col("directory"), settings).alias("pipeline_uri"))
+    located = saves.select("app_id", "seq", "uid", paths.resolve(F.col("directory"), settings).alias("pipeline_uri"))
+    return paths.with_plain(located, "pipeline_uri", "pipeline_plain")
 
 
 def model_saves(events: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
@@ -39,8 +40,10 @@ def model_saves(events: DataFrame, settings: JobSettings = JobSettings()) -> Dat
     saves = events.where("event = 'SaveModel'").select(
         "app_id", "seq", "uid", paths.resolve(F.col("directory"), settings).alias("model_uri")
     )
+    saves = paths.with_plain(saves, "model_uri", "model_plain")
     width = settings.asof_width
-    saved = asof.lookup(saves, pipeline_saves(events, settings), PAIR, "seq", "seq", ["pipeline_uri"], width, "p")
+    payload = ["pipeline_uri", "pipeline_plain"]
+    saved = asof.lookup(saves, pipeline_saves(events, settings), PAIR, "seq", "seq", payload, width, "p")
     training = events.where("event = 'CreatePipeline'").select(*PAIR, "seq", "dataset_execution_id")
     known = asof.lookup(saved.where("p is not null"), training, PAIR, "seq", "seq", ["dataset_execution_id"], width, "t")
     created = _first_seen(events, "CreateModel", "model_created")
@@ -49,7 +52,9 @@ def model_saves(events: DataFrame, settings: JobSettings = JobSettings()) -> Dat
         "seq",
         "uid",
         "model_uri",
+        "model_plain",
         F.col("p.pipeline_uri").alias("pipeline_uri"),
+        F.col("p.pipeline_plain").alias("pipeline_plain"),
         F.col("t.dataset_execution_id").alias("dataset_execution_id"),
         F.coalesce(F.col("model_created") < F.col("seq"), F.lit(False)).alias("has_model"),
     )
@@ -57,14 +62,16 @@ def model_saves(events: DataFrame, settings: JobSettings = JobSettings()) -> Dat
 
 def graph(events: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
     """Entities of saved pipelines and models with their directories, by event."""
-    uri = F.col("pipeline_uri")
-    pipeline = entities.ml_entity(names.ML_PIPELINE, F.col("uid"), paths.path_type(uri), paths.path_qualified_name(uri))
-    of_pipelines = F.concat(entities.path_entities(uri), F.array(pipeline))
-    model_uri = F.col("model_uri")
+    uri, plain = F.col("pipeline_uri"), F.col("pipeline_plain")
+    model_uri, model_plain = F.col("model_uri"), F.col("model_plain")
+    pipeline = entities.ml_entity(
+        names.ML_PIPELINE, F.col("uid"), paths.path_type(uri), paths.path_qualified_name(uri, plain)
+    )
     model = entities.ml_entity(
-        names.ML_MODEL, F.col("uid"), paths.path_type(model_uri), paths.path_qualified_name(model_uri)
+        names.ML_MODEL, F.col("uid"), paths.path_type(model_uri), paths.path_qualified_name(model_uri, model_plain)
     )
-    directories = F.concat(entities.path_entities(uri), entities.path_entities(model_uri))
+    of_pipelines = F.concat(entities.path_entities(uri, plain), F.array(pipeline))
+    directories = F.concat(entities.path_entities(uri, plain), entities.path_entities(model_uri, model_plain))
     of_models = F.when(F.col("has_model"), F.concat(directories, F.array(model))).otherwise(directories)
     saved = pipeline_saves(events, settings).select("app_id", "seq", F.inline(of_pipelines))
     return saved.unionByName(model_saves(events, settings).select("app_id", "seq", F.inline(of_models)))
@@ -78,8 +85,9 @@ def _edge(direction: str, type_name: Column, qualified_name: Column) -> Column:
     )
 
 
-def _path_edge(direction: str, uri: Column) -> Column:
-    return _edge(direction, paths.path_type(uri), paths.path_qualified_name(uri))
+def _path_edge(direction: str, what: str) -> Column:
+    uri = F.col(f"{what}_uri")
+    return _edge(direction, paths.path_type(uri), paths.path_qualified_name(uri, F.col(f"{what}_plain")))
 
 
 def _model_edge(direction: str, uid: Column) -> Column:
@@ -95,8 +103,8 @@ def fit_edges(events: DataFrame, training_edges: DataFrame, settings: JobSetting
     own = F.array(
         _edge("input", F.lit(names.ML_PIPELINE), F.col("uid")),
         _model_edge("output", F.col("uid")),
-        _path_edge("output", F.col("model_uri")),
-        _path_edge("output", F.col("pipeline_uri")),
+        _path_edge("output", "model"),
+        _path_edge("output", "pipeline"),
     )
     description = F.concat(F.lit(FIT_DESCRIPTION), F.col("uid")).alias("plan_description")
     known = fits.select("app_id", "seq", description, F.inline(own))
@@ -122,7 +130,8 @@ def modes(queries: DataFrame, events: DataFrame, settings: JobSettings = JobSett
     loads = events.where("event = 'LoadModel'").select(
         *PAIR, "seq", paths.resolve(F.col("directory"), settings).alias("model_uri")
     )
-    loaded = asof.lookup(marked, loads, PAIR, "seq", "seq", ["model_uri"], width, "l")
+    loads = paths.with_plain(loads, "model_uri", "model_plain")
+    loaded = asof.lookup(marked, loads, PAIR, "seq", "seq", ["model_uri", "model_plain"], width, "l")
     fits = model_saves(events, settings).where("has_model").groupBy("app_id").agg(F.min("seq").alias("first_fit"))
     fitted = F.coalesce(F.col("first_fit") < F.col("seq"), F.lit(False))
     mode = (
@@ -135,6 +144,7 @@ def modes(queries: DataFrame, events: DataFrame, settings: JobSettings = JobSett
         loaded.join(fits, "app_id", "left")
         .withColumn("mode", mode)
         .withColumn("model_uri", F.col("l.model_uri"))
+        .withColumn("model_plain", F.col("l.model_plain"))
         .drop("l", "first_fit")
     )
 
@@ -149,7 +159,7 @@ def process_edges(
     that lacks one of the two gives no process.
     """
     state = modes(queries.select("app_id", "execution_id", "seq"), events, settings)
-    state = state.select("app_id", "execution_id", "mode", "uid", "model_uri")
+    state = state.select("app_id", "execution_id", "mode", "uid", "model_uri", "model_plain")
     columns = [*QUERY, "mode", "direction", "type_name", "qualified_name"]
     moded = edges.join(state, ["app_id", "execution_id"])
     plain = moded.where("mode = 'etl'").select(*columns)
@@ -160,7 +170,7 @@ def process_edges(
 
     firsts = (
         moded.where("mode in ('fit', 'score')")
-        .groupBy(*QUERY, "mode", "uid", "model_uri")
+        .groupBy(*QUERY, "mode", "uid", "model_uri", "model_plain")
         .agg(first("input").alias("i"), first("output").alias("o"))
         .where("i is not null and o is not null")
     )
@@ -168,6 +178,6 @@ def process_edges(
         _edge("input", F.col("i.type_name"), F.col("i.qualified_name")),
         _edge("output", F.col("o.type_name"), F.col("o.qualified_name")),
     )
-    model = F.array(_path_edge("input", F.col("model_uri")), _model_edge("input", F.col("uid")))
+    model = F.array(_path_edge("input", "model"), _model_edge("input", F.col("uid")))
     shaped = F.when(F.col("mode") == "score", F.concat(both, model)).otherwise(both)
     return plain.unionByName(firsts.select(*QUERY, "mode", F.inline(shaped)).select(*columns))

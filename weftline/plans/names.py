@@ -15,13 +15,13 @@ HDFS = JobSettings(default_fs="hdfs://nn:8020", working_dir="/user/spark")
 
 
 def path_identity(spark: SparkSession, folder: str) -> DataFrame:
-    uri = F.col("path")
-    return standins.paths(spark, folder).select(
+    uri, plain = F.col("path"), F.col("plain")
+    return paths.with_plain(standins.paths(spark, folder), "path").select(
         "page_id",
         paths.path_type(uri).alias("type_name"),
-        paths.path_qualified_name(uri).alias("qualified_name"),
-        paths.path_name(uri).alias("name"),
-        paths.path_attr(uri).alias("path"),
+        paths.path_qualified_name(uri, plain).alias("qualified_name"),
+        paths.path_name(uri, plain).alias("name"),
+        paths.path_attr(uri, plain).alias("path"),
         paths.path_cluster(uri).alias("cluster"),
     )
 
@@ -56,8 +56,8 @@ FROM tidy"""
 
 
 def s3_chain(spark: SparkSession, folder: str) -> DataFrame:
-    s3 = standins.paths(spark, folder).where(paths.is_s3(F.col("path")))
-    graph = s3.select("page_id", F.inline(entities.path_entities(F.col("path"))))
+    s3 = paths.with_plain(standins.paths(spark, folder).where(paths.is_s3(F.col("path"))), "path")
+    graph = s3.select("page_id", F.inline(entities.path_entities(F.col("path"), F.col("plain"))))
     return graph.select(
         "page_id",
         "type_name",

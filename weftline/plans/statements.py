@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,22 @@ from pyspark.sql import functions as F
 from weftline.functions import plan_text as pt
 from weftline.operators import harvest, lineage
 from weftline.plans import standin_sql as q
+from weftline.settings import shared_dir
 from weftline.sources import event_log, standins
 from weftline.sources.event_log import EventLog
 
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
 def _log(spark: SparkSession, folder: str) -> EventLog:
-    return event_log.from_lines(standins.log_lines(spark, folder))
+    """The event log of ``folder``, staged once per application as a fleet's logs would be."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STAGED:
+        place = f"{shared_dir(spark)}/log-{uuid.uuid4()}"
+        event_log.stage(standins.log_lines(spark, folder), place)
+        _STAGED[key] = place
+    return event_log.read_staged(spark, _STAGED[key])
 
 
 def _edges(spark: SparkSession, folder: str) -> DataFrame:

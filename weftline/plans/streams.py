@@ -34,7 +34,7 @@ def stream_suppress_live(spark: SparkSession, folder: str) -> DataFrame:
     """The streaming form over the whole event table, run to its end."""
     place = f"{shared_dir(spark)}/suppress-{uuid.uuid4()}"
     schema = table(spark, folder, "events").schema
-    raw = spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/events.parquet")
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     edges = standins.stream_edges_of(raw)
     suppress.start(edges, f"{place}/state", f"{place}/out", f"{place}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{place}/out").select(*COLUMNS)
@@ -76,12 +76,13 @@ FROM (SELECT event_id, user_id, event_type AS t FROM events WHERE event_id % 3 >
 def sink_path(spark: SparkSession, folder: str) -> DataFrame:
     """Paths of file sinks; console and other sinks give none."""
     rows = standins.progress(spark, folder).withColumn("path", harvest.sink_path(F.col("sink_description")))
-    return rows.where("path is not null").select(
+    uri, plain = F.col("path"), F.col("plain")
+    return paths.with_plain(rows.where("path is not null"), "path").select(
         "query_id",
         "batch_id",
-        paths.path_type(F.col("path")).alias("type_name"),
-        paths.path_qualified_name(F.col("path")).alias("qualified_name"),
-        paths.path_name(F.col("path")).alias("name"),
+        paths.path_type(uri).alias("type_name"),
+        paths.path_qualified_name(uri, plain).alias("qualified_name"),
+        paths.path_name(uri, plain).alias("name"),
     )
 
 
