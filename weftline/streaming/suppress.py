@@ -48,7 +48,7 @@ class SuppressionSink:
         if trigger == 0:
             return None
         spark = batch.sparkSession
-        schema = batch.select(*OBJECT).schema.add("trigger", "bigint")
+        schema = batch.select(*OBJECT).schema.add("trigger", "long")
         return spark.read.schema(schema).parquet(self.state).where(F.col("trigger") < trigger)
 
     def __call__(self, batch: DataFrame, trigger: int) -> None:
