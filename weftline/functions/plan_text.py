@@ -46,29 +46,32 @@ _SCAN_LOCATIONS = r"Location: \w+ ?\[([^\]]*)\]"
 _SCAN_RELATION = r"^(?:Scan|BatchScan|MicroBatchScan) (.*)$"
 
 
-def _paragraphs(plan: Column) -> Column:
+def paragraphs(plan: Column) -> Column:
+    """Header and node paragraphs. Put them in a column of their own: the expressions below use them per node."""
     return F.split(plan, _PARAGRAPH_START)
 
 
 def header(plan: Column) -> Column:
+    return _tree(F.element_at(paragraphs(plan), 1))
+
+
+def _tree(top: Column) -> Column:
     """The header tree without its title line and without a trailing initial-plan copy."""
-    top = F.element_at(_paragraphs(plan), 1)
     return F.substring_index(F.regexp_replace(top, r"^== Physical Plan ==\n", ""), "+- == Initial Plan ==", 1)
 
 
-def plan_nodes(plan: Column) -> Column:
-    """``array<struct<pos,depth,node_id,node,detail>>`` of a printed plan, in print order."""
-    lines = F.filter(F.split(header(plan), "\n"), lambda x: x.rlike(_NODE_NUMBER))
-    paragraphs = _paragraphs(plan)
+def plan_nodes(parts: Column) -> Column:
+    """``array<struct<pos,depth,node_id,node,detail>>`` of the paragraphs of a plan, in print order."""
+    lines = F.filter(F.split(_tree(F.element_at(parts, 1)), "\n"), lambda x: x.rlike(_NODE_NUMBER))
 
     def node(line: Column, pos: Column) -> Column:
         number = F.regexp_extract(line, _NODE_NUMBER, 1).cast("int")
         title = F.regexp_replace(F.regexp_replace(line, _TREE_PREFIX, ""), r"^\* ", "")
         # Paragraph k describes node k, so it sits right after the header; look it up if it does not.
         mark = F.concat(F.lit("("), number.cast("string"), F.lit(") "))
-        near = F.try_element_at(paragraphs, number + 1)
+        near = F.try_element_at(parts, number + 1)
         found = F.when(near.startswith(mark), near).otherwise(
-            F.try_element_at(F.filter(paragraphs, lambda p: p.startswith(mark)), F.lit(1))
+            F.try_element_at(F.filter(parts, lambda p: p.startswith(mark)), F.lit(1))
         )
         return F.struct(
             pos.alias("pos"),

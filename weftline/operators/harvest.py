@@ -55,11 +55,12 @@ def parse(executions: DataFrame) -> DataFrame:
         return ~temporary & ~nested_dir & ~inside
 
     return (
-        executions.withColumn("raw_nodes", pt.plan_nodes(F.col("plan")))
+        executions.withColumn("parts", pt.paragraphs(F.col("plan")))
+        .withColumn("raw_nodes", pt.plan_nodes(F.col("parts")))
         .withColumn("nodes", pt.mark_leaves(F.col("raw_nodes")))
         .withColumn("all_commands", pt.commands(F.col("nodes")))
         .withColumn("commands", F.filter("all_commands", counts))
-        .drop("plan", "raw_nodes", "all_commands")
+        .drop("plan", "parts", "raw_nodes", "all_commands")
     )
 
 
