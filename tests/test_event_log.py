@@ -34,7 +34,7 @@ def log(spark, produced):
 
 @pytest.fixture(scope="module")
 def edges(log):
-    return lineage.clean_cycles(harvest.process_edges(log.executions(), log.applications, None, log.progress)).cache()
+    return lineage.clean_cycles(harvest.process_edges(harvest.facts(log.executions()), log.applications, None, log.progress)).cache()
 
 
 def test_application(log, produced):
@@ -160,9 +160,9 @@ PLANS = {
 }
 
 
-def executions_of(spark, *plans):
+def facts_of(spark, *plans):
     rows = [("app", i, i, None, None, p) for i, p in enumerate(plans)]
-    return spark.createDataFrame(rows, "app_id string, execution_id bigint, root_execution_id bigint, query_id string, batch_id bigint, plan string")
+    return harvest.facts(spark.createDataFrame(rows, "app_id string, execution_id bigint, root_execution_id bigint, query_id string, batch_id bigint, plan string"))
 
 
 def apps(spark, remote=False):
@@ -171,14 +171,14 @@ def apps(spark, remote=False):
 
 def test_printed_plans(spark):
     names = list(PLANS)
-    edges = harvest.process_edges(executions_of(spark, *[PLANS[n][0] for n in names]), apps(spark)).collect()
+    edges = harvest.process_edges(facts_of(spark, *[PLANS[n][0] for n in names]), apps(spark)).collect()
     for number, name in enumerate(names):
         got = {(r.direction, r.qualified_name) for r in edges if r.execution_id == number}
         assert got == PLANS[name][1], name
 
 
 def test_remote_metastore_gives_references(spark):
-    edges = harvest.process_edges(executions_of(spark, PLANS["hive insert"][0]), apps(spark, True)).collect()
+    edges = harvest.process_edges(facts_of(spark, PLANS["hive insert"][0]), apps(spark, True)).collect()
     assert {(r.type_name, r.qualified_name) for r in edges} == {("hive_table", "db1.src@primary"), ("hive_table", "db1.dst@primary")}
 
 
@@ -188,7 +188,7 @@ def test_bad_records(spark):
         "(1) Scan parquet\nLocation: InMemoryFileIndex [file:/a, ... 3 entries]",
         "(2) Execute InsertIntoHadoopFsRelationCommand\nArguments: file:/o, false, Parquet, [path=file:/o], Overwrite, [x]",
     )
-    chosen, leaves = harvest.statements(executions_of(spark, PLANS["hive directory without location"][0], shortened))
+    chosen, leaves = harvest.statements(facts_of(spark, PLANS["hive directory without location"][0], shortened))
     got = {(r.execution_id, r.reason) for r in harvest.rejected(chosen, leaves).collect()}
     assert got == {(0, "no location"), (1, "shortened file list")}
 
@@ -214,6 +214,6 @@ VIEW = plan_of(
 
 @pytest.mark.parametrize("strict, inputs", [(False, {"app.db1.a", "app.db1.b"}), (True, set())])
 def test_view_over_join(spark, strict, inputs):
-    edges = harvest.process_edges(executions_of(spark, VIEW), apps(spark), settings=JobSettings(strict_view=strict)).collect()
+    edges = harvest.process_edges(facts_of(spark, VIEW), apps(spark), settings=JobSettings(strict_view=strict)).collect()
     assert {r.qualified_name for r in edges if r.direction == "input"} == inputs
     assert {r.qualified_name for r in edges if r.direction == "output"} == {"app.db1.v"}

@@ -1,9 +1,11 @@
 """From executed plans to process edges: which datasets each statement read and wrote.
 
-Plans are parsed inside their row. Two shuffles follow, both on the statement key
+``facts`` reads each plan once, inside its row, and keeps only what lineage needs: the commands and
+the leaves with what they read. Written to a table, facts are a small fraction of the plan text, and
+everything after works from them. Two shuffles follow, both on the statement key
 ``(app_id, root_execution_id)``: choosing the execution that speaks for the statement (an aggregate,
 combined before it shuffles), and meeting the statement's leaves (an equi-join, which Spark splits
-when one statement is very large). Plan text travels through neither.
+when one statement is very large).
 """
 
 from __future__ import annotations
@@ -66,11 +68,12 @@ def parse(executions: DataFrame) -> DataFrame:
 
 def plan_nodes(executions: DataFrame) -> DataFrame:
     """One row per plan node."""
-    return parse(executions).select("app_id", "execution_id", "root_execution_id", F.inline("nodes"))
+    nodes = parse(executions).select("app_id", "execution_id", "root_execution_id", F.inline_outer("nodes"))
+    return nodes.where("pos is not null")
 
 
-def command_rows(parsed: DataFrame) -> DataFrame:
-    """One row per execution: its best priority and its commands as an array.
+def facts(executions: DataFrame, *keep: str) -> DataFrame:
+    """One row per execution: its best priority, its commands, its leaves, and the columns to ``keep``.
 
     Executions without commands stay in with the worst priority. A filter on the parsed arrays would
     be pushed below the parse and make Spark parse every plan again inside the filter.
@@ -90,24 +93,38 @@ def command_rows(parsed: DataFrame) -> DataFrame:
         ),
     )
     best = F.array_min(F.transform("commands", lambda c: _priority(c["command"])))
-    return parsed.select(
+
+    def leaf(n: Column) -> Column:
+        owner = F.filter("commands", lambda c: (c["pos"] < n["pos"]) & (c["end"] > n["pos"]))
+        return F.struct(
+            _tag(F.coalesce(F.try_element_at(owner, F.lit(1))["pos"], F.lit(-1))).alias("tag"),
+            n["pos"].alias("leaf_pos"),
+            n["node"].alias("node"),
+            pt.leaf_kind(n["node"], n["detail"]).alias("kind"),
+            pt.is_shortened(n["detail"]).alias("shortened"),
+            leaf_targets(n["node"], n["detail"]).alias("targets"),
+        )
+
+    return parse(executions).select(
         "app_id",
         "root_execution_id",
         "execution_id",
         "query_id",
         "batch_id",
+        *keep,
         F.coalesce(best, F.lit(NO_COMMAND)).alias("priority"),
         listed.alias("listed"),
+        F.transform(F.filter("nodes", lambda n: n["is_leaf"]), leaf).alias("leaves"),
     )
 
 
-def stream_sink_rows(executions: DataFrame, progress: DataFrame) -> DataFrame:
+def stream_sink_rows(known: DataFrame, progress: DataFrame) -> DataFrame:
     """The same rows for finished micro-batches: the progress record names the sink.
 
     Their priority lies below any command, so they count only where the plan shows no write.
     """
     top = (F.col("execution_id") == F.col("root_execution_id")) & F.col("query_id").isNotNull()
-    batches = executions.where(top).select("app_id", "root_execution_id", "execution_id", "query_id", "batch_id")
+    batches = known.where(top).select("app_id", "root_execution_id", "execution_id", "query_id", "batch_id")
     sinks = progress.select("app_id", "query_id", "batch_id", "sink_description")
     sink = F.struct(
         F.lit(-1).alias("command_pos"),
@@ -144,26 +161,12 @@ def chosen_commands(rows: DataFrame) -> DataFrame:
     )
 
 
-def leaf_rows(parsed: DataFrame) -> DataFrame:
-    """One row per plan leaf with its kind and the command it feeds."""
-    owner = F.filter("commands", lambda c: (c["pos"] < F.col("leaf.pos")) & (c["end"] > F.col("leaf.pos")))
-    exploded = parsed.select(
-        "app_id",
-        "execution_id",
-        "root_execution_id",
-        "commands",
-        F.explode(F.filter("nodes", lambda n: n["is_leaf"])).alias("leaf"),
-    )
-    return exploded.select(
-        "app_id",
-        "execution_id",
-        "root_execution_id",
-        _tag(F.coalesce(F.try_element_at(owner, F.lit(1))["pos"], F.lit(-1))).alias("tag"),
-        F.col("leaf.pos").alias("leaf_pos"),
-        F.col("leaf.node").alias("node"),
-        F.col("leaf.detail").alias("detail"),
-        pt.leaf_kind(F.col("leaf.node"), F.col("leaf.detail")).alias("kind"),
-    )
+def leaf_rows(known: DataFrame) -> DataFrame:
+    """One row per plan leaf with its kind, what it reads, and the command it feeds."""
+    # The outer form, because for the inner one Spark infers a filter on the array and pushes it
+    # below the parse, where it would parse every plan again.
+    leaves = known.select("app_id", "execution_id", "root_execution_id", F.inline_outer("leaves"))
+    return leaves.where("leaf_pos is not null")
 
 
 def unknown_leaves(leaves: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -204,9 +207,7 @@ def input_targets(chosen: DataFrame, leaves: DataFrame, settings: JobSettings =
     reading = chosen.where(~command.isin(pt.LOAD_DATA, *PLAIN_DEFINITIONS))
     if settings.strict_view:
         reading = reading.where((command != pt.CREATE_VIEW) | F.col("simple_shape"))
-    known = leaves.where(F.col("kind").isin("table", "files")).select(
-        *STATEMENT, "leaf_pos", leaf_targets(F.col("node"), F.col("detail")).alias("targets")
-    )
+    known = leaves.where("targets is not null").select(*STATEMENT, "leaf_pos", "targets")
     span = F.lit(1 << 20).cast("bigint")
     return (
         reading.select(*EDGE_KEYS, "root_execution_id", "tag")
@@ -315,33 +316,32 @@ def rejected(chosen: DataFrame, leaves: DataFrame) -> DataFrame:
     lost = chosen.where(_no_location()).select(
         "app_id", "execution_id", F.lit("no location").alias("reason"), F.col("arguments").alias("detail")
     )
-    shortened = leaves.where((F.col("kind") == "files") & pt.is_shortened(F.col("detail"))).select(
-        "app_id", "execution_id", F.lit("shortened file list").alias("reason"), F.col("detail")
+    shortened = leaves.where("kind = 'files' and shortened").select(
+        "app_id", "execution_id", F.lit("shortened file list").alias("reason"), F.col("node").alias("detail")
     )
     return lost.unionByName(shortened)
 
 
-def statements(executions: DataFrame, progress: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def statements(known: DataFrame, progress: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(commands, leaves)`` of all statements. Progress records add the sinks plans do not show."""
-    parsed = parse(executions)
-    rows = command_rows(parsed)
+    rows = known.drop("leaves")
     if progress is not None:
-        rows = rows.unionByName(stream_sink_rows(executions, progress))
-    return chosen_commands(rows), leaf_rows(parsed)
+        rows = rows.unionByName(stream_sink_rows(known, progress))
+    return chosen_commands(rows), leaf_rows(known)
 
 
 def process_edges(
-    executions: DataFrame,
+    known: DataFrame,
     applications: DataFrame,
     options: DataFrame | None = None,
     progress: DataFrame | None = None,
     settings: JobSettings = JobSettings(),
 ) -> DataFrame:
-    """All edges of all statements, before cycle cleaning; a dataset read twice gives one edge.
+    """All edges of all statements in ``facts``, before cycle cleaning; a dataset read twice gives one edge.
 
     A directory insert without a location fails as a whole, so none of its inputs are kept.
     """
-    chosen, leaves = statements(executions, progress)
+    chosen, leaves = statements(known, progress)
     chosen = chosen.where(~_no_location())
     targets = input_targets(chosen, leaves, settings).unionByName(command_targets(chosen))
     columns = [*EDGE_KEYS, "direction", "type_name", "qualified_name"]

@@ -11,28 +11,36 @@ from pyspark.sql import functions as F
 from weftline.functions import plan_text as pt
 from weftline.operators import harvest, lineage
 from weftline.plans import standin_sql as q
-from weftline.settings import shared_dir
+from weftline.settings import shared_dir, written
 from weftline.sources import event_log, standins
 from weftline.sources.event_log import EventLog
 
 
-_STAGED: dict[tuple[str, str], str] = {}
+_STAGED: dict[tuple[str, str], tuple[EventLog, DataFrame]] = {}
 
 
-def _log(spark: SparkSession, folder: str) -> EventLog:
-    """The event log of ``folder``, staged once per application as a fleet's logs would be."""
+def _staged(spark: SparkSession, folder: str) -> tuple[EventLog, DataFrame]:
+    """Event log and plan facts of ``folder``, written once per application as a fleet's would be."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _STAGED:
         place = f"{shared_dir(spark)}/log-{uuid.uuid4()}"
-        event_log.stage(standins.log_lines(spark, folder), place)
-        _STAGED[key] = place
-    return event_log.read_staged(spark, _STAGED[key])
+        log = event_log.stage(standins.log_lines(spark, folder), place)
+        _STAGED[key] = (log, written(harvest.facts(log.executions()), "facts"))
+    return _STAGED[key]
+
+
+def _log(spark: SparkSession, folder: str) -> EventLog:
+    return _staged(spark, folder)[0]
+
+
+def _statements(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    log, known = _staged(spark, folder)
+    return harvest.statements(known, log.progress)
 
 
 def _edges(spark: SparkSession, folder: str) -> DataFrame:
-    log = _log(spark, folder)
-    options = standins.statement_options(spark, folder)
-    return harvest.process_edges(log.executions(), log.applications, options, log.progress)
+    log, known = _staged(spark, folder)
+    return harvest.process_edges(known, log.applications, standins.statement_options(spark, folder), log.progress)
 
 
 COLUMNS = ["app_id", "execution_id", "command", "command_pos", "direction", "type_name", "qualified_name"]
@@ -42,7 +50,7 @@ _WITH = q.with_(q.STATEMENTS)
 
 def process_edges(spark: SparkSession, folder: str) -> DataFrame:
     """Flagship: from raw log lines to cleaned process edges of every statement."""
-    return lineage.clean_cycles(_edges(spark, folder)).select(*COLUMNS)
+    return lineage.clean_cycles(written(_edges(spark, folder), "edges")).select(*COLUMNS)
 
 
 PROCESS_EDGES = (
@@ -81,8 +89,7 @@ HARVESTS = {
 
 def harvest_ddl(spark: SparkSession, folder: str) -> DataFrame:
     """Tables that statements define or write, by identifier; plain definitions give no process."""
-    log = _log(spark, folder)
-    chosen, _ = harvest.statements(log.executions(), log.progress)
+    chosen, _ = _statements(spark, folder)
     return harvest.defined_tables(chosen)
 
 
@@ -98,8 +105,7 @@ HARVEST_DDL = (
 
 def command_dispatch(spark: SparkSession, folder: str) -> DataFrame:
     """The command that speaks for each statement; plain queries and temporary views have none."""
-    log = _log(spark, folder)
-    chosen, _ = harvest.statements(log.executions(), log.progress)
+    chosen, _ = _statements(spark, folder)
     return chosen.select("app_id", "execution_id", "command_pos", "command")
 
 
@@ -125,7 +131,7 @@ MULTI_INSERT = _WITH + f"SELECT DISTINCT {_SQL_COLUMNS} FROM statement_edges WHE
 
 def leaf_collect(spark: SparkSession, folder: str) -> DataFrame:
     """Every leaf of every printed plan with its kind."""
-    leaves = harvest.leaf_rows(harvest.parse(_log(spark, folder).started))
+    leaves = harvest.leaf_rows(harvest.facts(_log(spark, folder).started))
     return leaves.select("execution_id", "leaf_pos", "node", "kind")
 
 
@@ -154,8 +160,7 @@ LEAF_COLLECT = (
 
 
 def unknown_leaves(spark: SparkSession, folder: str) -> DataFrame:
-    log = _log(spark, folder)
-    chosen, leaves = harvest.statements(log.executions(), log.progress)
+    chosen, leaves = _statements(spark, folder)
     return harvest.unknown_leaves(leaves, chosen).select("app_id", "execution_id", "node")
 
 
@@ -180,8 +185,7 @@ FAILED_AND_STREAMING_FILTER = (
 
 
 def harvest_rejected(spark: SparkSession, folder: str) -> DataFrame:
-    log = _log(spark, folder)
-    chosen, leaves = harvest.statements(log.executions(), log.progress)
+    chosen, leaves = _statements(spark, folder)
     return harvest.rejected(chosen, leaves).select("app_id", "execution_id", "reason")
 
 

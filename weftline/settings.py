@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -36,3 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
     own = "file://" + tempfile.mkdtemp(prefix="weftline-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` as a table written to the shared folder: read more than once, worked out once, and
+    still there when executors are lost."""
+    place = f"{shared_dir(frame.sparkSession)}/{name}-{uuid.uuid4()}"
+    frame.write.parquet(place)
+    return frame.sparkSession.read.schema(frame.schema).parquet(place)

@@ -25,7 +25,7 @@ def stream_edges(
     ``applications`` is a table read from the logs beforehand.
     """
     started = event_log.started_executions(lines).where("query_id is not null and execution_id = root_execution_id")
-    plans = harvest.parse(started).withWatermark("event_time", late)
+    plans = harvest.facts(started, "event_time").withWatermark("event_time", late)
     done = event_log.query_progress(lines, with_time=True).withWatermark("progress_time", late)
     renamed = done.select(
         F.col("app_id").alias("p_app_id"),
@@ -45,9 +45,8 @@ def stream_edges(
     met = plans.join(renamed, same)
     keys = ["app_id", "query_id", "batch_id"]
 
-    leaf = met.select(*keys, F.explode(F.filter("nodes", lambda n: n["is_leaf"])).alias("leaf"))
-    reads = leaf.select(*keys, F.explode(harvest.leaf_targets(F.col("leaf.node"), F.col("leaf.detail"))).alias("t"))
-    reads = reads.select(*keys, F.lit("input").alias("direction"), "t.*")
+    leaf = met.select(*keys, F.inline_outer("leaves")).where("targets is not null")
+    reads = leaf.select(*keys, F.lit("input").alias("direction"), F.inline("targets"))
     writes = met.select(
         *keys,
         F.lit("output").alias("direction"),
