@@ -310,3 +310,27 @@ def test_mutation_sinks(spark):
 def test_shared_dir_follows_the_session(spark):
     place = shared_dir(spark)
     assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == place
+
+
+def test_ml_entities_link_to_their_directory(spark):
+    uri, where = F.lit("hdfs://"), F.lit("tmp/model")
+    rows = F.array(
+        entities.ml_directory(uri, where),
+        entities.ml_entity("spark_ml_model", F.lit("pipeline_9"), F.lit("spark_ml_directory"), F.lit("hdfs://.tmp/model")),
+    )
+    graph = spark.range(1).select(F.inline(rows))
+    got = {r.type_name: r for r in graph.collect()}
+    assert got["spark_ml_directory"].qualified_name == "hdfs://.tmp/model"
+    assert got["spark_ml_directory"].attrs == {"uri": "hdfs://", "directory": "tmp/model"}
+    assert got["spark_ml_model"].qualified_name == "model_9"
+    links = entities.relationships(graph).collect()
+    assert [(r.rel, r.to_type, r.to_qn) for r in links] == [("directory", "spark_ml_directory", "hdfs://.tmp/model")]
+    assert entities.dependencies(graph).count() == 1
+
+
+def test_as_of_with_log_sequence_numbers(spark):
+    base = 3 * (1 << 48)
+    rows = [("k", base + i, i if i % 10 == 0 else None) for i in range(45)]
+    frame = spark.createDataFrame(rows, "k string, at bigint, v int")
+    found = asof.carry_forward(frame, ["k"], "at", "v", "out", 7)
+    assert all(r.out == (r.at - base) // 10 * 10 for r in found.collect())

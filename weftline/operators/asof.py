@@ -19,7 +19,8 @@ def carry_forward(
     ``order`` is a whole number, unique per key; ``width`` is the span held by one group. Null keys
     never match.
     """
-    spanned = rows.withColumn("span_no", F.floor(F.col(order) / F.lit(width)))
+    # Whole-number arithmetic: sequence numbers of logs are too large for exact doubles.
+    spanned = rows.withColumn("span_no", F.col(order) - F.pmod(F.col(order), F.lit(width)))
     groups = [*keys, "span_no"]
     last_of_span = F.max(F.when(F.col(value).isNotNull(), F.struct(F.col(order), F.col(value))))
     spans = spanned.groupBy(*groups).agg(last_of_span.alias("span_last"))

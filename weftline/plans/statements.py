@@ -16,7 +16,7 @@ from weftline.sources import event_log, standins
 from weftline.sources.event_log import EventLog
 
 
-_STAGED: dict[tuple[str, str], tuple[EventLog, DataFrame]] = {}
+_STAGED: dict[tuple[str, str], str] = {}
 
 
 def _staged(spark: SparkSession, folder: str) -> tuple[EventLog, DataFrame]:
@@ -25,8 +25,10 @@ def _staged(spark: SparkSession, folder: str) -> tuple[EventLog, DataFrame]:
     if key not in _STAGED:
         place = f"{shared_dir(spark)}/log-{uuid.uuid4()}"
         log = event_log.stage(standins.log_lines(spark, folder), place)
-        _STAGED[key] = (log, written(harvest.facts(log.executions()), "facts"))
-    return _STAGED[key]
+        harvest.facts(log.executions()).write.parquet(f"{place}/facts")
+        _STAGED[key] = place
+    place = _STAGED[key]
+    return event_log.read_staged(spark, place), spark.read.parquet(f"{place}/facts")
 
 
 def _log(spark: SparkSession, folder: str) -> EventLog:
