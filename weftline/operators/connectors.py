@@ -141,12 +141,10 @@ def identities(options: DataFrame, settings: JobSettings = JobSettings()) -> Dat
 
 
 def datasets(options: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
-    """One row per dataset a connector reads or writes."""
-    return (
-        identities(options, settings)
-        .select("app_id", "execution_id", "direction", "connector", F.inline("found"))
-        .where("qualified_name is not null")
-    )
+    """One row per dataset a connector reads or writes; ``nth`` is its place among those of its options."""
+    keys = ["app_id", "execution_id", "direction", "connector"]
+    listed = identities(options, settings).select(*keys, F.posexplode("found").alias("nth", "dataset"))
+    return listed.select(*keys, "nth", "dataset.*").where("qualified_name is not null")
 
 
 def rejected(options: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:

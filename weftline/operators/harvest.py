@@ -286,7 +286,7 @@ def connector_edges(
     )
     wanted = reading.select(*EDGE_KEYS, "options_execution_id", "direction").unionByName(writing)
     return wanted.join(found, ["app_id", "options_execution_id", "direction"]).select(
-        *EDGE_KEYS, "direction", "type_name", "qualified_name", F.lit(1 << 40).cast("bigint").alias("ordinal")
+        *EDGE_KEYS, "direction", "type_name", "qualified_name", (F.lit(1 << 40) + F.col("nth")).alias("ordinal")
     )
 
 
