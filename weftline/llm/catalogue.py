@@ -6,19 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import minhash
+from weftline.llm import decontam, minhash, ngram
 from weftline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_minhash,)}
+    return {f.__name__: f for f in (op5_decontam, op6_minhash, op7_ngram)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_decontam": decontam.SQL}
