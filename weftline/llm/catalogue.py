@@ -5,13 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftline.llm import decontam, minhash, ngram
+from weftline.llm import decontam, langid, minhash, neighbours, ngram, quality, warc
 from weftline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -24,9 +33,17 @@ def op7_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.scores(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, sf_dir, "pages")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_decontam, op6_minhash, op7_ngram)}
+    return {f.__name__: f for f in (op3_langid, op4_neighbours, op5_decontam, op6_minhash, op7_ngram, op9_quality, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontam": decontam.SQL}
+    return {"op4_neighbours": neighbours.SQL, "op5_decontam": decontam.SQL, "op10_warc": warc.SQL}

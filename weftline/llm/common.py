@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MIX_1, MIX_2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,3 +44,15 @@ def lists(flat: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     """Flat values as one list a row."""
     ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def largest(rows: DataFrame, most: int) -> DataFrame:
+    """The rows with the largest ``n``, ``most`` at most, cut where a step of a logarithmic scale of counts begins."""
+    step = F.when(F.col("n") < 512, F.col("n")).otherwise(F.floor(F.log2("n") * 64)).cast("long")
+    seen, least = 0, None
+    for s, k in sorted(rows.groupBy(step.alias("s")).agg(F.count("*")).collect(), reverse=True):
+        seen += k
+        if seen > most:
+            break
+        least = s
+    return rows.where(step >= least) if least is not None else rows.limit(0)
