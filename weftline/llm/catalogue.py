@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import decontam, langid, minhash, neighbours, ngram, quality, warc
+from weftline.llm import attribution, decontam, langid, minhash, neighbours, ngram, pieces, preference, quality, warc
 from weftline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.by_line(table(spark, sf_dir, "documents"), attribution.encoder_of(spark))
+
+
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), pieces.pieces_of(spark))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
@@ -33,6 +41,11 @@ def op7_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.scores(table(spark, sf_dir, "documents"))
 
 
+def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return preference.segments(turns, preference.neighbours(turns))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -42,8 +55,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_langid, op4_neighbours, op5_decontam, op6_minhash, op7_ngram, op9_quality, op10_warc)}
+    return {f.__name__: f for f in (op1_attribution, op2_pieces, op3_langid, op4_neighbours, op5_decontam, op6_minhash, op7_ngram, op8_preference, op9_quality, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_neighbours": neighbours.SQL, "op5_decontam": decontam.SQL, "op10_warc": warc.SQL}
+    return {"op4_neighbours": neighbours.SQL, "op5_decontam": decontam.SQL, "op8_preference": preference.SQL, "op10_warc": warc.SQL}

@@ -52,11 +52,14 @@ def fingerprints(word_list: Column) -> Column:
     return once(grams(word_list, GRAM), picked)
 
 
-def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """For each row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+MARK = "__hits"
+
+
+def marked(docs: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """``docs`` with a struct of n_words, n_hit and the sorted ids of the items met."""
     item = items.select(F.col(item_id).cast("string").alias("item_id"), words(F.col(text)).alias("item_words")).where("size(item_words) > 0").distinct()
     item = written(item.withColumn("item", F.xxhash64("item_id", "item_words")).withColumn("n", F.size("item_words")), "items")
-    doc = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("doc"))
+    doc = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("doc"))
 
     long_items = written(item.where(F.col("n") >= WINDOW).select("item", F.inline(once(F.col("item_words"), fingerprints)).alias("hash", "at")), "item_prints")
     prints = doc.select("doc", F.inline(once(words(F.col("text")), fingerprints)).alias("hash", "place"))
@@ -80,13 +83,25 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", ite
         return once(found, lambda f: F.struct(F.size(w).cast("long").alias("n_words"), F.size(F.array_distinct(F.flatten(F.flatten(f.places)))).cast("long").alias("n_hit"), F.array_sort(F.array_distinct(f.item_id)).alias("ids")))
 
     none = F.array().cast("array<struct<item_id:string,item_words:array<string>,shift:int>>")
-    out = doc.join(met, "doc", "left").select("doc_id", once(words(F.col("text")), lambda w: hits(w, F.coalesce("met", none))).alias("x"))
-    return out.select(
-        "doc_id", "x.n_words", "x.n_hit", F.size("x.ids").cast("long").alias("n_items"),
-        F.sha2(F.array_join("x.ids", ","), 256).alias("items_sha256"), (F.col("x.n_hit") > 0).alias("contaminated"),
+    hashed = docs.withColumn("__doc", F.xxhash64(F.col(text)))
+    found = hashed.join(met.select(F.col("doc").alias("__doc"), F.col("met").alias("__met")), "__doc", "left")
+    return found.select(*docs.columns, once(words(F.col(text)), lambda w: hits(w, F.coalesce("__met", none))).alias(MARK))
+
+
+def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """For each row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return marked(rows, items.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))).select(
+        "doc_id", f"{MARK}.n_words", f"{MARK}.n_hit", F.size(f"{MARK}.ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(f"{MARK}.ids", ","), 256).alias("items_sha256"), (F.col(f"{MARK}.n_hit") > 0).alias("contaminated"),
     )
 
 
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that share no window with an item, with all columns."""
+    return marked(docs, items).where(F.col(f"{MARK}.n_hit") == 0).select(*docs.columns)
+
+
 SQL = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents),
 i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM benchmark),

@@ -19,31 +19,33 @@ key have the same noise; a null key is a key like others. Very long texts, space
 
 from __future__ import annotations
 
-import re
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import STEP, lists, mixed, slices
+from weftline.llm.common import MIX_1, MIX_2, STEP, lists, mixed, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SAMPLES = 2
-TYPES = 250_000
-"""Distinct chunks whose lattices a worker keeps."""
 SCHEMA = "sample int, ids array<int>, n_pieces int, log_prob double, perturbed double, inclusion double"
-_CHUNK = re.compile(r"\n| ?[^ \n]+| ")
 _UNUSED = -1e8
+_BASE = np.uint64(0x100000001B3)
+_SHORT = 24
+_PER_CHARACTER = 1e10
+"""Short chunks are built together; the factor keeps their masses between 1e-300 and 1e200."""
 
 
 class Pieces:
     """The model's pieces with their probabilities. Bounded by the size of the model file."""
 
-    def __init__(self, model: bytes, alpha: float):
+    def __init__(self, model: bytes, alpha: float = ALPHA):
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         ids = range(sp.get_piece_size())
         self.bytes_of = [b""] * len(ids)
@@ -65,8 +67,27 @@ class Pieces:
         self.byte_p = float(least / total)
         # A piece with an inner space or a line end would cross chunks; it is left out.
         self.known = {piece: (i, float(w / total)) for (_, i, piece), w in zip(usable, weights, strict=True) if " " not in piece[1:] and "\n" not in piece}
+        self.longest = max(map(len, self.known), default=1)
         self.prefixes = {p[:n] for p in self.known for n in range(1, len(p) + 1)}
-        self.lattices: Lattices | None = None
+        # A table from hashes of pieces, with a chain where two fall on one slot; row 0 is no piece.
+        self.hash = np.array([0, *(int(_prefix_hashes(np.array([[ord(c) for c in p]], np.uint64))[0, -1]) for p in self.known)], np.uint64)
+        self.id = np.array([-1, *(i for i, _ in self.known.values())], np.int32)
+        self.p = np.array([0.0, *(q for _, q in self.known.values())])
+        self.slot, self.next = np.zeros(1 << 20, np.int32), np.zeros(len(self.hash), np.int32)
+        for row, at in enumerate(_slots(self.hash).tolist()):
+            if row:
+                self.next[row], self.slot[at] = self.slot[at], row
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Rows of the pieces with these hashes, 0 where there is none."""
+        row = self.slot[_slots(h)]
+        out = np.where(self.hash[row] == h, row, 0)
+        far = np.flatnonzero((out == 0) & (self.next[row] > 0))
+        while len(far):
+            row[far] = self.next[row[far]]
+            out[far] = np.where(self.hash[row[far]] == h[far], row[far], 0)
+            far = far[(out[far] == 0) & (self.next[row[far]] > 0)]
+        return out
 
     def decoded(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
@@ -76,92 +97,127 @@ class Pieces:
         return [entry] if entry >= 0 else [self.byte_id[b] for b in chr(-1 - entry).encode("utf-8", "surrogatepass")]
 
 
+def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
+    """Hashes of the prefixes of each row of characters, that of the empty one first."""
+    out = np.zeros((len(codes), codes.shape[1] + 1), np.uint64)
+    for i in range(codes.shape[1]):
+        out[:, i + 1] = out[:, i] * _BASE + codes[:, i] + np.uint64(1)
+    return out
+
+
+def _slots(h: np.ndarray) -> np.ndarray:
+    return ((h * STEP) >> np.uint64(44)).astype(np.int64)
+
+
 class Lattices:
-    """Lattices of the chunks met so far, flat: for each place of a chunk, the pieces that end there and their
-    cumulated shares when the chunk's segmentations are drawn from its end."""
-
-    def __init__(self, pieces: Pieces):
-        self.pieces, self.types = pieces, {}
-        self.base, self.length, self.paths = (np.zeros(0, t) for t in (np.int64, np.int32, np.float64))
-        self.first = np.zeros(1, np.int64)
-        self.cum, self.share, self.log, self.step, self.entry = (np.zeros(0, t) for t in (np.float64, np.float64, np.float64, np.int32, np.int32))
-
-    def _built(self, chunk: str, firsts: list, cum: list, share: list, log: list, step: list, entry: list, at: int) -> float:
-        """Append the chunk's lattice to the lists, and give the number of its segmentations."""
-        known, prefixes, byte_p = self.pieces.known, self.pieces.prefixes, self.pieces.byte_p
-        n = len(chunk)
-        ends: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
+    """Lattices of distinct chunks, flat. A place of a chunk has a slot for each length of piece that may end there;
+    it holds the piece and its share when the chunk's segmentations are drawn from its end."""
+
+    def __init__(self, pieces: Pieces, chunks: pa.StringArray):
+        self.pieces = pieces
+        self.length = pc.utf8_length(chunks).to_numpy().astype(np.int64)
+        most = int(self.length.max()) if len(self.length) else 0
+        self.off = np.concatenate(([0, 0], np.cumsum(np.minimum(np.arange(1, most + 1), pieces.longest))))  # by place, from 1
+        sizes = self.off[self.length + 1]
+        self.base = np.cumsum(sizes) - sizes
+        self.share, self.entry = np.zeros(int(sizes.sum())), np.full(int(sizes.sum()), -1, np.int32)
+        self.paths = np.ones(len(chunks))
+        characters = np.frombuffer("".join(chunks.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        starts = np.cumsum(self.length) - self.length
+        for n in np.unique(self.length).tolist():
+            rows = np.flatnonzero(self.length == n)
+            if n <= _SHORT:
+                self._build(rows, characters[starts[rows, None] + np.arange(n)])
+            else:
+                for row in rows.tolist():
+                    self._build_long(row, chunks[row].as_py())
+
+    def _spelled(self, character: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entry and probability of characters that are no piece."""
+        size = 1 + (character > 0x7F).astype(np.int64) + (character > 0x7FF) + (character > 0xFFFF)
+        single = np.array(self.pieces.byte_id, np.int32)[np.minimum(character, 0x7F).astype(np.int64)]
+        return np.where(size == 1, single, -1 - character.astype(np.int32)), self.pieces.byte_p**size
+
+    def _build(self, rows: np.ndarray, codes: np.ndarray) -> None:
+        """Lattices of chunks of one length. All masses carry a factor for each character, which keeps them from vanishing."""
+        n = codes.shape[1]
+        h = _prefix_hashes(codes)
+        forward, paths = np.zeros((n + 1, len(rows))), np.zeros((n + 1, len(rows)))
+        forward[0] = paths[0] = 1
+        share, entry = np.zeros((self.off[n + 1], len(rows))), np.full((self.off[n + 1], len(rows)), -1, np.int32)
+        power = _BASE ** np.arange(self.pieces.longest + 1, dtype=np.uint64)
+        for end in range(1, n + 1):
+            at = self.off[end]
+            for size in range(1, min(end, self.pieces.longest) + 1):
+                found = self.pieces.find(h[:, end] - h[:, end - size] * power[size])
+                p, e = self.pieces.p[found], self.pieces.id[found]
+                if size == 1 and not found.all():
+                    bare = np.flatnonzero(found == 0)
+                    e[bare], p[bare] = self._spelled(codes[bare, end - 1])
+                share[at + size - 1] = forward[end - size] * p * _PER_CHARACTER**size
+                entry[at + size - 1] = e
+                paths[end] += paths[end - size] * (p > 0)
+            forward[end] = share[at : self.off[end + 1]].sum(0)
+            share[at : self.off[end + 1]] /= forward[end]
+        place = self.base[rows][:, None] + np.arange(self.off[n + 1])
+        self.share[place], self.entry[place], self.paths[rows] = share.T, entry.T, paths[n]
+
+    def _build_long(self, row: int, chunk: str) -> None:
+        known, prefixes, longest = self.pieces.known, self.pieces.prefixes, self.pieces.longest
+        base, n = int(self.base[row]), len(chunk)
+        p = np.zeros(len(self.share[base : base + self.off[n + 1]]))
         for i in range(n):
-            j = i + 1
-            single = False
-            while j <= n and (part := chunk[i:j]) in prefixes:
+            for j in range(i + 1, min(n, i + longest) + 1):
+                part = chunk[i:j]
+                if part not in prefixes:
+                    break
                 if found := known.get(part):
-                    ends[j].append((j - i, found[0], found[1]))
-                    single = single or j == i + 1
-                j += 1
-            if not single:
-                spelled = chunk[i].encode("utf-8", "surrogatepass")
-                mark = self.pieces.byte_id[spelled[0]] if len(spelled) == 1 else -1 - ord(chunk[i])
-                ends[i + 1].append((1, mark, byte_p ** len(spelled)))
-        # forward[j] is the mass of the first j characters, times exp(scaled[j]); it is kept from vanishing.
-        forward, paths, scaled = [1.0], [1.0], [0.0]
-        for j in range(1, n + 1):
-            top = max(scaled[j - s] for s, _, _ in ends[j])
-            mass = [forward[j - s] * p * np.exp(scaled[j - s] - top) if scaled[j - s] != top else forward[j - s] * p for s, _, p in ends[j]]
-            total = sum(mass)
-            firsts.append(at + len(cum))
-            running = 0.0
-            for (s, e, _), m in zip(ends[j], mass, strict=True):
-                q = m / total
-                running += q
-                cum.append(running)
-                share.append(q)
-                step.append(s)
-                entry.append(e)
-            cum[-1] = 2.0  # no number drawn passes the last
-            paths.append(sum(paths[j - s] for s, _, _ in ends[j]))
-            if total < 1e-200:
-                top += float(np.log(total))
-                total = 1.0
-            forward.append(total)
-            scaled.append(top)
-        return paths[-1]
-
-    def add(self, chunks) -> None:
-        """Build the lattices of the chunks that are not there yet."""
-        new = [c for c in chunks if c not in self.types]
-        if not new:
-            return
-        firsts, cum, share, log, step, entry, base, paths = ([] for _ in range(8))
-        nodes, entries = len(self.first) - 1, len(self.cum)
-        for c in new:
-            self.types[c] = len(self.types)
-            base.append(nodes + len(firsts))
-            paths.append(self._built(c, firsts, cum, share, log, step, entry, entries))
-        self.base = np.append(self.base, np.array(base, np.int64))
-        self.length = np.append(self.length, np.array([len(c) for c in new], np.int32))
-        self.paths = np.append(self.paths, paths)
-        self.first = np.concatenate((self.first[:-1], np.array(firsts, np.int64), [entries + len(cum)]))
-        self.cum, self.share = np.append(self.cum, cum), np.append(self.share, share)
-        self.log = np.append(self.log, np.log(share))
-        self.step, self.entry = np.append(self.step, np.array(step, np.int32)), np.append(self.entry, np.array(entry, np.int32))
+                    at = int(self.off[j]) + j - i - 1
+                    self.entry[base + at], p[at] = found
+            at = int(self.off[i + 1])
+            if not p[at]:
+                e, q = self._spelled(np.array([ord(chunk[i])], np.uint64))
+                self.entry[base + at], p[at] = e[0], q[0]
+        # Masses relative to 2 ** scale of their place.
+        forward, scale, paths = np.ones(n + 1), np.zeros(n + 1), np.ones(n + 1)
+        for end in range(1, n + 1):
+            at, size = int(self.off[end]), min(end, longest)
+            before = slice(end - size, end)
+            q = p[at : at + size][::-1]
+            top = scale[before].max()
+            mass = forward[before] * q * np.exp2(scale[before] - top)
+            total = mass.sum()
+            while not total:  # what can end here lies far below the best of the places before it
+                top -= 500
+                mass = forward[before] * q * np.exp2(np.minimum(scale[before] - top, 1000))
+                total = mass.sum()
+            self.share[base + at : base + at + size] = (mass / total)[::-1]
+            paths[end] = min(float((paths[before] * (q > 0)).sum()), 1e300)
+            m, x = np.frexp(total)
+            forward[end], scale[end] = m, top + x
+        self.paths[row] = paths[n]
 
     def draw(self, kinds: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A segmentation of each chunk: lattice entries, their count, log probability. ``keys`` seed the chunks' noise."""
-        place, logs, counts = self.length[kinds].astype(np.int64), np.zeros(len(kinds)), np.zeros(len(kinds), np.int64)
+        """A segmentation of each chunk: lattice slots, their count, log probability. ``keys`` seed the chunks' noise."""
+        place, logs, counts = self.length[kinds], np.zeros(len(kinds)), np.zeros(len(kinds), np.int64)
         steps, busy, turn = [], np.arange(len(kinds)), 0
         while len(busy):
-            node = self.base[kinds[busy]] + place[busy] - 1
-            u = (mixed(keys[busy] + np.uint64(turn) * STEP) >> np.uint64(11)) * 2.0**-53
-            at = self.first[node].copy()
-            beyond = np.flatnonzero(u >= self.cum[at])
-            while len(beyond):
-                at[beyond] += 1
-                beyond = beyond[u[beyond] >= self.cum[at[beyond]]]
-            logs[busy] += self.log[at]
-            place[busy] -= self.step[at]
+            at = self.base[kinds[busy]] + self.off[place[busy]]
+            u = (mixed(keys[busy] + np.array([turn], np.uint64) * STEP) >> np.uint64(11)) * 2.0**-53
+            last = at + np.minimum(place[busy], self.pieces.longest) - 1
+            on = np.arange(len(busy))
+            best = at.copy()
+            while len(on):
+                q = self.share[at[on]]
+                u[on] -= q
+                best[on] = np.where(q > 0, at[on], best[on])
+                on = on[(u[on] >= 0) & (at[on] < last[on])]
+                at[on] += 1
+            logs[busy] += np.log(self.share[best])
+            size = best - (self.base[kinds[busy]] + self.off[place[busy]]) + 1
+            place[busy] -= size
             counts[busy] += 1
-            steps.append((busy, at))
+            steps.append((busy, best))
             busy = busy[place[busy] > 0]
             turn += 1
         ends = np.cumsum(counts)
@@ -172,32 +228,49 @@ class Lattices:
 
     def draw_other(self, kind: int, taken: list[np.ndarray], u: Iterator[float]) -> tuple[np.ndarray, float] | None:
         """One segmentation of a chunk that is none of ``taken``, and its log probability; None if none has a share."""
-        place, out, log = int(self.length[kind]), [], 0.0
-        paths = [(list(p[::-1]), 0) for p in taken]
+        place, out, log, base = int(self.length[kind]), [], 0.0, int(self.base[kind])
+        paths = [(p[::-1].tolist(), 0) for p in taken]
         while place > 0:
-            node = self.base[kind] + place - 1
-            entries = range(self.first[node], self.first[node + 1])
-            weight = [float(self.share[e]) for e in entries]
-            for path, i in paths:  # what of an entry's share is taken
-                weight[path[i] - entries.start] -= float(np.prod(self.share[path[i:]]))
-            weight = [max(w, 0.0) if w > 1e-15 else 0.0 for w in weight]
-            aim = next(u) * sum(weight)
+            first = base + int(self.off[place])
+            shares = self.share[first : first + min(place, self.pieces.longest)].tolist()
+            weight = list(shares)
+            for path, i in paths:  # what of a slot's share is taken
+                weight[path[i] - first] -= math.prod(self.share[path[i:]].tolist())
+            weight = [w if w > 1e-15 else 0.0 for w in weight]
             if not sum(weight):
                 return None
-            for k, w in enumerate(weight):
+            aim = next(u) * sum(weight)
+            chosen = max(i for i, w in enumerate(weight) if w)
+            for i, w in enumerate(weight):
                 aim -= w
                 if aim < 0 and w:
+                    chosen = i
                     break
-            else:
-                k = max(i for i, w in enumerate(weight) if w)
-            e = entries.start + k
-            paths = [(p, i + 1) for p, i in paths if p[i] == e and i + 1 < len(p)]
-            out.append(e)
-            log += float(self.log[e])
-            place -= int(self.step[e])
+            at = first + chosen
+            paths = [(p, i + 1) for p, i in paths if p[i] == at and i + 1 < len(p)]
+            out.append(at)
+            log += math.log(shares[chosen])
+            place -= chosen + 1
         return np.array(out[::-1], np.int64), log
 
 
+def _chunks(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The chunks of all texts, each text with a space before it, and the number of each text's chunks.
+
+    A chunk begins at a space, at a line end and after one. An empty text has none."""
+    raw = [f" {t}".encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    sizes = np.array([len(x) for x in raw], np.int64)
+    buffer = b"".join(raw)
+    b = np.frombuffer(buffer, np.uint8)
+    begins = (b == 32) | (b == 10)
+    begins[1:] |= b[:-1] == 10
+    starts = np.flatnonzero(begins)
+    offsets = np.append(starts, len(b)).astype(np.int32)
+    chunks = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(buffer)).dictionary_encode()
+    ends = np.cumsum(sizes)
+    return chunks, np.searchsorted(starts, ends) - np.searchsorted(starts, ends - sizes)
+
+
 def _below(mass: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel values of sets with log mass ``mass``, given that they are below ``top``."""
     with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
@@ -215,29 +288,24 @@ def _uniform(keys: np.ndarray) -> np.ndarray:
 
 
 def _stream(key: int) -> Iterator[float]:
-    x = np.array([key], np.uint64)
+    """Numbers between 0 and 1 by splitmix64."""
+    whole = (1 << 64) - 1
     while True:
-        x = x + STEP
-        yield float(_uniform(x)[0])
+        key = (key + int(STEP)) & whole
+        x = ((key ^ (key >> 30)) * int(MIX_1)) & whole
+        x = ((x ^ (x >> 27)) * int(MIX_2)) & whole
+        yield ((x ^ (x >> 31)) >> 11) * 2.0**-53
 
 
 def samples(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text its samples, each (ids, log_prob, perturbed, inclusion)."""
-    if pieces.lattices is None or len(pieces.lattices.types) > TYPES:
-        pieces.lattices = Lattices(pieces)
-    lat = pieces.lattices
-    chunks: list[str] = []
-    counts = np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        own = _CHUNK.findall(f" {t}") if t else []
-        counts[i] = len(own)
-        chunks += own
-    lat.add(dict.fromkeys(chunks))
-    kinds = np.fromiter(map(lat.types.__getitem__, chunks), np.int64, len(chunks))
+    chunks, counts = _chunks(texts)
+    lat = Lattices(pieces, chunks.dictionary)
+    kinds = chunks.indices.to_numpy().astype(np.int64)
     doc = np.repeat(np.arange(len(texts)), counts)
     starts = np.cumsum(counts) - counts
     number = np.arange(len(kinds)) - starts[doc]
-    noise = lambda round_, of: mixed(mixed(keys[doc[of]] + np.uint64(2 * round_) * STEP) ^ mixed(number[of].astype(np.uint64) + np.uint64(1)))
+    noise = lambda round_, of: mixed(mixed(keys[doc[of]] + np.array([2 * round_], np.uint64) * STEP) ^ mixed(number[of].astype(np.uint64) + np.uint64(1)))
 
     pool, size = [], 0
     seg_at, seg_n, seg_log, node = [], [], [], []  # by round: each chunk's segmentation in the pool, and the value of the set it parts from
@@ -291,7 +359,7 @@ def samples(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int) -> list[
                 taken.append(found[0])
                 # What is left of the set, below the value just drawn.
                 before = float(log[starts[d] : c].sum())
-                gone = float(np.logaddexp.reduce([lat.log[p].sum() for p in taken]))
+                gone = float(np.logaddexp.reduce([np.log(lat.share[p]).sum() for p in taken]))
                 mass = np.array([before + _log_rest(np.array([gone]))[0] if lat.paths[kinds[c]] > len(taken) else -np.inf])
                 node[j][c] = _below(mass, top[d : d + 1], _uniform(noise(r, np.array([c])) + np.uint64(7)))[0]
             pool.extend(more)
@@ -326,7 +394,7 @@ def samples(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int) -> list[
 def _encode(broadcast, k: int, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = broadcast.value
-        for part in slices(batches, "__text", 1 << 20):
+        for part in slices(batches, "__text", 4 << 20):
             texts = part.column("__text").to_pylist()
             found = samples(pieces, texts, part.column("__key").to_numpy().view(np.uint64), k)
             n = np.array([len(x) for x in found], np.int64)
