@@ -43,6 +43,10 @@ def grams(word_list: Column, n: int) -> Column:
     return F.when(F.size(word_list) >= n, F.transform(F.sequence(F.lit(1), F.size(word_list) - (n - 1)), lambda i: F.xxhash64(F.slice(word_list, i, n)))).otherwise(F.array().cast("array<bigint>"))
 
 
+def runs_of(n: int):
+    return lambda word_list: grams(word_list, n)
+
+
 def fingerprints(word_list: Column) -> Column:
     """Winnowed (hash, place) of a list of words; places count from 0."""
     span = WINDOW - GRAM + 1
@@ -66,7 +70,7 @@ def marked(docs: DataFrame, items: DataFrame, item_id: str = "item_id", text: st
     met = prints.join(long_items, "hash").select("doc", "item", (F.col("place") - F.col("at")).alias("shift"))
     for (n,) in item.where(F.col("n") < WINDOW).select("n").distinct().collect():
         short = item.where(F.col("n") == n).select("item", F.xxhash64("item_words").alias("hash"))
-        runs = doc.select("doc", F.posexplode(once(words(F.col("text")), lambda w, n=n: grams(w, n))).alias("shift", "hash"))
+        runs = doc.select("doc", F.posexplode(once(words(F.col("text")), runs_of(n))).alias("shift", "hash"))
         met = met.unionByName(runs.join(short, "hash").select("doc", "item", "shift"))
     met = met.distinct().join(item.select("item", "item_id", "item_words"), "item")
     met = written(met.groupBy("doc").agg(F.collect_list(F.struct("item_id", "item_words", "shift")).alias("met")), "met")

@@ -1,17 +1,19 @@
 """Near-duplicate classes by HyperMinHash.
 
-Each text's set of five-word shingles is hashed once. The first eight bits of a hash choose one of 256
-registers, and a register keeps its least remaining hash in 16 bits: the count of leading zeros and ten bits
-of mantissa. Four registers side by side make one of 64 band keys; texts that share a band key are candidates.
-At a similarity of 0.75 a pair shares no band key with probability (1 - 0.75 ** 4) ** 64, about 3e-11.
+Each text's set of five-word shingles is hashed. The first eight bits of a hash choose one of 256 registers, and a
+register keeps its least remaining hash in eight bits: the count of leading zeros and three bits of mantissa. What is
+empty after that is filled from further hashes of the same shingles, so two texts agree in a register with the
+probability of their similarity, however short they are. Six registers make a band key, and there are 80 bands; texts that
+share a key are candidates. A pair at a similarity of 0.75 shares none with a probability of about one in a million.
 Candidates whose collision-corrected estimate is far below the threshold go, the rest are confirmed on full sets.
 
 Groups of copies may hold a third of all rows, so no bucket is expanded into pairs:
 
 1. equal sets are one class, found by a hash of the set (an aggregate);
-2. each class meets the smallest class of each of its buckets and keeps the edge with the best estimate;
-3. buckets that still hold several components are gone through again: larger ones meet further centres
-   first, then classes of different components in one bucket are compared, in blocks of bounded size.
+2. each bucket has a centre, the class that shares most buckets with others; each class meets the centre with which
+   it shares most of its buckets, where that is confirmed;
+3. in buckets that still hold several components, the classes outside the largest one are compared with all by their
+   registers, in tiles of bounded size: at first each meets the one most like it, at last all that may be linked.
 
 After step 3, two classes in one bucket are in one component or were found not linked.
 
@@ -26,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,14 +38,12 @@ from weftline.settings import written
 WORDS = 5
 PERCENT = 75
 REGISTERS = 256
-MANTISSA = 10
-BAND = 4
-SMALL = 64
-"""Buckets of up to so many classes are compared by a join, larger ones in tiles."""
+ZEROS, MANTISSA = 31, 3
+BAND, BANDS = 6, 80
 BLOCK = 256
 """Classes in a block; a tile holds two blocks of a bucket."""
-STARS = 3
-SIGMAS = 6
+NEAREST_ROUNDS = 2
+SIGMAS = 5
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(1, WORDS + 1)], np.uint64)
 
 
@@ -77,35 +76,44 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of registers for each set: 0 if empty, else leading zeros and mantissa of the least hash."""
-    out = np.zeros((len(sets), REGISTERS), np.uint16)
+    """One row of registers for each set, all 0 for an empty one: leading zeros and mantissa of the least hash."""
+    out = np.zeros((len(sets), REGISTERS), np.uint8)
+    full = np.uint64((1 << 64) - 1)
     for row, s in enumerate(sets):
         if not len(s):
             continue
-        place = s >> np.uint64(56)
-        first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        rest = (s[first] << np.uint64(8)) | np.uint64(128)
-        _, exponent = np.frexp(rest.astype(np.float64))
-        zeros = np.clip(64 - exponent, 0, 55).astype(np.uint64)
-        mantissa = (rest << (zeros + np.uint64(1))) >> np.uint64(64 - MANTISSA)
-        out[row, place[first]] = (zeros << np.uint64(MANTISSA)) + mantissa + np.uint64(1)
+        # The round in the top 16 bits, the hash in the others: what an earlier round fills, a later one leaves.
+        least, turn = np.full(REGISTERS, full), 0
+        while (least == full).any():
+            turns = np.arange(turn, turn + max(1, 2048 // len(s)), dtype=np.uint64) if turn else np.zeros(1, np.uint64)
+            h = mixed(s ^ mixed(turns * STEP)[:, None]) if turn else s[None, :]
+            value = (turns[:, None] << np.uint64(48)) | (h & np.uint64((1 << 48) - 1))
+            np.minimum.at(least, (h >> np.uint64(56)).astype(np.int64).ravel(), value.ravel())
+            turn += len(turns)
+        rest = (least & np.uint64((1 << 48) - 1)) | np.uint64(1)
+        _, bits = np.frexp(rest.astype(np.float64))
+        mantissa = ((rest << (64 - bits).astype(np.uint64)) << np.uint64(1)) >> np.uint64(64 - MANTISSA)
+        out[row] = (np.minimum(48 - bits, ZEROS).astype(np.uint64) << np.uint64(MANTISSA)) + mantissa
     return out
 
 
-def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated similarity of register rows, less the registers expected to agree by chance, and the registers used."""
-    used = ((a | b) != 0).sum(-1)
-    same = ((a == b) & (a != 0)).sum(-1)
-    zeros = np.arange(56)
-    level = lambda n: np.exp(-(n[..., None] / REGISTERS) * 2.0 ** -(zeros + 1)) - np.exp(-(n[..., None] / REGISTERS) * 2.0**-zeros)
+def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Estimated similarity of register rows, less the registers expected to agree by chance."""
+    zeros = np.arange(ZEROS + 1)
+
+    def level(n: np.ndarray) -> np.ndarray:
+        """Chance of each count of leading zeros, of the least of so many hashes."""
+        x = np.maximum(n[..., None] / REGISTERS, 1)
+        return np.exp(-x * 2.0 ** -(zeros + 1)) - np.exp(-x * 2.0**-zeros)
+
     chance = (level(n_a.astype(float)) * level(n_b.astype(float))).sum(-1) / (1 << MANTISSA)
-    return np.maximum(0, (same / np.maximum(used, 1) - chance) / (1 - chance)), used
+    return np.maximum(0, ((a == b).mean(-1) - chance) / (1 - chance))
 
 
-def passes(estimate: np.ndarray, used: np.ndarray) -> np.ndarray:
+def passes(estimate: np.ndarray) -> np.ndarray:
     """False where the estimate lies further below the threshold than its error can explain."""
     p = PERCENT / 100
-    return estimate >= p - SIGMAS * np.sqrt(p * (1 - p) / np.maximum(used, 1)) - 0.02
+    return estimate >= p - SIGMAS * np.sqrt(p * (1 - p) / REGISTERS)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,28 +135,32 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def _as_registers(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), REGISTERS)
+
+
+def _band_keys(regs: np.ndarray) -> np.ndarray:
+    """The key of each band (column) of each row: a hash of six registers of the band's own choice."""
+    choice = np.array([np.random.default_rng(i).permutation(REGISTERS)[:BAND] for i in range(BANDS)])
+    packed = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) << np.uint64(8 * BAND), (len(regs), BANDS)).copy()
+    for i in range(BAND):
+        packed |= regs[:, choice[:, i]].astype(np.uint64) << np.uint64(8 * i)
+    return mixed(packed * MIX_1 + STEP)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seeds = mixed(np.arange(1, REGISTERS // BAND + 1, dtype=np.uint64) * STEP)
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
-            keys = np.ascontiguousarray(_as_registers(part.column("regs"))).view(np.uint64)
-            row, band = np.nonzero(keys)
-            out = mixed((keys[row, band] ^ seeds[band]) * MIX_1)
+            keys = _band_keys(_as_registers(part.column("regs")))
             ids = part.column("node").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), pa.array(ids[row])], ["band", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, BANDS))], ["band", "node"])
 
 
 def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        estimate, used = estimates(*(_as_registers(batch.column(c)) for c in ("regs_a", "regs_b")), *(batch.column(c).to_numpy() for c in ("n_a", "n_b")))
-        keep = pa.array(passes(estimate, used))
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(estimate).filter(keep)], ["a", "b", "estimate"])
+        if batch.num_rows:
+            estimate = estimates(*(_as_registers(batch.column(c)) for c in ("regs_a", "regs_b")), *(batch.column(c).to_numpy() for c in ("n_a", "n_b")))
+            yield batch.select(["a", "b"]).filter(pa.array(passes(estimate)))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,22 +176,52 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield part.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
 
-def _compare_tile(key: tuple, tile: pa.Table) -> pa.Table:
-    """Pairs of one tile: classes of different components whose estimate passes. A tile holds two blocks of a bucket."""
-    left, right = (tile.filter(pc.equal(tile.column("side"), s)) for s in (0, 1))
-    out_a, out_b = [], []
-    if left.num_rows and right.num_rows:
-        (ra, rb) = (_as_registers(t.column("regs").combine_chunks()) for t in (left, right))
-        (na, nb), (la, lb), (ia, ib) = ([t.column(c).to_numpy() for t in (left, right)] for c in ("n", "label", "node"))
-        for i in range(len(ia)):
-            other = np.flatnonzero((lb != la[i]) & (ib != ia[i]))
-            if len(other):
-                estimate, used = estimates(np.broadcast_to(ra[i], (len(other), REGISTERS)), rb[other], np.broadcast_to(na[i], len(other)), nb[other])
-                hit = other[passes(estimate, used)]
-                out_a.append(np.full(len(hit), ia[i]))
-                out_b.append(ib[hit])
-    a, b = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _compared(tile: pa.Table, nearest: bool) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """For each class of a tile's left side, those of its right side in other components whose estimate passes (the
+    first of them, if only the nearest is asked for), with their estimates."""
+    side = tile.column("side").to_numpy()
+    regs = _as_registers(tile.column("regs").combine_chunks())
+    n, label, node = (tile.column(c).to_numpy() for c in ("n", "label", "node"))
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    out = []
+    for i in left.tolist():
+        other = right[label[right] != label[i]]
+        if len(other):
+            estimate = estimates(regs[i], regs[other], n[i : i + 1], n[other])
+            hit = np.flatnonzero(passes(estimate))
+            if nearest and len(hit):
+                hit = hit[estimate[hit].argmax()][None]
+            out.append((node[i], node[other[hit]], estimate[hit]))
+    return out
+
+
+def _compare(nearest: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of all tiles of a partition whose rows are sorted by tile (band, i, j)."""
+        kept: pa.Table | None = None
+        for batch in _with_end(batches):
+            new = [] if batch is None else [pa.Table.from_batches([batch])]
+            rows = pa.concat_tables([*([] if kept is None else [kept]), *new]) if new or kept is not None else None
+            if rows is None or not rows.num_rows:
+                continue
+            keys = np.column_stack([rows.column(c).to_numpy() for c in ("band", "i", "j")])
+            starts = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]))
+            last = len(starts) - 1 if batch is None else len(starts) - 2  # the last tile may go on in the next batch
+            found = [x for t in range(last) for x in _compared(rows.slice(starts[t], starts[t + 1] - starts[t]), nearest)]
+            kept = rows.slice(starts[last])
+            if found:
+                a = np.repeat(np.array([x[0] for x in found], np.int64), [len(x[1]) for x in found])
+                columns = [a, *(np.concatenate([x[k] for x in found]) for k in (1, 2))]
+                # A pair may meet in several bands.
+                _, first = np.unique(np.column_stack((np.minimum(a, columns[1]), np.maximum(a, columns[1]))), axis=0, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c if nearest else c[first]) for c in columns], ["a", "b", "estimate"])
+
+    return run
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
 
 
 def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -222,15 +264,17 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     labels = nodes.select("node", F.col("node").alias("label")).distinct()
 
     bands = nodes.mapInArrow(_bands, "band long, node long")
-    buckets = bands.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("center"), F.max("node").alias("last")).where("center < last")
-    bucket_rows = written(bands.join(buckets.drop("last"), "band").distinct(), "buckets")
+    buckets = bands.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("band", "size")
+    bucket_rows = written(bands.join(buckets, "band").distinct(), "buckets")
+    degree = bucket_rows.groupBy("node").agg(F.sum("size").alias("degree"))
+    centers = bucket_rows.select("band", "node").join(degree, "node").groupBy("band").agg(F.max_by("node", F.struct("degree", "node")).alias("center"))
     involved = bucket_rows.select("node").distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
     texts = written(texts.join(involved, "node", "left_semi"), "texts")
 
     def estimated(pairs: DataFrame) -> DataFrame:
         side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_estimate, "a long, b long, estimate double")
+        return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_estimate, "a long, b long")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         side = lambda x: texts.select(F.col("node").alias(x), F.coalesce("text", F.lit("")).alias(f"text_{x}"))
@@ -238,42 +282,34 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         return written(found.mapInArrow(_confirm, "a long, b long").distinct(), "confirmed")
 
     def star(rows: DataFrame) -> DataFrame:
-        pairs = estimated(rows.where("node <> center").select(F.col("node").alias("b"), F.col("center").alias("a")).distinct())
-        return confirmed(pairs.groupBy("b").agg(F.max_by("a", "estimate").alias("a")))
+        """The link of each class with the centre it shares most buckets with, where that is confirmed."""
+        pairs = rows.where("node <> center").groupBy(F.col("node").alias("b"), F.col("center").alias("a")).count()
+        return confirmed(estimated(pairs.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))))
 
     # Texts of one doc_id are one document, so their classes are one component.
     several = member.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
     twice = member.join(several, "doc_id").select(F.col("node").alias("a"), "b").where("a <> b").distinct()
-    labels = components(star(bucket_rows).unionByName(twice), labels)
-
-    def open_buckets() -> DataFrame:
-        """Rows of the buckets that hold more than one component, with their labels."""
-        rows = bucket_rows.select("band", "size", "node").join(labels, "node")
-        many = rows.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("band")
-        return written(rows.join(many, "band"), "open")
-
-    rows = open_buckets()
-    for turn in range(STARS):
-        large = rows.where(F.col("size") > SMALL)
-        if large.isEmpty():
+    labels = components(star(bucket_rows.join(centers, "band")).unionByName(twice), labels)
+
+    for turn in range(NEAREST_ROUNDS + 1):
+        rows = bucket_rows.join(labels, "node")
+        sizes = rows.groupBy("band", "label").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most")).where("most < all")
+        blocks = lambda c: F.ceil(c / BLOCK)
+        rows = written(rows.join(largest.select("band", "main", blocks(F.col("all") - F.col("most")).alias("down"), blocks(F.col("all")).alias("across")), "band"), "open")
+        if rows.isEmpty():
             break
-        center = large.groupBy("band").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("center"))
-        center = center.join(labels.select(F.col("node").alias("center"), F.col("label").alias("its")), "center")
-        labels = components(star(large.join(center, "band").where("label <> its").select("node", "center")), labels)
-        rows = open_buckets()
-
-    small, large = rows.where(F.col("size") <= SMALL), rows.where(F.col("size") > SMALL)
-    left, right = (small.select("band", F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-    pairs = left.join(right, "band").where("a < b and label_a <> label_b").select("a", "b").distinct()
-    pairs = estimated(pairs).select("a", "b")
-    if not large.isEmpty():
-        blocks = F.ceil(F.col("size") / BLOCK)
-        dealt = large.join(nodes, "node").withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        both = dealt.select("*", F.explode(F.when(F.col("mine") == F.col("other"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.when(F.col("mine") < F.col("other"), 0).otherwise(1)))).alias("side"))
-        both = both.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "side", "node", "n", "label", "regs")
-        pairs = pairs.unionByName(both.groupBy("band", "i", "j").applyInArrow(_compare_tile, "a long, b long")).distinct()
-    labels = components(confirmed(pairs), labels)
+        own = lambda k: F.pmod(F.xxhash64("node"), F.col(k))
+        every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.col(k) - 1))
+        left = rows.where("label <> main").withColumn("side", F.lit(0)).withColumn("i", own("down")).withColumn("j", every("across"))
+        right = rows.withColumn("side", F.lit(1)).withColumn("j", own("across")).withColumn("i", every("down"))
+        tiles = left.unionByName(right).join(nodes, "node").select("band", "i", "j", "side", "node", "n", "label", "regs")
+        nearest = turn < NEAREST_ROUNDS
+        pairs = tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_compare(nearest), "a long, b long, estimate double")
+        if nearest:
+            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        labels = components(confirmed(pairs), labels)
 
     out = member.join(labels, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("label"))
