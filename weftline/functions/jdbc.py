@@ -35,7 +35,7 @@ def _after_key(url: Column, key: str, stop: str) -> Column:
 
 def database_name(url: Column) -> Column:
     """Database part of ``url``; empty for unknown drivers."""
-    slash_form = _upto(_after_last(url, "/"), "?")
+    slash_form = _after_last(_upto(url, "?"), "/")
     derby_form = _upto(F.when(url.contains("/"), _after_last(url, "/")).otherwise(_after_last(url, ":")), ";")
     slash_driver = (
         url.startswith(DB2) | url.startswith(MARIADB) | url.startswith(MYSQL) | url.startswith(POSTGRESQL)

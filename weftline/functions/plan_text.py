@@ -43,6 +43,7 @@ _LOAD_PATH = r"Arguments: `[^,]*, (.*?), (?:true|false), (?:true|false)"
 _STORAGE_LOCATION = r"Location: ([^,)\n]+)"
 _SCAN_TABLE = r"^Scan \S+ ([^\s(]+)$"
 _SCAN_LOCATIONS = r"Location: \w+ ?\[([^\]]*)\]"
+_CUT = r", \.\.\. (\d+) entries$"
 _SCAN_RELATION = r"^(?:Scan|BatchScan|MicroBatchScan) (.*)$"
 
 
@@ -105,7 +106,7 @@ def command_of(node: Column) -> Column:
     A command that Spark executes eagerly is printed twice, as ``Execute X`` and as its child ``X``;
     only the first form counts.
     """
-    bare = F.substring(node, len(_EXECUTE) + 1, 200)
+    bare = F.substring(node, len(_EXECUTE) + 1, (1 << 31) - 1)
     executed = F.when(node.startswith(_EXECUTE), F.split_part(bare, F.lit(" "), F.lit(1)))
     return F.when(executed.isin(*COMMANDS), executed).when(node.isin(*V2_WRITES), F.lit("WriteToDataSourceV2"))
 
@@ -190,11 +191,27 @@ def leaf_table(node: Column, detail: Column) -> Column:
     return _or_null(F.when(node.startswith("Scan "), printed).otherwise(quoted))
 
 
-def leaf_paths(detail: Column) -> Column:
-    """Paths a file scan lists. Spark shortens long lists to ``... n entries``; see ``is_shortened``."""
+def leaf_paths(detail: Column, locations: Column) -> Column:
+    """Paths a file scan lists. A printed plan shows the first of several; the others are taken from ``locations``,
+    the plan graph's lists, if one of these is whole and begins with the same path; see ``is_shortened``."""
     listed = F.split(F.regexp_extract(detail, _SCAN_LOCATIONS, 1), ", ")
-    return F.filter(listed, lambda p: (F.length(p) > 0) & ~p.startswith("..."))
+    printed = F.filter(listed, lambda p: (F.length(p) > 0) & ~p.startswith("..."))
+    inside = F.regexp_extract(_whole_list(detail, locations), r"\[(.*)\]$", 1)
+    return F.when(_is_cut(detail) & (F.length(inside) > 0), F.split(inside, ", ")).otherwise(printed)
 
 
-def is_shortened(detail: Column) -> Column:
-    return F.regexp_extract(detail, _SCAN_LOCATIONS, 1).rlike(r", \.\.\. \d+ entries$")
+def _is_cut(detail: Column) -> Column:
+    return F.regexp_extract(detail, _SCAN_LOCATIONS, 1).rlike(_CUT)
+
+
+def _whole_list(detail: Column, locations: Column) -> Column:
+    """Of ``locations`` the one whose number of paths and first path are those of the scan, if it is not cut itself."""
+    printed = F.regexp_extract(detail, _SCAN_LOCATIONS, 1)
+    more = F.regexp_extract(printed, _CUT, 1).try_cast("int")
+    mark = F.concat(F.lit("("), (more + 1).cast("string"), F.lit(" paths)["), F.regexp_extract(printed, "^(.*?), ", 1), F.lit(", "))
+    return F.try_element_at(F.filter(locations, lambda x: x.contains(mark) & ~x.endswith("...]")), F.lit(1))
+
+
+def is_shortened(detail: Column, locations: Column) -> Column:
+    """The scan reads more paths than are known."""
+    return _is_cut(detail) & _whole_list(detail, locations).isNull()

@@ -1,8 +1,9 @@
 """As-of lookup: the latest value of a key at or before a point in its sequence.
 
 A window over a whole key would put a very busy key into one task. Here the sequence is cut into
-spans: a window runs inside each (key, span), the last value of each span is carried forward over
-the spans of the key, which are few, and the two meet on (key, span).
+spans: a window runs inside each (key, span), the closing row of each span carries its last value forward
+over the spans of the key, and the two meet on (key, span). What the windows found is written to the shared
+folder, so that rows which come from a lookup themselves are worked out once, however many lookups follow.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.settings import written
+
 
 def carry_forward(
     rows: DataFrame, keys: list[str], order: str, value: str, out: str, width: int, strict: bool = False
@@ -22,17 +25,17 @@ def carry_forward(
     # Whole-number arithmetic: sequence numbers of logs are too large for exact doubles.
     spanned = rows.withColumn("span_no", F.col(order) - F.pmod(F.col(order), F.lit(width)))
     groups = [*keys, "span_no"]
-    last_of_span = F.max(F.when(F.col(value).isNotNull(), F.struct(F.col(order), F.col(value))))
-    spans = spanned.groupBy(*groups).agg(last_of_span.alias("span_last"))
+    span = Window.partitionBy(*groups).orderBy(order)
+    upto = span.rowsBetween(Window.unboundedPreceding, 0)
+    local = spanned.withColumn("span_last", F.last(value, ignorenulls=True).over(upto))
+    local = local.withColumn("local_last", F.lag("span_last").over(span) if strict else F.col("span_last"))
+    local = written(local.withColumn("closes", F.lead(order).over(span).isNull()), "asof")
     before = Window.partitionBy(*keys).orderBy("span_no").rowsBetween(Window.unboundedPreceding, -1)
-    carried = spans.select(*groups, F.last("span_last", ignorenulls=True).over(before)[value].alias("carried"))
-    carried = carried.where("carried is not null")
-    upto = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    local = spanned.withColumn("local_last", F.last(value, ignorenulls=True).over(upto))
+    closing = local.where("closes").select(*groups, F.last("span_last", ignorenulls=True).over(before).alias("carried"))
     return (
-        local.join(carried, groups, "left")
+        local.join(closing.where("carried is not null"), groups, "left")
         .withColumn(out, F.coalesce("local_last", "carried"))
-        .drop("span_no", "local_last", "carried")
+        .drop("span_no", "span_last", "local_last", "closes", "carried")
     )
 
 

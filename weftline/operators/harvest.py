@@ -94,15 +94,20 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
     )
     best = F.array_min(F.transform("commands", lambda c: _priority(c["command"])))
 
+    def kinded(n: Column) -> Column:
+        return F.struct(n["pos"].alias("pos"), n["node"].alias("node"), n["detail"].alias("detail"), pt.leaf_kind(n["node"], n["detail"]).alias("kind"))
+
+    locations = F.col("locations") if "locations" in executions.columns else F.array().cast("array<string>")
+
     def leaf(n: Column) -> Column:
         owner = F.filter("commands", lambda c: (c["pos"] < n["pos"]) & (c["end"] > n["pos"]))
         return F.struct(
             _tag(F.coalesce(F.try_element_at(owner, F.lit(1))["pos"], F.lit(-1))).alias("tag"),
             n["pos"].alias("leaf_pos"),
             n["node"].alias("node"),
-            pt.leaf_kind(n["node"], n["detail"]).alias("kind"),
-            pt.is_shortened(n["detail"]).alias("shortened"),
-            leaf_targets(n["node"], n["detail"]).alias("targets"),
+            n["kind"].alias("kind"),
+            ((n["kind"] == "files") & pt.is_shortened(n["detail"], locations)).alias("shortened"),
+            leaf_targets(n["node"], n["detail"], n["kind"], locations).alias("targets"),
         )
 
     return parse(executions).select(
@@ -114,7 +119,7 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
         *keep,
         F.coalesce(best, F.lit(NO_COMMAND)).alias("priority"),
         listed.alias("listed"),
-        F.transform(F.filter("nodes", lambda n: n["is_leaf"]), leaf).alias("leaves"),
+        F.transform(F.transform(F.filter("nodes", lambda n: n["is_leaf"]), kinded), leaf).alias("leaves"),
     )
 
 
@@ -192,12 +197,11 @@ def _target(ident: Column, path: Column) -> Column:
     )
 
 
-def leaf_targets(node: Column, detail: Column) -> Column:
+def leaf_targets(node: Column, detail: Column, kind: Column, locations: Column) -> Column:
     """What a leaf reads, as an array of targets; null for leaves that are neither table nor files."""
     nothing = F.lit(None).cast("string")
-    kind = pt.leaf_kind(node, detail)
     table = F.array(_target(pt.leaf_table(node, detail), nothing))
-    files = F.transform(pt.leaf_paths(detail), lambda p: _target(nothing, p))
+    files = F.transform(pt.leaf_paths(detail, locations), lambda p: _target(nothing, p))
     return F.when(kind == "table", table).when(kind == "files", files)
 
 
@@ -208,7 +212,7 @@ def input_targets(chosen: DataFrame, leaves: DataFrame, settings: JobSettings =
     if settings.strict_view:
         reading = reading.where((command != pt.CREATE_VIEW) | F.col("simple_shape"))
     known = leaves.where("targets is not null").select(*STATEMENT, "leaf_pos", "targets")
-    span = F.lit(1 << 20).cast("bigint")
+    span = F.lit(1 << 40).cast("bigint")
     return (
         reading.select(*EDGE_KEYS, "root_execution_id", "tag")
         .join(known, STATEMENT)
@@ -286,7 +290,7 @@ def connector_edges(
     )
     wanted = reading.select(*EDGE_KEYS, "options_execution_id", "direction").unionByName(writing)
     return wanted.join(found, ["app_id", "options_execution_id", "direction"]).select(
-        *EDGE_KEYS, "direction", "type_name", "qualified_name", (F.lit(1 << 40) + F.col("nth")).alias("ordinal")
+        *EDGE_KEYS, "direction", "type_name", "qualified_name", (F.lit(1 << 62) + F.col("nth")).alias("ordinal")
     )
 
 

@@ -20,7 +20,7 @@ CYCLIC = """cyclic AS (
   WHERE o.direction = 'output' AND i.direction = 'input')"""
 
 CLEAN = """clean AS (
-  SELECT * FROM edges WHERE direction = 'input' OR execution_id NOT IN (SELECT execution_id FROM cyclic))"""
+  SELECT e.* FROM edges e WHERE direction = 'input' OR NOT EXISTS (SELECT 1 FROM cyclic c WHERE c.execution_id = e.execution_id))"""
 
 STREAM_EDGES = """stream_edges AS (
   SELECT 'q' || user_id AS query_id, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS batch_id,

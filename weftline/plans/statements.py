@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import plan_text as pt
 from weftline.operators import harvest, lineage
+from weftline.operators import statements as told
 from weftline.plans import standin_sql as q
 from weftline.settings import shared_dir, written
 from weftline.sources import event_log, standins
@@ -19,15 +20,23 @@ from weftline.sources.event_log import EventLog
 _STAGED: dict[tuple[str, str], str] = {}
 
 
-def _staged(spark: SparkSession, folder: str) -> tuple[EventLog, DataFrame]:
-    """Event log and plan facts of ``folder``, written once per application as a fleet's would be."""
+def stage(spark: SparkSession, folder: str) -> str:
+    """Write the event log and plan facts of ``folder`` once per application, as a fleet's would be; gives their place.
+
+    Facts are taken from every started plan, where its text lies; only they meet the test for success."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _STAGED:
         place = f"{shared_dir(spark)}/log-{uuid.uuid4()}"
         log = event_log.stage(standins.log_lines(spark, folder), place)
-        harvest.facts(log.executions()).write.parquet(f"{place}/facts")
+        harvest.facts(log.started).write.parquet(f"{place}/started_facts")
+        known = spark.read.parquet(f"{place}/started_facts")
+        event_log.successful_executions(known, log.ended).write.parquet(f"{place}/facts")
         _STAGED[key] = place
-    place = _STAGED[key]
+    return _STAGED[key]
+
+
+def _staged(spark: SparkSession, folder: str) -> tuple[EventLog, DataFrame]:
+    place = stage(spark, folder)
     return event_log.read_staged(spark, place), spark.read.parquet(f"{place}/facts")
 
 
@@ -133,7 +142,7 @@ MULTI_INSERT = _WITH + f"SELECT DISTINCT {_SQL_COLUMNS} FROM statement_edges WHE
 
 def leaf_collect(spark: SparkSession, folder: str) -> DataFrame:
     """Every leaf of every printed plan with its kind."""
-    leaves = harvest.leaf_rows(harvest.facts(_log(spark, folder).started))
+    leaves = harvest.leaf_rows(spark.read.parquet(f"{stage(spark, folder)}/started_facts"))
     return leaves.select("execution_id", "leaf_pos", "node", "kind")
 
 
@@ -238,8 +247,64 @@ FROM every e JOIN applications a ON e.app_id = a.app_id"""
 )
 
 
+def _clean(spark: SparkSession, folder: str) -> DataFrame:
+    return lineage.clean_cycles(written(_edges(spark, folder), "edges"))
+
+
+def statement_mutations(spark: SparkSession, folder: str) -> DataFrame:
+    """What a catalog must create for each statement, with the rank that orders it."""
+    return told.mutations(_clean(spark, folder))
+
+
+_CLEAN = """clean AS (SELECT * FROM (SELECT DISTINCT * FROM statement_edges) e WHERE direction = 'input' OR NOT EXISTS (
+  SELECT 1 FROM statement_edges i JOIN statement_edges o
+    ON i.k = o.k AND i.command_pos = o.command_pos AND i.qualified_name = o.qualified_name
+  WHERE i.direction = 'input' AND o.direction = 'output' AND i.k = e.k AND i.command_pos = e.command_pos))"""
+STATEMENT_MUTATIONS = (
+    q.with_(q.STATEMENTS, _CLEAN)
+    + r"""SELECT DISTINCT app_id, k AS execution_id, 'create' AS op, type_name, qualified_name, create_rank FROM (
+  SELECT app_id, k, type_name, qualified_name,
+    CASE type_name WHEN 'aws_s3_object' THEN 2 WHEN 'spark_table' THEN 1 ELSE 0 END AS create_rank
+    FROM clean WHERE type_name <> 'hive_table'
+  UNION ALL SELECT app_id, k, 'aws_s3_pseudo_dir', regexp_replace(qualified_name, '[^/]*$', ''), 1 FROM clean WHERE type_name = 'aws_s3_object'
+  UNION ALL SELECT app_id, k, 'aws_s3_bucket', regexp_extract(qualified_name, '^s3://[^/]+'), 0 FROM clean WHERE type_name = 'aws_s3_object'
+  UNION ALL SELECT app_id, k, 'spark_db', regexp_replace(qualified_name, '\.[^.]+$', ''), 0 FROM clean WHERE type_name = 'spark_table'
+  UNION ALL SELECT app_id, k, 'spark_storagedesc', qualified_name || '.storageFormat', 0 FROM clean WHERE type_name = 'spark_table'
+  UNION ALL SELECT app_id, k, 'spark_process', app_id, 4 FROM clean)"""
+)
+
+
+def process_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Process rows with attributes, references and dependencies; the plan text is shown by its first words."""
+    log = _log(spark, folder)
+    rows = told.process_entities(_clean(spark, folder), log.executions(), log.applications)
+    listed = lambda c: F.array_join(F.transform(c, lambda r: F.concat(r["type_name"], F.lit(" "), r["qualified_name"])), ",")
+    return rows.select(
+        "app_id", "execution_id", "type_name", "qualified_name", "name", "curr_user", "remote_user", "query_id", "batch_id", "command_pos",
+        F.col("details").startswith("== Physical Plan ==").alias("has_details"),
+        listed("inputs").alias("inputs"), listed("outputs").alias("outputs"), F.size("deps").alias("n_deps"), "create_rank",
+    )
+
+
+PROCESS_ENTITIES = (
+    q.with_(q.STATEMENTS, _CLEAN, q.APPLICATIONS)
+    + """, refs AS (SELECT app_id, k, command_pos, kind,
+  coalesce(string_agg(type_name || ' ' || qualified_name, ',' ORDER BY type_name, qualified_name) FILTER (WHERE direction = 'input'), '') AS inputs,
+  coalesce(string_agg(type_name || ' ' || qualified_name, ',' ORDER BY type_name, qualified_name) FILTER (WHERE direction = 'output'), '') AS outputs,
+  CAST(count(DISTINCT type_name || ' ' || qualified_name) FILTER (WHERE type_name <> 'hive_table') AS INTEGER) AS n_deps
+  FROM clean GROUP BY app_id, k, command_pos, kind)
+SELECT r.app_id, k AS execution_id, 'spark_process' AS type_name, r.app_id AS qualified_name,
+  CASE WHEN app_name = 'Spark shell' THEN 'Spark Job + ' || r.app_id ELSE app_name || ' ' || r.app_id END AS name,
+  usr AS curr_user, usr AS remote_user, CASE WHEN kind = 14 THEN 'q' || ((SELECT c FROM statements s WHERE s.k = r.k) % 90) END AS query_id,
+  CASE WHEN kind = 14 THEN k END AS batch_id, command_pos, true AS has_details, inputs, outputs, n_deps, 4 AS create_rank
+FROM refs r JOIN applications a ON r.app_id = a.app_id"""
+)
+
+
 QUERIES = {
     "process_edges": (process_edges, PROCESS_EDGES),
+    "statement_mutations": (statement_mutations, STATEMENT_MUTATIONS),
+    "process_entities": (process_entities, PROCESS_ENTITIES),
     **{key: (_harvest(*commands), _harvest_sql(*commands)) for key, commands in HARVESTS.items()},
     "harvest_ddl": (harvest_ddl, HARVEST_DDL),
     "command_dispatch": (command_dispatch, COMMAND_DISPATCH),

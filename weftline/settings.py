@@ -30,13 +30,22 @@ class JobSettings:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written intermediate tables: the cluster's ``spark.checkpoint.dir`` if it names one."""
+    """Folder for written intermediate tables: the cluster's ``spark.checkpoint.dir``.
+
+    Where it is not set, a session in local mode gets a temporary folder of its own. On a cluster that folder would
+    be another one on each machine, so there the setting is required."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    own = "file://" + tempfile.mkdtemp(prefix="weftline-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="weftline-")
+    return _OWN[context.applicationId]
+
+
+_OWN: dict[str, str] = {}
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:

@@ -32,12 +32,15 @@ _APP = "`App Name` string, `App ID` string, `User` string"
 _PROGRESS = """progress struct<id:string, batchId:bigint, timestamp:string,
     sources:array<struct<description:string, startOffset:string, endOffset:string>>,
     sink:struct<description:string>>"""
-_ENVIRONMENT = "`Spark Properties` array<array<string>>, `Hadoop Properties` array<array<string>>"
+_ENVIRONMENT = "`Spark Properties` map<string,string>, `Hadoop Properties` map<string,string>"
+# The file lists of a plan's scans, whole where the producer lets them be (the printed plan never shows more than one).
+_LOCATIONS = r'"Location"\s*:\s*"(\w+\(\d+ paths?\)\[[^"]*\])"'
 
 
 def kind_of(line: Column) -> Column:
     """Kind of a log line by its leading event name, null for kinds not used."""
-    event = F.regexp_extract(F.substring(line, 1, 160), r'^\{"Event":"([^"]+)"', 1)
+    leading = F.regexp_extract(line, r'^\s*\{\s*"Event"\s*:\s*"([^"]+)"', 1)
+    event = F.coalesce(F.when(leading != "", leading), F.get_json_object(line, "$.Event"))
     return (
         F.when(event == SQL_START, "sql_start")
         .when(event == SQL_END, "sql_end")
@@ -49,36 +52,52 @@ def kind_of(line: Column) -> Column:
     )
 
 
-def _file_app_and_number() -> tuple[Column, Column]:
-    # A rolled log file is named events_<n>_<app>; a single-file log carries just the app id.
-    file_name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+def file_app_and_number(path: Column) -> tuple[Column, Column]:
+    """Application and number of a log file. A rolled file is named ``events_<n>_<app>``, a single-file log by its
+    application; on YARN an attempt follows the id; compaction and compression add endings."""
+    file_name = F.regexp_extract(path, r"([^/]+)$", 1)
     number = F.regexp_extract(file_name, r"^events_(\d+)_", 1)
-    app = F.regexp_replace(F.regexp_replace(file_name, r"^events_\d+_", ""), r"\.(inprogress|lz4|zstd|snappy)$", "")
+    bare = F.regexp_replace(F.regexp_replace(file_name, r"^events_\d+_", ""), r"(\.(compact|inprogress|lz4|lzf|zstd|snappy))+$", "")
+    app = F.regexp_replace(bare, r"^(application_\d+_\d+)_\d+$", "$1")
     return app, F.when(F.length(number) > 0, number.cast("bigint")).otherwise(F.lit(1).cast("bigint"))
 
 
+def _is_log(path: Column) -> Column:
+    """Not the marker of an application's state, which lies beside its rolled files."""
+    return ~F.regexp_extract(path, r"([^/]+)$", 1).startswith("appstatus_")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``app_id, seq, kind, value`` of the logs under ``path`` (a folder or a glob).
 
     ``seq`` orders the lines of one application: file number, place of the split in its file
     (splits are far larger than a megabyte), row within the split.
     """
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "[!.a]*").text(path)
-    app, number = _file_app_and_number()
+    raw = spark.read.option("recursiveFileLookup", "true").text(path)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 28) - 1))
     split = F.shiftright(F.col("_metadata.file_block_start"), 20)
-    seq = number * (1 << 48) + split * (1 << 28) + row
-    return raw.select(
-        app.alias("app_id"), seq.alias("seq"), kind_of(F.col("value")).alias("kind"), "value"
-    ).where("kind is not null")
+    return lines_of(raw.select(F.col("_metadata.file_path").alias("file"), (split * (1 << 28) + row).alias("place"), "value"))
+
+
+def lines_of(raw: DataFrame) -> DataFrame:
+    """``app_id, seq, kind, value`` of raw lines with their ``file`` and their ``place`` in it."""
+    app, number = file_app_and_number(F.col("file"))
+    seq = number * (1 << 48) + F.col("place")
+    return (
+        raw.where(_is_log(F.col("file")))
+        .select(app.alias("app_id"), seq.alias("seq"), kind_of(F.col("value")).alias("kind"), "value")
+        .where("kind is not null")
+    )
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """``app_id, kind, value`` as a stream. Spark rolls log files, so a finished file never changes."""
     reader = spark.readStream.option("maxFilesPerTrigger", str(files_per_trigger))
-    raw = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "[!.a]*").text(path)
-    app, _ = _file_app_and_number()
-    return raw.select(app.alias("app_id"), kind_of(F.col("value")).alias("kind"), "value").where("kind is not null")
+    raw = reader.option("recursiveFileLookup", "true").text(path)
+    file = F.col("_metadata.file_path")
+    app, _ = file_app_and_number(file)
+    found = raw.where(_is_log(file)).select(app.alias("app_id"), kind_of(F.col("value")).alias("kind"), "value")
+    return found.where("kind is not null")
 
 
 def _of_kind(lines: DataFrame, kind: str, schema: str) -> DataFrame:
@@ -89,7 +108,7 @@ def _of_kind(lines: DataFrame, kind: str, schema: str) -> DataFrame:
 def malformed_lines(lines: DataFrame) -> DataFrame:
     """Lines of a known kind that are not JSON, for the bad-record table."""
     broken = F.get_json_object("value", "$.Event").isNull()
-    return lines.where(broken).select("app_id", F.lit(None).cast("bigint").alias("execution_id"), F.lit("malformed event").alias("reason"), F.substring("value", 1, 500).alias("detail"))
+    return lines.where(broken).select("app_id", F.lit(None).cast("bigint").alias("execution_id"), F.lit("malformed event").alias("reason"), F.col("value").alias("detail"))
 
 
 def applications(lines: DataFrame) -> DataFrame:
@@ -98,15 +117,17 @@ def applications(lines: DataFrame) -> DataFrame:
         F.max("e.App Name").alias("app_name"), F.max("e.User").alias("user")
     )
 
-    def entry(properties: str, key: str) -> Column:
-        hits = F.filter(F.col(f"e.{properties}"), lambda kv: kv[0] == key)
-        return F.max(F.try_element_at(hits, F.lit(1))[1])
+    spark, hadoop = F.col("e.Spark Properties"), F.col("e.Hadoop Properties")
+
+    def hadoop_entry(key: str) -> Column:
+        # A Hadoop setting may be given through Spark's, under a prefix.
+        return F.max(F.coalesce(F.try_element_at(hadoop, F.lit(key)), F.try_element_at(spark, F.lit(f"spark.hadoop.{key}"))))
 
     settings = _of_kind(lines, "environment", _ENVIRONMENT).groupBy("app_id").agg(
-        entry("Spark Properties", names.CATALOG_IMPLEMENTATION).alias("implementation"),
-        entry("Hadoop Properties", names.METASTORE_URIS).alias("metastore_uris"),
-        entry("Hadoop Properties", names.CONNECTION_DRIVER).alias("connection_driver"),
-        entry("Hadoop Properties", names.CONNECTION_URL).alias("connection_url"),
+        F.max(F.try_element_at(spark, F.lit(names.CATALOG_IMPLEMENTATION))).alias("implementation"),
+        hadoop_entry(names.METASTORE_URIS).alias("metastore_uris"),
+        hadoop_entry(names.CONNECTION_DRIVER).alias("connection_driver"),
+        hadoop_entry(names.CONNECTION_URL).alias("connection_url"),
     )
     joined = started.join(settings, "app_id", "left")
     prefix = names.catalog_prefix(
@@ -134,6 +155,7 @@ def started_executions(lines: DataFrame) -> DataFrame:
         F.timestamp_millis("e.time").alias("event_time"),
         F.col("e.description").alias("description"),
         F.col("e.physicalPlanDescription").alias("plan"),
+        F.regexp_extract_all("value", F.lit(_LOCATIONS), F.lit(1)).alias("locations"),
     )
 
 
@@ -148,8 +170,8 @@ def ended_executions(lines: DataFrame) -> DataFrame:
 def successful_executions(started: DataFrame, ended: DataFrame) -> DataFrame:
     """Executions that ended without an error and belong to a statement that did.
 
-    A failed or unfinished statement leaves no lineage, even where a part of it succeeded. The test
-    runs on ids alone; plan text meets its result once.
+    A failed or unfinished statement leaves no lineage, even where a part of it succeeded. ``started`` is any
+    table with the ids of executions. Give it the facts of plans, not their text, which would be shuffled.
     """
     ids = started.select("app_id", "execution_id", "root_execution_id")
     good = ended.where("not failed").select("app_id", "execution_id").distinct()

@@ -406,7 +406,7 @@ def _leaves(logical: bool) -> dict[str, Column]:
         b = pick(shape, "Scan parquet ", text("Scan hive db<d>.h<h>", **args), "LocalTableScan", "Scan JDBCRelation(tab) [numPartitions=1]")
         bd = pick(
             shape,
-            text("Location: InMemoryFileIndex [hdfs://nn:8020/Raw/<r>, s3a://lake/in/<i>]\nReadSchema: struct<lt>x:int>", lt=F.lit("<"), **args),
+            text("Location: InMemoryFileIndex [hdfs://nn:8020/Raw/<r>, ... 1 entries]\nReadSchema: struct<lt>x:int>", lt=F.lit("<"), **args),
             "Arguments: [x#2], HiveTableRelation",
             "Arguments: [x#2]",
             "PushedFilters: []",
@@ -533,6 +533,11 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     query = text("q<n>", n=F.col("c") % 90)
     described = F.when(streaming, text("\nid = <q>\nrunId = r\nbatch = <k>", q=query, k=k)).otherwise("sql at app.py:1")
 
+    # The printed plan shows the first of several paths, the plan graph all.
+    c = F.col("c")
+    whole = text("InMemoryFileIndex(2 paths)[hdfs://nn:8020/Raw/<r>, s3a://lake/in/<i>]", r=c % 100, i=c % 7)
+    graph = F.struct(F.lit("Scan parquet ").alias("nodeName"), F.struct(whole.alias("Location"), F.lit("[]").alias("PushedFilters")).alias("metadata"))
+
     def start(number: Column, plan: Column) -> Column:
         return F.to_json(
             F.struct(
@@ -541,6 +546,7 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
                 k.alias("rootExecutionId"),
                 described.alias("description"),
                 plan.alias("physicalPlanDescription"),
+                F.struct(F.lit("AdaptiveSparkPlan").alias("nodeName"), F.array(graph).alias("children")).alias("sparkPlanInfo"),
                 (k * 1000).alias("time"),
             )
         )
@@ -568,23 +574,24 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     nested = F.col("nested_plan").isNotNull()
 
-    def line(offset: int, kind: str, value: Column) -> Column:
-        return F.struct((k * 8 + offset).alias("seq"), F.lit(kind).alias("kind"), value.alias("value"))
+    def line(offset: int, value: Column) -> Column:
+        return F.struct((k * 8 + offset).alias("place"), value.alias("value"))
 
     events = F.filter(
         F.array(
-            line(0, "sql_start", start(k, F.col("plan"))),
-            F.when(nested, line(1, "sql_start", start(k + NESTED, F.col("nested_plan")))),
-            F.when(nested, line(2, "sql_end", end(k + NESTED, F.lit(False)))),
-            F.when(F.col("finished"), line(3, "sql_end", end(k, F.col("failed")))),
-            F.when(streaming & F.col("finished"), line(4, "progress", progress_record)),
+            line(0, start(k, F.col("plan"))),
+            F.when(nested, line(1, start(k + NESTED, F.col("nested_plan")))),
+            F.when(nested, line(2, end(k + NESTED, F.lit(False)))),
+            F.when(F.col("finished"), line(3, end(k, F.col("failed")))),
+            F.when(streaming & F.col("finished"), line(4, progress_record)),
         ),
         lambda e: e.isNotNull(),
     )
-    statements = statement_plans(spark, folder).select(app.alias("app_id"), F.inline(events))
+    statements = statement_plans(spark, folder).select(_log_file(app).alias("file"), F.inline(events))
 
-    def pair(key: str, value: Column) -> Column:
-        return F.array(F.lit(key), value)
+    def properties(**values: Column) -> Column:
+        pairs = [x for key, value in values.items() for x in (F.lit(key.replace("__", ".")), value)]
+        return F.create_map(*pairs)
 
     apps = applications(spark, folder)
     uris = F.when(F.col("remote_hms"), "thrift://ms:9083").otherwise("")
@@ -599,18 +606,25 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     environment = F.to_json(
         F.struct(
             F.lit(event_log.ENVIRONMENT).alias("Event"),
-            F.array(
-                pair("spark.app.name", F.col("app_name")),
-                pair("spark.sql.catalogImplementation", F.when(F.col("remote_hms"), "hive").otherwise("in-memory")),
+            properties(
+                spark__app__name=F.col("app_name"),
+                spark__sql__catalogImplementation=F.when(F.col("remote_hms"), "hive").otherwise("in-memory"),
             ).alias("Spark Properties"),
-            F.array(pair("fs.defaultFS", F.lit("hdfs://nn:8020")), pair("hive.metastore.uris", uris)).alias("Hadoop Properties"),
+            properties(fs__defaultFS=F.lit("hdfs://nn:8020"), hive__metastore__uris=uris).alias("Hadoop Properties"),
         )
     )
     frames = [
-        apps.select("app_id", F.lit(-2).cast("bigint").alias("seq"), F.lit(kind).alias("kind"), value.alias("value"))
-        for kind, value in (("app_start", start_event), ("environment", environment))
+        apps.select(_log_file(F.col("app_id")).alias("file"), F.lit(place).cast("bigint").alias("place"), value.alias("value"))
+        for place, value in ((0, start_event), (1, environment))
     ]
-    return statements.unionByName(frames[0]).unionByName(frames[1])
+    return event_log.lines_of(statements.unionByName(frames[0]).unionByName(frames[1]))
+
+
+def _log_file(app: Column) -> Column:
+    """Names of log files: rolled, plain, and still growing ones."""
+    shape = F.regexp_extract(app, r"(\d+)$", 1).cast("int") % 3
+    rolled = F.concat(F.lit("hdfs://nn/logs/eventlog_v2_"), app, F.lit("/events_1_"), app, F.lit(".zstd"))
+    return F.concat(pick(shape, rolled, F.concat(F.lit("hdfs://nn/logs/"), app), F.concat(F.lit("hdfs://nn/logs/"), app, F.lit(".inprogress"))))
 
 
 def statement_options(spark: SparkSession, folder: str) -> DataFrame:
