@@ -217,3 +217,26 @@ def test_view_over_join(spark, strict, inputs):
     edges = harvest.process_edges(facts_of(spark, VIEW), apps(spark), settings=JobSettings(strict_view=strict)).collect()
     assert {r.qualified_name for r in edges if r.direction == "input"} == inputs
     assert {r.qualified_name for r in edges if r.direction == "output"} == {"app.db1.v"}
+
+
+def test_each_branch_takes_the_options_of_its_own_connector(spark):
+    plan = plan_of(
+        "Union (7)\n:- Execute InsertIntoHadoopFsRelationCommand (3)\n:  +- Scan JDBCRelation(t) [numPartitions=1] (1)\n+- Execute InsertIntoHadoopFsRelationCommand (6)\n   +- Scan KafkaRelation(x) (4)",
+        "(1) Scan JDBCRelation(t) [numPartitions=1]\nOutput: []",
+        "(3) Execute InsertIntoHadoopFsRelationCommand\nArguments: file:/one, false, Parquet, [path=file:/one], Append, [x]",
+        "(4) Scan KafkaRelation(x)\nOutput: []",
+        "(6) Execute InsertIntoHadoopFsRelationCommand\nArguments: file:/two, false, Parquet, [path=file:/two], Append, [x]",
+    )
+    known = facts_of(spark, plan, plan)
+    options = spark.createDataFrame(
+        [("app", 0, "input", "jdbc", {"url": "jdbc:mysql://h/d", "dbtable": "t"}), ("app", 0, "input", "org.apache.spark.sql.kafka010.KafkaRelation", {"subscribe": "k"})],
+        "app_id string, execution_id bigint, direction string, connector string, options map<string,string>",
+    )
+    edges = harvest.process_edges(known, apps(spark), options).where("execution_id = 0").collect()
+    got = {(r.command_pos, r.direction, r.qualified_name) for r in edges}
+    first, second = sorted({r.command_pos for r in edges})
+    assert got == {(first, "input", "d.t"), (first, "output", "file:/one"), (second, "input", "k@primary"), (second, "output", "file:/two")}
+    chosen, leaves = harvest.statements(known)
+    nothing = spark.createDataFrame([], "app_id string, execution_id bigint, reason string, detail string")
+    bad = harvest.bad_records(chosen, leaves, options, nothing).collect()
+    assert {(r.execution_id, r.reason, r.detail) for r in bad} == {(1, "connector without options", "Scan JDBCRelation(t) [numPartitions=1]"), (1, "connector without options", "Scan KafkaRelation(x)")}

@@ -185,6 +185,12 @@ def leaf_kind(node: Column, detail: Column) -> Column:
     )
 
 
+def leaf_connector(node: Column, detail: Column) -> Column:
+    """Connector that the text of a leaf names; null where it names none that is known."""
+    shown = F.regexp_extract(F.concat_ws(" ", node, F.regexp_extract(detail, r"Arguments: (\w+)\(", 1)), "(JDBC|HBase|Kafka|HiveWarehouse)", 1)
+    return F.when(shown == "JDBC", "jdbc").when(shown == "HBase", "hbase").when(shown == "Kafka", "kafka").when(shown == "HiveWarehouse", "hwc")
+
+
 def leaf_table(node: Column, detail: Column) -> Column:
     printed = F.regexp_extract(node, _SCAN_TABLE, 1)
     quoted = F.regexp_extract(detail, IDENTIFIER, 1)

@@ -128,7 +128,10 @@ def _hwc(settings: JobSettings) -> Column:
 
 
 def identities(options: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
-    """``found``: array of identities per options row; null means the options are wrong, empty means none."""
+    """``found``: array of identities per options row; null means the options are wrong, empty means none.
+
+    ``connector`` is a short name, or the name of a relation, provider or writer class."""
+    options = options.withColumn("connector", F.coalesce(connector_of(F.col("connector")), F.col("connector")))
     kind = F.col("connector")
     found = (
         F.when(kind == "hbase", _hbase(settings))
@@ -147,6 +150,17 @@ def datasets(options: DataFrame, settings: JobSettings = JobSettings()) -> DataF
     return listed.select(*keys, "nth", "dataset.*").where("qualified_name is not null")
 
 
+def without_options(leaves: DataFrame, chosen: DataFrame, options: DataFrame) -> DataFrame:
+    """Connector leaves of harvested statements that no options row speaks for, as bad records."""
+    reads = leaves.where("kind = 'connector'").join(chosen.select("app_id", "root_execution_id", "tag").distinct(), ["app_id", "root_execution_id", "tag"], "left_semi")
+    known = options.where("direction = 'input'").select("app_id", F.col("execution_id").alias("known_id")).distinct()
+    read, given = reads.alias("r"), known.alias("k")
+    own = (F.col("r.app_id") == F.col("k.app_id")) & (F.col("r.execution_id") == F.col("k.known_id"))
+    root = (F.col("r.app_id") == F.col("k.app_id")) & (F.col("r.root_execution_id") == F.col("k.known_id"))
+    bare = read.join(given, own, "left_anti").alias("r").join(given, root, "left_anti")
+    return bare.select("app_id", "execution_id", F.lit("connector without options").alias("reason"), F.col("node").alias("detail"))
+
+
 def rejected(options: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
     """Options no identity can be built from, as bad records."""
     broken = F.col("found").isNull() | F.exists("found", lambda d: d["qualified_name"].isNull())

@@ -106,6 +106,7 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
             n["pos"].alias("leaf_pos"),
             n["node"].alias("node"),
             n["kind"].alias("kind"),
+            F.when(n["kind"] == "connector", pt.leaf_connector(n["node"], n["detail"])).alias("connector"),
             ((n["kind"] == "files") & pt.is_shortened(n["detail"], locations)).alias("shortened"),
             leaf_targets(n["node"], n["detail"], n["kind"], locations).alias("targets"),
         )
@@ -277,19 +278,22 @@ def identify(applications: DataFrame, targets: DataFrame, settings: JobSettings
 def connector_edges(
     chosen: DataFrame, leaves: DataFrame, options: DataFrame, settings: JobSettings = JobSettings()
 ) -> DataFrame:
-    """Edges from connector options, for plans that show a connector leaf or a connector write."""
+    """Edges from connector options, for plans that show a connector leaf or a connector write.
+
+    A leaf that names its connector takes the options of that connector only."""
     found = connectors.datasets(options, settings).withColumnRenamed("execution_id", "options_execution_id")
     readers = (
         leaves.where("kind = 'connector'")
-        .select(*STATEMENT, F.col("execution_id").alias("options_execution_id"), F.lit("input").alias("direction"))
+        .select(*STATEMENT, F.col("execution_id").alias("options_execution_id"), F.lit("input").alias("direction"), F.col("connector").alias("shown"))
         .distinct()
     )
     reading = chosen.select(*EDGE_KEYS, "root_execution_id", "tag").join(readers, STATEMENT)
     writing = chosen.where(F.col("command").isin(pt.SAVE_SOURCE, "WriteToDataSourceV2", pt.STREAM_SINK)).select(
-        *EDGE_KEYS, F.col("execution_id").alias("options_execution_id"), F.lit("output").alias("direction")
+        *EDGE_KEYS, F.col("execution_id").alias("options_execution_id"), F.lit("output").alias("direction"), F.lit(None).cast("string").alias("shown")
     )
-    wanted = reading.select(*EDGE_KEYS, "options_execution_id", "direction").unionByName(writing)
-    return wanted.join(found, ["app_id", "options_execution_id", "direction"]).select(
+    wanted = reading.select(*EDGE_KEYS, "options_execution_id", "direction", "shown").unionByName(writing)
+    met = wanted.join(found, ["app_id", "options_execution_id", "direction"])
+    return met.where("shown is null or shown = connector").select(
         *EDGE_KEYS, "direction", "type_name", "qualified_name", (F.lit(1 << 62) + F.col("nth")).alias("ordinal")
     )
 
@@ -326,6 +330,16 @@ def rejected(chosen: DataFrame, leaves: DataFrame) -> DataFrame:
     return lost.unionByName(shortened)
 
 
+def bad_records(chosen: DataFrame, leaves: DataFrame, options: DataFrame, malformed: DataFrame) -> DataFrame:
+    """All that could not be read or matched, in one table: ``app_id, execution_id, reason, detail``."""
+    unknown = unknown_leaves(leaves, chosen).select("app_id", "execution_id", F.lit("unknown leaf").alias("reason"), F.col("node").alias("detail"))
+    parts = [rejected(chosen, leaves), unknown, connectors.rejected(options), connectors.without_options(leaves, chosen, options), malformed]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def statements(known: DataFrame, progress: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(commands, leaves)`` of all statements. Progress records add the sinks plans do not show."""
     rows = known.drop("leaves")

@@ -212,7 +212,21 @@ SELECT app_id, remote_hms, prefix, prefix || coalesce(db, 'default') AS db_name,
 FROM c"""
 
 
+def connector_detection(spark: SparkSession, folder: str) -> DataFrame:
+    """Datasets of options whose connector is named by a class."""
+    found = connectors.datasets(standins.class_options(spark, folder))
+    return found.select("app_id", "execution_id", "connector", "qualified_name")
+
+
+CONNECTOR_DETECTION = """SELECT 'app-' || (c_custkey % 20) AS app_id, c_custkey AS execution_id,
+  ['jdbc', 'hbase', 'kafka', 'hwc'][c_custkey % 5 + 1] AS connector,
+  ['db' || c_nationkey || '.' || lower(c_name), 'default:tab' || c_custkey || '@primary', 'top' || c_nationkey || '@primary',
+   'default.tab' || c_nationkey || '@primary'][c_custkey % 5 + 1] AS qualified_name
+FROM customer WHERE c_custkey % 5 < 4"""
+
+
 QUERIES = {
+    "connector_detection": (connector_detection, CONNECTOR_DETECTION),
     "path_identity": (path_identity, PATH_IDENTITY),
     "path_resolve": (path_resolve, PATH_RESOLVE),
     "s3_chain": (s3_chain, S3_CHAIN),

@@ -301,7 +301,23 @@ FROM refs r JOIN applications a ON r.app_id = a.app_id"""
 )
 
 
+def bad_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything the log could not be read or matched for, in one table."""
+    log, known = _staged(spark, folder)
+    chosen, leaves = harvest.statements(known, log.progress)
+    return harvest.bad_records(chosen, leaves, standins.statement_options(spark, folder), log.malformed).select("app_id", "execution_id", "reason")
+
+
+BAD_RECORDS = (
+    _WITH
+    + """SELECT app_id, k AS execution_id, 'no location' AS reason FROM named WHERE kind = 7 AND c % 10 = 0
+    UNION ALL SELECT app_id, k, 'unknown leaf' FROM named WHERE shape = 2 AND kind IN (0, 1, 2, 3, 7, 9, 11, 12, 13, 14)
+    UNION ALL SELECT app_id, k + 1000000000, 'unknown leaf' FROM named WHERE shape = 2 AND kind IN (2, 9, 13)"""
+)
+
+
 QUERIES = {
+    "bad_records": (bad_records, BAD_RECORDS),
     "process_edges": (process_edges, PROCESS_EDGES),
     "statement_mutations": (statement_mutations, STATEMENT_MUTATIONS),
     "process_entities": (process_entities, PROCESS_ENTITIES),

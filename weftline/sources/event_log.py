@@ -237,6 +237,7 @@ class EventLog:
     catalog: DataFrame
     ml: DataFrame
     applications: DataFrame
+    malformed: DataFrame
 
     def executions(self) -> DataFrame:
         """All successful executions, batch and streaming."""
@@ -252,6 +253,7 @@ def from_lines(lines: DataFrame) -> EventLog:
         catalog_events(lines),
         ml_events(lines),
         applications(lines),
+        malformed_lines(lines),
     )
 
 

@@ -125,6 +125,26 @@ def jdbc_options(spark: SparkSession, folder: str) -> DataFrame:
     return _option_rows(rows, "c_custkey", text("app-<n>", n=F.col("c_custkey") % 20), F.lit("input"), "jdbc", bag)
 
 
+def class_options(spark: SparkSession, folder: str) -> DataFrame:
+    """Options whose connector is known by the class that a plan shows, one of them of no known connector."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    shown = pick(
+        key % 5,
+        "org.apache.spark.sql.execution.datasources.jdbc.JDBCRelation",
+        "org.apache.spark.sql.execution.datasources.hbase.DefaultSource",
+        "org.apache.spark.sql.kafka010.KafkaSourceProvider",
+        "org.example.hive.llap.HiveWarehouseConnector",
+        "org.example.Other",
+    )
+    bag = options(
+        url=text("jdbc:mysql://h/Db<n>", n=nation), dbtable=F.col("c_name"), catalog=text('{"table":{"name":"Tab<k>"}}', k=key),
+        subscribe=text("Top<n>", n=nation), table=text("Tab<n>", n=nation),
+    )
+    rows = table(spark, folder, "customer", "c_custkey", "c_name", "c_nationkey")
+    found = _option_rows(rows, "c_custkey", text("app-<n>", n=key % 20), F.lit("input"), "", bag)
+    return found.drop("connector").join(rows.select(key.alias("execution_id"), shown.alias("connector")), "execution_id")
+
+
 def kafka_read_options(spark: SparkSession, folder: str) -> DataFrame:
     """Kafka reads by list, assignment, pattern and a malformed assignment."""
     shape, topic = F.col("event_id") % 4, F.col("event_type")
