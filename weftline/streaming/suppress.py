@@ -35,21 +35,24 @@ def suppress(edges: DataFrame) -> DataFrame:
 class SuppressionSink:
     """``foreachBatch`` writer of the streaming form.
 
-    What each query has touched is a Parquet table under ``state``, one partition per trigger. A
-    trigger reads only earlier partitions and overwrites its own, so a repeated trigger gives the
-    same result, and losing an executor or the driver loses nothing.
+    What each query has touched is a table under ``state``: every ``compact`` triggers all of it, and since
+    then one folder for each trigger. A trigger reads the last whole table and the folders since, and overwrites
+    its own, so a repeated trigger gives the same result, and losing an executor or the driver loses nothing.
     """
 
-    def __init__(self, state: str, out: str):
+    def __init__(self, state: str, out: str, compact: int = 16):
         self.state = state.rstrip("/")
         self.out = out.rstrip("/")
+        self.compact = compact
 
     def known(self, batch: DataFrame, trigger: int) -> DataFrame | None:
-        if trigger == 0:
+        """Objects of all triggers before this one."""
+        whole = trigger // self.compact * self.compact - 1
+        places = [f"{self.state}/upto={whole}"] if whole >= 0 else []
+        places += [f"{self.state}/trigger={t}" for t in range(whole + 1, trigger)]
+        if not places:
             return None
-        spark = batch.sparkSession
-        schema = batch.select(*OBJECT).schema.add("trigger", "long")
-        return spark.read.schema(schema).parquet(self.state).where(F.col("trigger") < trigger)
+        return batch.sparkSession.read.schema(batch.select(*OBJECT).schema).parquet(*places)
 
     def __call__(self, batch: DataFrame, trigger: int) -> None:
         edges = batch.select(*OBJECT, "batch_id").distinct().persist()
@@ -60,7 +63,11 @@ class SuppressionSink:
         # the very rows that become known.
         mine = f"{self.state}/trigger={trigger}"
         fresh.write.mode("overwrite").parquet(mine)
-        reporting = batch.sparkSession.read.schema(fresh.schema).parquet(mine).select("query_id", "batch_id").distinct()
+        new = batch.sparkSession.read.schema(fresh.schema).parquet(mine)
+        if (trigger + 1) % self.compact == 0:
+            every = new.select(*OBJECT) if known is None else new.select(*OBJECT).unionByName(known.select(*OBJECT))
+            every.write.mode("overwrite").parquet(f"{self.state}/upto={trigger}")
+        reporting = new.select("query_id", "batch_id").distinct()
         reported = edges.join(reporting, ["query_id", "batch_id"], "left_semi")
         reported.write.mode("overwrite").parquet(f"{self.out}/trigger={trigger}")
         edges.unpersist()
