@@ -394,7 +394,7 @@ def samples(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int) -> list[
 def _encode(broadcast, k: int, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = broadcast.value
-        for part in slices(batches, "__text", 4 << 20):
+        for part in slices(batches, "__text", 2 << 20):
             texts = part.column("__text").to_pylist()
             found = samples(pieces, texts, part.column("__key").to_numpy().view(np.uint64), k)
             n = np.array([len(x) for x in found], np.int64)
