@@ -88,7 +88,8 @@ def marked(docs: DataFrame, items: DataFrame, item_id: str = "item_id", text: st
 
     none = F.array().cast("array<struct<item_id:string,item_words:array<string>,shift:int>>")
     hashed = docs.withColumn("__doc", F.xxhash64(F.col(text)))
-    found = hashed.join(met.select(F.col("doc").alias("__doc"), F.col("met").alias("__met")), "__doc", "left")
+    # A merge join at every size: documents are shuffled once, and what they meet is never broadcast.
+    found = hashed.join(met.select(F.col("doc").alias("__doc"), F.col("met").alias("__met")).hint("merge"), "__doc", "left")
     return found.select(*docs.columns, once(words(F.col(text)), lambda w: hits(w, F.coalesce("__met", none))).alias(MARK))
 
 
