@@ -138,12 +138,14 @@ def _as_registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), REGISTERS)
 
 
+_CHOICE = np.array([np.random.default_rng(i).permutation(REGISTERS)[:BAND] for i in range(BANDS)])
+
+
 def _band_keys(regs: np.ndarray) -> np.ndarray:
     """The key of each band (column) of each row: a hash of six registers of the band's own choice."""
-    choice = np.array([np.random.default_rng(i).permutation(REGISTERS)[:BAND] for i in range(BANDS)])
     packed = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) << np.uint64(8 * BAND), (len(regs), BANDS)).copy()
     for i in range(BAND):
-        packed |= regs[:, choice[:, i]].astype(np.uint64) << np.uint64(8 * i)
+        packed |= regs[:, _CHOICE[:, i]].astype(np.uint64) << np.uint64(8 * i)
     return mixed(packed * MIX_1 + STEP)
 
 
@@ -177,13 +179,13 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(tile: pa.Table, nearest: bool) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each class of a tile's left side, those of its right side in other components whose estimate passes (the
-    first of them, if only the nearest is asked for), with their estimates."""
+    """For each class of a tile's left side, those of its right side in other components whose estimate passes, with
+    their estimates: the nearest only, or else all whose first common band is this one, so that a pair comes once."""
     side = tile.column("side").to_numpy()
     regs = _as_registers(tile.column("regs").combine_chunks())
     n, label, node = (tile.column(c).to_numpy() for c in ("n", "label", "node"))
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    out = []
+    out, keys, band = [], None, tile.column("band")[0].as_py()
     for i in left.tolist():
         other = right[label[right] != label[i]]
         if len(other):
@@ -191,6 +193,11 @@ def _compared(tile: pa.Table, nearest: bool) -> list[tuple[int, np.ndarray, np.n
             hit = np.flatnonzero(passes(estimate))
             if nearest and len(hit):
                 hit = hit[estimate[hit].argmax()][None]
+            elif len(hit):
+                keys = _band_keys(regs).view(np.int64) if keys is None else keys
+                theirs = keys[other[hit]]
+                first = (theirs == keys[i]).argmax(1)
+                hit = hit[theirs[np.arange(len(hit)), first] == band]
             out.append((node[i], node[other[hit]], estimate[hit]))
     return out
 
