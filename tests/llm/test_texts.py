@@ -230,6 +230,19 @@ def test_scores_equal_brute_force(spark, vocabulary, monkeypatch):
     assert ngram.scores(spark.createDataFrame([], frame.schema)).collect() == []
 
 
+def test_no_limit_holds_for_words_or_grams(spark, monkeypatch):
+    """Contexts of rare words count: with the smallest parameters, scores are those of the whole corpus."""
+    for name in ("VOCABULARY", "GRAMS", "BLOCK"):
+        monkeypatch.setattr(ngram, name, 12, raising=False)
+    rng = random.Random(5)
+    docs = [(i, " ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.randint(0, 90)))) for i in range(150)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in ngram.scores(frame).collect()}
+    for d, n, known, total, base, score in brute_scores(docs):
+        assert (got[d].n_tokens, got[d].n_known, got[d].train_tokens) == (n, known, total)
+        assert (got[d].base_score, got[d].score) == (pytest.approx(base), pytest.approx(score))
+
+
 def test_elias_fano_finds_what_it_holds():
     rng = np.random.default_rng(1)
     for n, top in ((0, 1), (1, 1), (1, 1 << 40), (5, 5), (1000, 1 << 37), (5000, 6000), (3000, 1 << 58)):
