@@ -269,6 +269,18 @@ def test_quality_agrees_with_labels(spark):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.2 * len(bad)
 
 
+def test_toxic_documents_of_good_form_are_caught(spark):
+    labels = duckdb.sql(f"SELECT doc_id, toxic, lang FROM '{SF}/labels.parquet' JOIN '{SF}/documents.parquet' USING (doc_id)").fetchall()
+    toxic = {r.doc_id: r.toxic for r in catalogue.op9_quality(spark, SF).collect()}
+    # The other languages' toxic documents hold invented words only, which no lexicon has.
+    bad = [toxic[d] for d, x, lang in labels if x == 1 and lang == "en"]
+    clean = [toxic[d] for d, x, _ in labels if x == 0]
+    assert sum(bad) >= 0.9 * len(bad) > 0 and sum(clean) <= 0.01 * len(clean)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    left = {r.doc_id for r in quality.accepted(docs, quality.model_of(docs), toxic=False).collect()}
+    assert left and not any(toxic[d] for d in left)
+
+
 def test_quality_of_odd_texts(spark):
     got = quality.quality(odd(spark)).collect()
     assert Counter(r.doc_id for r in got) == Counter(d for d, _ in ODD)
