@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from weftline.llm import decontam, minhash, neighbours, preference, warc
+from weftline.llm import catalogue, decontam, minhash, neighbours, preference, warc
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -288,3 +288,27 @@ def test_preferences_equal_sql_and_assemble(spark):
     assert example[1].chosen == example[1].rejected == "" and example[1].prompt.count("same") == 1
     assert "< |end|> x" in example[2].chosen and example[3].rejected == ""
     assert preference.segments(spark.createDataFrame([], frame.schema), preference.neighbours(spark.createDataFrame([], frame.schema))).collect() == []
+
+
+def test_registered_examples_pair_completions_after_a_shared_prompt(spark):
+    sf = "/root/testdata/sf0.01"
+    said = {}
+    for c, n, role, text in set(duckdb.sql(f"SELECT conv_id, turn, role, text FROM '{sf}/conversations.parquet' WHERE conv_id IS NOT NULL").fetchall()):
+        said.setdefault(c, []).append((n if n is not None else preference.LAST, role or "unknown", text or ""))
+    clean = lambda x: x.replace("<|", "< |")
+    shown = lambda turns: "".join(f"<|turn|>{clean(r)}\n{clean(t)}<|end|>\n" for _, r, t in sorted(turns))
+    last = {c: max((n, t) for n, r, t in turns if r == "assistant") for c, turns in said.items() if any(r == "assistant" for _, r, _ in turns)}
+    expected = {}
+    for c, (n, text) in last.items():
+        if c ^ 1 in last and text != last[c ^ 1][1]:
+            expected[c] = (shown(t for t in said[c] if t[0] < n), shown(t for t in said[c] if t[0] == n), shown([(n, "assistant", last[c ^ 1][1])]))
+    got = catalogue.queries()["op8_examples"](spark, sf).collect()
+    assert len(got) == len({r.pair_id for r in got}) == sum(c ^ 1 in last for c in last)
+    for r in got:
+        if r.pair_id in expected:
+            assert (r.prompt, r.chosen, r.rejected) == expected[r.pair_id]
+            for whole, spans in ((r.chosen, r.chosen_trained), (r.rejected, r.rejected_trained)):
+                assert [whole[a:b] for a, b in spans] == [whole.removeprefix("<|turn|>assistant\n")[:-1]]
+        else:
+            assert r.chosen == r.rejected == ""
+    assert sum(r.prompt != "" for r in got) > 0.5 * len(got)

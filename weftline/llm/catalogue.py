@@ -46,6 +46,10 @@ def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.segments(turns, preference.neighbours(turns))
 
 
+def op8_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.examples(preference.segments(*preference.retold(table(spark, sf_dir, "conversations"))))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_attribution, op2_pieces, op3_langid, op4_neighbours, op5_decontam, op6_minhash, op7_ngram, op8_preference, op9_quality, op10_warc)}
+    return {f.__name__: f for f in (op1_attribution, op2_pieces, op3_langid, op4_neighbours, op5_decontam, op6_minhash, op7_ngram, op8_preference, op8_examples, op9_quality, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:

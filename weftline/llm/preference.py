@@ -33,6 +33,24 @@ def neighbours(turns: DataFrame) -> DataFrame:
     return ids.agg(side(0).alias("chosen"), side(1).alias("rejected"))
 
 
+def retold(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each conversation up to its last assistant turn, against itself with another one there: turns and pairs.
+
+    The other turn is the last assistant turn of the conversation 2m + 1 of 2m, and of 2m for 2m + 1. pair_id is the
+    conversation; one without an assistant turn, or whose partner has none, is in no pair."""
+    number = F.coalesce(F.col("turn").cast("long"), F.lit(LAST))
+    said = turns.where("conv_id is not null").select("conv_id", number.alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    last = said.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    partner = F.when(F.pmod("conv_id", F.lit(2)) == 0, F.col("conv_id") + 1).otherwise(F.col("conv_id") - 1)
+    ends = last.join(last.select(partner.alias("conv_id"), F.col("last.text").alias("other")), "conv_id")
+    name = lambda side: F.concat(F.col("conv_id").cast("string"), F.lit(side))
+    told = said.join(ends.select("conv_id", F.col("last.turn").alias("end")), "conv_id").where("turn <= end")
+    chosen = told.select(name("c").alias("conv_id"), "turn", "role", "text")
+    shared = told.where("turn < end").select(name("r").alias("conv_id"), "turn", "role", "text")
+    other = ends.select(name("r").alias("conv_id"), F.col("last.turn").alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text"))
+    return chosen.unionByName(shared).unionByName(other), ends.select(F.col("conv_id").alias("pair_id"), name("c").alias("chosen"), name("r").alias("rejected"))
+
+
 def segments(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     """For each segment of each pair: pair_id, part (prompt, chosen, rejected), turn, role, rendered, train_from, train_to.
 
