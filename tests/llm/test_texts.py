@@ -178,6 +178,19 @@ def test_languages_of_odd_texts(spark):
     assert langid.languages(spark.createDataFrame([], ODD_SCHEMA)).collect() == []
 
 
+def test_letter_junk_and_unlearned_languages_are_not_accepted(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(3)
+    junk = [(-1 - i, " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n)), "xx") for i, n in enumerate([20, 50, 200] * 20)]
+    polish = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa"
+    junk += [(-1000 - i, " ".join(rng.choice(polish.split()) for _ in range(n)), "pl") for i, n in enumerate([20, 50, 200] * 20)]
+    model = langid.model_of(docs)
+    asked = docs.unionByName(spark.createDataFrame(junk, docs.schema))
+    kept = {r.doc_id for r in langid.accepted(asked, model).select("doc_id").collect()}
+    sure = {r.doc_id for r in langid.predicted(docs, langid.model_of(docs, spread=False)).where(langid.held_out() & (langid.F.col("score") >= 0.5)).collect()}
+    assert sum(d < 0 for d in kept) <= 0.05 * len(junk) and len(sure & kept) >= 0.98 * len(sure) > 0
+
+
 def test_unseen_words_back_off_to_shorter_grams():
     model = langid.Model(["a", "b"], {"tion": 0}, {"on>": 1, "n>": 2, "o": 3}, np.array([[0.0, -9.0], [-1.0, -3.0], [-4.0, -2.0], [-5.0, -5.0], [-8.0, -8.0]]))
     total, n = model.sums("tion on un 77")

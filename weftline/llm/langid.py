@@ -7,6 +7,10 @@ frequency in each language. An unseen word adds the mean over its characters of
 known n-gram that ends there. The language with the largest sum wins, the first by name among equals; the score is its share among all
 languages when the sums are read as log likelihoods.
 
+A score near 1 only says that no other language is nearer, and comes with length for any text. So a model with spread (that of the pipeline) gives score 0 unless
+the text is like its language: the mean over its words of the n-gram log frequency by character, against the mean and the
+spread of the language's training words (see ``Model.alike``). This does not depend on length, nor on which words are kept.
+
 A text that is null or holds no letter is ``und`` with score 0. Rows with null language or null ``doc_id`` are not
 trained on. With nothing to train on, all are ``und``. Repeated rows count as often as they occur. Words are runs of
 letters in lower case; the whole text counts.
@@ -34,6 +38,8 @@ GRAMS = 200_000
 LONGEST = 4
 SMOOTHING = 0.5
 LANGUAGES = 500
+LEARNED = 200
+"""Distinct training words from which a language has a spread to judge by."""
 UNSEEN = 200_000
 """Unseen words whose sums a worker keeps."""
 TEXT = "__text"
@@ -98,6 +104,28 @@ class Model:
     seen: dict[str, int] = field(default_factory=dict)
     table: np.ndarray | None = None
     filled: int = 0
+    spread: dict[int, tuple[float, float]] = field(default_factory=dict)
+    """Mean and standard deviation of ``form`` over the training words of a language."""
+    forms: dict[tuple[str, int], float] = field(default_factory=dict)
+
+    def form(self, word: str, lang: int) -> float:
+        """Mean over a word's characters of the log frequency of the longest known n-gram that ends there."""
+        out = self.forms.get((word, lang))
+        if out is None:
+            if len(self.forms) > UNSEEN:
+                self.forms.clear()
+            known, none = self.grams, len(self.rows) - 1
+            at = [next((known[g] for g in ends if g in known), none) for ends in grams_at(word)]
+            self.forms[word, lang] = out = float(self.rows[at, lang].mean())
+        return out
+
+    def alike(self, text: str | None, lang: int) -> bool:
+        """Whether the words' forms lie within one standard deviation below the language's mean, and one and a half standard errors."""
+        words = [w for w in words_of(text) if any(map(str.isalpha, w))]
+        if lang not in self.spread or not words:
+            return True
+        mean, deviation = self.spread[lang]
+        return sum(self.form(w, lang) for w in words) / len(words) >= mean - deviation * (1 + 1.5 / len(words) ** 0.5)
 
     def start(self) -> None:
         """Forget the unseen words met so far."""
@@ -137,8 +165,20 @@ class Model:
         return total + self.table[at].sum(0), count + len(at)
 
 
-def train(rows: DataFrame) -> Model:
-    """A model from rows (lang, text)."""
+def _forms(broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = broadcast.value
+        for batch in batches:
+            langs = batch.column("lang").to_pylist()
+            x = np.array([model.form(w, model.langs.index(lang)) for w, lang in zip(batch.column("item").to_pylist(), langs, strict=True)], float)
+            n = batch.column("n").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("n"), pa.array(n * x), pa.array(n * x * x)], ["lang", "n", "x", "xx"])
+
+    return run
+
+
+def train(rows: DataFrame, spread: bool = True) -> Model:
+    """A model from rows (lang, text); without ``spread``, it finds every text alike."""
     counted = rows.where("lang is not null").select("lang", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_count_words, "lang string, item string, n long")
     by_lang = written(counted.groupBy("lang", "item").agg(F.sum("n").alias("n")), "words")
     totals = dict(by_lang.groupBy("lang").agg(F.sum("n")).orderBy("lang").limit(LANGUAGES + 1).collect())
@@ -157,7 +197,13 @@ def train(rows: DataFrame) -> Model:
         rows_out.append(_logs(part, part.sum(0)))
     floor = np.full((1, len(langs)), min([0.0, *(x.min() for x in rows_out if x.size)]))
     at = {kept_grams[i]: len(kept_words) + k for k, i in enumerate(order)}
-    return Model(langs, dict(zip(kept_words, range(len(kept_words)), strict=True)), at, np.vstack([*rows_out, floor]))
+    model = Model(langs, dict(zip(kept_words, range(len(kept_words)), strict=True)), at, np.vstack([*rows_out, floor]))
+    if spread and langs:
+        found = by_lang.mapInArrow(_forms(rows.sparkSession.sparkContext.broadcast(model)), "lang string, n long, x double, xx double")
+        for lang, k, n, x, xx in found.groupBy("lang").agg(F.count("*"), F.sum("n"), F.sum("x"), F.sum("xx")).collect():
+            if k >= LEARNED:
+                model.spread[langs.index(lang)] = x / n, max(0.0, xx / n - (x / n) ** 2) ** 0.5
+    return model
 
 
 def _kept(counts: DataFrame, most: int, langs: list[str]) -> tuple[list[str], np.ndarray]:
@@ -184,7 +230,7 @@ def _predict(broadcast, keep: list[str]):
                 if count:
                     best = int(total.argmax())
                     langs.append(model.langs[best])
-                    scores.append(float(1 / np.exp(total - total[best]).sum()))
+                    scores.append(float(1 / np.exp(total - total[best]).sum()) if model.alike(text, best) else 0.0)
                 else:
                     langs.append("und")
                     scores.append(0.0)
@@ -197,9 +243,9 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % FOLDS == HELD_OUT
 
 
-def model_of(docs: DataFrame):
+def model_of(docs: DataFrame, spread: bool = True):
     """The broadcast model of the training rows of ``docs`` (doc_id, text, lang)."""
-    return docs.sparkSession.sparkContext.broadcast(train(docs.where(~held_out()).select("lang", "text")))
+    return docs.sparkSession.sparkContext.broadcast(train(docs.where(~held_out()).select("lang", "text"), spread))
 
 
 def predicted(docs: DataFrame, model) -> DataFrame:
@@ -212,7 +258,7 @@ def predicted(docs: DataFrame, model) -> DataFrame:
 
 def languages(docs: DataFrame) -> DataFrame:
     """For each row of ``docs``: doc_id, held_out, lang_pred, score."""
-    model = model_of(docs)
+    model = model_of(docs, spread=False)
     return predicted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text"), model)
 
 
