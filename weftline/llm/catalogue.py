@@ -1,4 +1,4 @@
-"""The queries of the ten operators over whole tables, and the SQL of those that SQL can express."""
+"""The queries of the operators over whole tables, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import attribution, decontam, langid, minhash, neighbours, ngram, pieces, preference, quality, warc
+from weftline.llm import attribution, decontam, idfiles, langid, minhash, neighbours, ngram, phrases, pieces, preference, quality, repair, warc
 from weftline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,9 +58,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(table(spark, sf_dir, "pages")))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repairs(table(spark, sf_dir, "conversations"))
+
+
+def op12_idfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfiles.digests(idfiles.write(table(spark, sf_dir, "documents"), idfiles.encoder_of(spark)))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_attribution, op2_pieces, op3_langid, op4_neighbours, op5_decontam, op6_minhash, op7_ngram, op8_preference, op8_examples, op9_quality, op10_warc)}
+    first = (op1_attribution, op2_pieces, op3_langid, op4_neighbours, op5_decontam, op6_minhash, op7_ngram, op8_preference, op8_examples, op9_quality)
+    return {f.__name__: f for f in (*first, op10_warc, op11_repair, op12_idfiles, op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_neighbours": neighbours.SQL, "op5_decontam": decontam.SQL, "op8_preference": preference.SQL, "op10_warc": warc.SQL}
+    return {"op4_neighbours": neighbours.SQL, "op5_decontam": decontam.SQL, "op8_preference": preference.SQL, "op10_warc": warc.SQL, "op13_phrases": phrases.SQL}
