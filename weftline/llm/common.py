@@ -58,8 +58,9 @@ def largest(rows: DataFrame, most: int) -> DataFrame:
     return rows.where(step >= least) if least is not None else rows.limit(0)
 
 
-def words(texts: pa.Array, apart: bytes, breaks: bytes = b"") -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
-    """Words of a batch of texts (strings or binaries, without nulls): what lies between bytes of ``apart`` and ``breaks`` and the ends of texts.
+def words(texts: pa.Array, apart: bytes, breaks: bytes = b"", before: bytes = b"") -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
+    """Words of a batch of texts (strings or binaries, without nulls): what lies between bytes of ``apart`` and ``breaks`` and the ends of texts,
+    and is cut before a byte of ``before`` that follows a letter of A-Z or a-z.
 
     Gives the words, the text each is in, and a number that changes between words that a byte of ``breaks`` or an end parts."""
     ends = _offsets(texts)
@@ -73,12 +74,17 @@ def words(texts: pa.Array, apart: bytes, breaks: bytes = b"") -> tuple[pa.Binary
     edge[ends] = True
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | edge[1:-1]
+    if before:
+        letter, mark = np.zeros(256, bool), np.zeros(256, bool)
+        letter[65:91] = letter[97:123] = True
+        mark[list(before)] = True
+        begins[1:] |= mark[data[1:]] & letter[data[:-1]]
     starts = np.flatnonzero(begins)
-    before = np.cumsum(inside, dtype=np.int64)
+    before = np.cumsum(inside, dtype=np.int32)
     offsets = np.append(before[starts] - 1, before[-1] if len(before) else 0).astype(np.int32)
     held = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[inside].tobytes())])
     row = np.searchsorted(ends, starts, "right") - 1
-    parted = np.cumsum(kind == 2, dtype=np.int64)[starts] if breaks and len(data) else np.zeros(len(starts), np.int64)
+    parted = np.cumsum(kind == 2, dtype=np.int32)[starts] if breaks and len(data) else np.zeros(len(starts), np.int64)
     return held, row, parted + row
 
 

@@ -14,8 +14,9 @@ those that the tasks' reports name, so what an attempt of a lost executor left i
 order of their texts' hashes, and a key's rows may be in several files. A null key comes first. A null or empty text has the end
 id alone. A very long text is one encoding; its ids go to the file by blocks. An empty table writes no file and reads as no row.
 
-Ids are those of the whole text. Where ``cut`` names bytes that no token of the tokenizer crosses, the distinct stretches between
-them are encoded once a batch, and their ids are put together, which gives the same ids; ``cut=b""`` encodes text by text.
+Ids are those of the whole text. ``cut`` names bytes that no token of the tokenizer holds or crosses, ``before`` those that no token crosses from a letter
+on, ``lower`` says that it takes A-Z for a-z; distinct stretches between such places are encoded once, and their ids are put
+together, which gives the same ids. ``cut=b""`` encodes text by text.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -37,15 +39,15 @@ from weftline.llm.common import based, lists, slices, words
 from weftline.settings import shared_dir, written
 
 TOKENIZER = "word_bpe_49k.json"
-CUT = b" \n"
+CUT, BEFORE = b" \n", b".,;:!?"
 END = 2
 BLOCK = 256
 AT_ONCE = 1 << 20
 """Ids that are packed or unpacked at once: whole blocks."""
 FILE = 8 << 20
 """Ids after which a task begins another file, at the next document."""
-KNOWN = 300_000
-"""Stretches whose ids a worker remembers."""
+KNOWN = 600_000
+"""Stretches whose ids a worker remembers, about."""
 MAGIC = b"WFTIDS01"
 # Values in a word and bits of each, by selector; selector 0 is an escape, 1 a run of zeros.
 COUNT = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -218,51 +220,94 @@ class Reader:
 class Encoder:
     """Ids of texts by a tokenizer file's content; loaded once a worker."""
 
-    def __init__(self, content: str, cut: bytes = CUT):
-        self.content, self.cut, self.tokenizer = content, cut, None
+    def __init__(self, content: str, cut: bytes = CUT, before: bytes = BEFORE, lower: bool = True):
+        self.content, self.cut, self.before, self.lower, self.tokenizer = content, cut, before, lower, None
 
     def __getstate__(self):
-        return self.content, self.cut
+        return self.content, self.cut, self.before, self.lower
 
     def __setstate__(self, state):
-        self.content, self.cut = state
+        self.content, self.cut, self.before, self.lower = state
         self.tokenizer = None
 
-    def _of(self, texts: list[str]) -> list[np.ndarray]:
+    def _of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and their number by text."""
         if self.tokenizer is None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
-            self.tokenizer, self.known = Tokenizer.from_str(self.content), {}
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            self.tokenizer, self.last = Tokenizer.from_str(self.content), None
+            if suffix := getattr(self.tokenizer.model, "end_of_word_suffix", None):
+                self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+                self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+            self._forget()
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(each), np.uint32), np.fromiter(map(len, each), np.int64, len(each))
+
+    def _forget(self) -> None:
+        """What is known: the number of each stretch, where its ids begin and end among all, and these (with room for more)."""
+        self.known, self.first, self.flat = {}, np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, stretches: list[bytes]) -> None:
+        ids, sizes = self._of_many([w.decode() for w in stretches])
+        end = int(self.first[-1])
+        if end + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat[:end], np.zeros(end + 2 * len(ids), np.uint32)))
+        self.flat[end : end + len(ids)] = ids
+        self.known.update(zip(stretches, range(len(self.known), len(self.known) + len(stretches)), strict=True))
+        self.first = np.concatenate((self.first, end + np.cumsum(sizes)))
+
+    def _of_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_of``. Texts of letters alone go many at a time, where the tokenizer marks the last token of each word: each is one word of it."""
+        if self.last is None:
+            return self._of(texts)
+        simple = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        one, other = np.flatnonzero(simple).tolist(), np.flatnonzero(~simple).tolist()
+        ids, _ = self._of([" ".join([texts[k] for k in one[i : i + 256]]) for i in range(0, len(one), 256)])
+        ends = np.flatnonzero(self.last[ids])
+        if len(ends) != len(one) or (len(ids) and ends[-1] + 1 != len(ids)):
+            return self._of(texts)
+        rest, sizes = self._of([texts[k] for k in other])
+        place = np.argsort(np.array(one + other, np.int64))
+        size = np.concatenate((np.diff(ends, prepend=-1), sizes))
+        start = (np.cumsum(size) - size)[place]
+        size = size[place]
+        return np.concatenate((ids, rest))[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
+
+    def _lowered(self, texts: pa.Array) -> pa.Array:
+        """The texts in lower case (A-Z), if that makes no special token of what is none."""
+        raw = texts.cast(pa.binary())
+        ends = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1]
+        data = (raw.buffers()[2] or pa.py_buffer(b"")).to_pybytes()[ends[0] : ends[-1]].lower()
+        if any(t.content.lower().encode() in data for t in self.tokenizer.get_added_tokens_decoder().values()):
+            return texts
+        return pa.BinaryArray.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(data)])
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one behind the other, and their number by text."""
         if not self.cut:
-            each = self._of(texts.to_pylist())
-            return np.concatenate([np.zeros(0, np.uint32), *each]), np.array([len(x) for x in each], np.int64)
-        found, row, _ = words(texts, self.cut)
+            return self._of(texts.to_pylist())
+        self._of([])
+        found, row, _ = words(self._lowered(texts) if self.lower else texts, self.cut, before=self.before)
         found = found.dictionary_encode()
         distinct = found.dictionary.to_pylist()
-        self._of([])
         if len(self.known) > KNOWN:
-            self.known = {}
-        new = [w for w in distinct if w not in self.known]
-        self.known.update(zip(new, self._of([w.decode() for w in new]), strict=True))
-        each = [self.known[w] for w in distinct]
-        flat = np.concatenate([np.zeros(0, np.uint32), *each])
-        size = np.array([len(x) for x in each], np.int64)
-        which = found.indices.to_numpy(zero_copy_only=False)
-        n = size[which]
-        start = (np.cumsum(size) - size)[which]
-        ids = flat[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            self._forget()
+        number = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        if len(new := np.flatnonzero(number < 0)):
+            number[new] = len(self.known) + np.arange(len(new))
+            self._learn([distinct[i] for i in new.tolist()])
+        number = number[found.indices.to_numpy(zero_copy_only=False)]
+        start = self.first[number]
+        n = self.first[number + 1] - start
+        ids = self.flat[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         return ids, np.bincount(row, n, len(texts)).astype(np.int64)
 
 
-def encoder_of(spark: SparkSession, file: str = TOKENIZER, cut: bytes = CUT):
+def encoder_of(spark: SparkSession, file: str = TOKENIZER, cut: bytes = CUT, before: bytes = BEFORE, lower: bool = True):
     """The broadcast encoder of a tokenizer's file; its size is that of the file."""
     with open(public_tokenizers.path(file), encoding="utf-8") as f:
-        return spark.sparkContext.broadcast(Encoder(f.read(), cut))
+        return spark.sparkContext.broadcast(Encoder(f.read(), cut, before, lower))
 
 
 def _with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
@@ -282,7 +327,7 @@ def _write(folder: str, encoder, end: int):
             row = [[part], [seq], [f"{folder}/{name}"], [len(writer.keys)], [writer.ids]]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["part", "seq", "path", "docs", "ids"])
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             if writer is None:
                 name = f"{uuid.uuid4()}.ids"
                 writer = Writer(system.open_output_stream(f"{path}/{name}"))
