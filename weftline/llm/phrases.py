@@ -1,7 +1,7 @@
 """Phrases whose words stand together more often than their parts would, by language, from weighted acyclic automata.
 
 Phrases are counted length by length. A batch of texts gives its n-grams in order, with their counts; they become transducers,
-one for each range of prefixes (of hashes of the first two words): deterministic acyclic automata over words whose paths' weights
+one for each range of prefixes (of hashes of the first two words, so that no first word has a range of its own): deterministic acyclic automata over words whose paths' weights
 are the counts, built state by state as the sorted n-grams come, equal states being one. The transducers of a range meet in one place, where
 their weights are added up, and those of ``least`` and more become the range's own transducer. Only n-grams whose two parts of
 n - 1 words are frequent are counted: a bitmap of ``SLOTS`` hashed slots says so. A slot that two n-grams share costs work, it changes no count.
@@ -19,9 +19,10 @@ counted already, and the list of a language is cut in two steps.
 
 from __future__ import annotations
 
-import struct
+import marshal
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,25 +57,41 @@ class Transducer:
     leads to it, and a state that equals a closed one is that one."""
 
     def __init__(self):
-        self.states: list[tuple] = []  # weight at the end or None, and arcs: word, weight, state
-        self.known: dict[tuple, int] = {}
+        self.states: list[tuple] = [_LEAF]  # weight at the end or None, and arcs: word, weight, state
+        self.known: dict[tuple, int] = {_LEAF: 0}
         self.last: tuple = ()
-        self.path: list[list] = [[None, []]]
+        self.path: list[list] = [[None, []]]  # the states on the way to the last sequence's own, which the last arc leads to
         self.root = (0, None)
 
     def add(self, sequence: tuple, weight: int) -> None:
+        if not sequence:
+            self.path[0][0] = weight
+            return
         same = 0
         for a, b in zip(sequence, self.last, strict=False):
             if a != b:
                 break
             same += 1
-        self._close(same)
-        for word in sequence[same:]:
-            self.path[-1][1].append(word)
-            self.path.append([None, []])
-        self.path[-1][0] = weight
+        path = self.path
+        if same == len(self.last) and same:  # goes on where the last one ends
+            arcs = path[-1][1]
+            path.append([arcs[-1][1], []])
+            arcs[-1] = arcs[-1][0]
+        elif same < len(path) - 1:
+            self._close(same)
+        for word in sequence[same:-1]:
+            path[-1][1].append(word)
+            path.append([None, []])
+        path[-1][1].append((sequence[-1], weight, 0))
         self.last = sequence
 
+    def add_all(self, prefix: tuple, words: list, weights: list) -> None:
+        """As ``add`` of each word, in order, behind one prefix."""
+        self.add((*prefix, words[0]), weights[0])
+        if len(words) > 1:
+            self.path[-1][1].extend(zip(words[1:], weights[1:], repeat(0)))
+            self.last = (*prefix, words[-1])
+
     def _close(self, depth: int) -> None:
         while len(self.path) > depth + 1:
             state = self._closed(self.path.pop())
@@ -83,8 +100,8 @@ class Transducer:
 
     def _closed(self, state: list) -> tuple[int, int]:
         final, arcs = state
-        least = min((a[1] for a in arcs), default=final)
-        least = min(least, final) if final is not None and arcs else least
+        least = min([a[1] for a in arcs], default=final)
+        least = min(least, final) if final is not None else least
         if least:
             arcs = [(w, x - least, s) for w, x, s in arcs]
             final = None if final is None else final - least
@@ -112,7 +129,11 @@ class Transducer:
             final, arcs = self.states[number]
             if final is not None:
                 yield sequence, weight + final
-            stack += [((*sequence, w), weight + x, s) for w, x, s in reversed(arcs)]
+            if all(s == 0 for _, _, s in arcs):
+                for w, x, _ in arcs:
+                    yield (*sequence, w), weight + x
+            else:
+                stack += [((*sequence, w), weight + x, s) for w, x, s in reversed(arcs)]
 
     def composed(self, other: Transducer) -> Iterator[tuple[tuple, int, int]]:
         """The sequences that both hold, in order, with both weights: only what both share is walked."""
@@ -131,34 +152,20 @@ class Transducer:
                     stack.append(((*sequence, w), a + x, s, b + y, t))
 
     def dumped(self) -> bytes:
-        """States after each other: whether one ends, its weight, its arcs; words by their numbers in a list before."""
-        labels = sorted({a[0] for _, arcs in self.states for a in arcs})
-        place = {w: i for i, w in enumerate(labels)}
-        numbers = [x for final, arcs in self.states for x in (-1 if final is None else final, len(arcs), *(y for w, x, s in arcs for y in (place[w], x, s)))]
-        text = b"\0".join(w.encode("utf-8", "surrogatepass").replace(b"\1", b"\1\1").replace(b"\0", b"\1\2") for w in labels)
-        weight, root = self.root
-        numbers = np.array([weight, -1 if root is None else root, *numbers], np.int64)
-        wide = next(k for k in ("<i1", "<i2", "<i4", "<i8") if numbers.max() <= np.iinfo(k).max)
-        return zlib.compress(struct.pack("<BI", int(wide[2]), len(labels)) + numbers.astype(wide).tobytes() + text + struct.pack("<I", len(text)), 1)
+        """For the exchange between workers of one job, which run one version of Python."""
+        return zlib.compress(marshal.dumps((self.root, self.states)), 1)
 
     @classmethod
     def loaded(cls, raw: bytes) -> Transducer:
-        raw = zlib.decompress(raw)
-        wide, n = struct.unpack_from("<BI", raw)
-        (size,) = struct.unpack_from("<I", raw, len(raw) - 4)
-        text = raw[len(raw) - 4 - size : -4]
-        labels = [w.replace(b"\1\2", b"\0").replace(b"\1\1", b"\1").decode("utf-8", "surrogatepass") for w in text.split(b"\0")] if n else []
-        weight, root, *numbers = np.frombuffer(raw[5 : len(raw) - 4 - size], f"<i{wide}").tolist()
-        out, i = cls(), 0
-        out.root = (weight, None if root < 0 else root)
-        while i < len(numbers):
-            final, arcs = numbers[i], numbers[i + 1]
-            i += 2
-            out.states.append((None if final < 0 else final, tuple((labels[numbers[j]], numbers[j + 1], numbers[j + 2]) for j in range(i, i + 3 * arcs, 3))))
-            i += 3 * arcs
+        out = cls()
+        out.root, out.states = marshal.loads(zlib.decompress(raw))
         return out
 
 
+_LEAF = (0, ())
+"""The state after which nothing comes; number 0 of every transducer."""
+
+
 def transducer(sequences) -> Transducer:
     """Of (sequence, weight) in order, no sequence twice."""
     out = Transducer()
@@ -197,6 +204,19 @@ def _hash_of(lang: str, sequence) -> int:
         return int(_gram_hashes([x[None] for x in _word_hashes(lang, [w.encode("utf-8", "surrogatepass") for w in sequence])])[0])
 
 
+def _ranges(parts: list[np.ndarray], ranges: int) -> np.ndarray:
+    """The range of prefixes of n-grams, from the hashes of their first words, two at most. What follows a word lies in a quarter of the ranges."""
+    first = mixed(parts[0].copy())
+    if len(parts) > 1:
+        first = mixed(first + parts[1] % np.uint64(-(-ranges // 4)))
+    return (first % np.uint64(ranges)).astype(np.int64)
+
+
+def _range_of_words(lang: str, sequence, ranges: int) -> int:
+    with np.errstate(over="ignore"):
+        return int(_ranges([x[None] for x in _word_hashes(lang, [w.encode("utf-8", "surrogatepass") for w in sequence[:2]])], ranges)[0])
+
+
 def slot(hashes):
     return hashes % SLOTS
 
@@ -271,21 +291,27 @@ def _grams(n: int, bits, ranges: int, runs: bool):
                 distinct, ids, starts, piece, hashes = _frequent_grams(lang, texts, n, bits.value)
                 if not len(starts):
                     continue
-                table = np.stack([ids[starts + k] for k in range(n)])
-                order = np.lexsort(table[::-1])
-                table = table[:, order]
-                first = np.flatnonzero(np.concatenate(([True], (table[:, 1:] != table[:, :-1]).any(0))))
-                table, count = table[:, first], np.diff(np.append(first, len(order)))
                 names = [w.decode() for w in distinct]
-                place = (_gram_hashes([hashes[table[0]], hashes[table[1]]]) % np.uint64(ranges)).astype(np.int64)
-                order = np.argsort(place, kind="stable")
-                edges = np.flatnonzero(np.concatenate(([True], place[order][1:] != place[order][:-1], [True])))
-                out_place, out_text, out_raw = [], [], []
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                    own = order[a:b]
-                    keys = zip(*([names[i] for i in table[k][own].tolist()] for k in range(n)), strict=True)
-                    out_raw.append(transducer(((lang, *key), c) for key, c in zip(keys, count[own].tolist(), strict=True)).dumped())
-                    out_place.append(int(place[own[0]]))
+                table = np.stack([ids[starts + k] for k in range(n)])
+                place = _ranges([hashes[table[0]], hashes[table[1]]], ranges)
+                order = np.lexsort((*table[::-1], place))
+                table, place = table[:, order], place[order]
+                ranged = np.concatenate(([True], place[1:] != place[:-1]))
+                fresh = ranged | np.concatenate(([True], (table[:-1, 1:] != table[:-1, :-1]).any(0)))  # another prefix of n - 1 words
+                first = np.flatnonzero(fresh | np.concatenate(([True], table[-1, 1:] != table[-1, :-1])))
+                count = np.diff(np.append(first, len(order))).tolist()
+                table, place, ranged = table[:, first], place[first], np.append(np.flatnonzero(ranged[first]), len(first)).tolist()
+                groups = np.append(np.flatnonzero(fresh[first]), len(first))
+                heads = list(zip(*([names[i] for i in table[k][groups[:-1]].tolist()] for k in range(n - 1)), strict=True))
+                tails, groups = [names[i] for i in table[-1].tolist()], groups.tolist()
+                out_place, out_text, out_raw, g = [], [], [], 0
+                for a, b in zip(ranged[:-1], ranged[1:], strict=True):
+                    own = Transducer()
+                    while groups[g] < b:
+                        own.add_all((lang, *heads[g]), tails[groups[g] : groups[g + 1]], count[groups[g] : groups[g + 1]])
+                        g += 1
+                    out_raw.append(own.finish().dumped())
+                    out_place.append(int(place[a]))
                     out_text.append(None)
                 if runs:
                     cut = np.flatnonzero(np.diff(starts) != 1) + 1
@@ -347,7 +373,7 @@ def _placed(ranges: int):
             with np.errstate(over="ignore"):
                 hashes = [_hash_of(lang, [w]) for lang, w in rows]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([h % ranges for h in hashes], pa.int64()), batch.column("lang"), pa.array([[w] for _, w in rows], pa.list_(pa.string())), batch.column("n"), pa.array([slot(h) for h in hashes], pa.int64())], ["range", "lang", "words", "n", "slot"]
+                [pa.array([_range_of_words(lang, [w], ranges) for lang, w in rows], pa.int64()), batch.column("lang"), pa.array([[w] for _, w in rows], pa.list_(pa.string())), batch.column("n"), pa.array([slot(h) for h in hashes], pa.int64())], ["range", "lang", "words", "n", "slot"]
             )
 
     return run
@@ -367,11 +393,13 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     levels = [written(frequent.where(f"word is not null and n >= {least}").mapInArrow(_placed(ranges), _COUNTED), "level")]
     for n in range(2, longest + 1):
         bits = spark.sparkContext.broadcast(bitmap(levels[-1]))
-        shards = written(texts.mapInArrow(_grams(n, bits, ranges, 3 <= n < longest), "lang string, text string, range long, automaton binary"), "shards")
+        runs = 3 <= n < longest
+        shards = texts.mapInArrow(_grams(n, bits, ranges, runs), "lang string, text string, range long, automaton binary")
+        shards = written(shards, "shards") if runs else shards
         merged = shards.where("range is not null").select("range", "automaton").repartition("range").sortWithinPartitions("range")
         merged = written(merged.mapInArrow(_union(least), "range long, automaton binary"), "union")
         levels.append(written(merged.mapInArrow(_told, _COUNTED), "level"))
-        if n >= 3:
+        if runs:
             texts = shards.where("text is not null").select("lang", "text")
         bits.unpersist()
     out = levels[0]
@@ -398,8 +426,7 @@ def _looked_up(key: tuple, have: pa.Table, want: pa.Table) -> pa.Table:
 def _range_of(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            with np.errstate(over="ignore"):
-                places = [_hash_of(lang, ws[:2]) % ranges for lang, ws in zip(batch.column("lang").to_pylist(), batch.column("words").to_pylist(), strict=True)]
+            places = [_range_of_words(lang, ws, ranges) for lang, ws in zip(batch.column("lang").to_pylist(), batch.column("words").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), batch.column("lang"), batch.column("words")], ["range", "lang", "words"])
 
     return run
