@@ -91,6 +91,62 @@ def test_scans_of_several_paths(spark, listed, inputs, shortened):
     assert harvest.rejected(chosen, leaves).count() == shortened
 
 
+TWO = """== Physical Plan ==
+Execute InsertIntoHadoopFsRelationCommand (4)
++- Union (3)
+   :- Scan parquet (1)
+   +- Scan parquet (2)
+
+
+(1) Scan parquet
+Location: InMemoryFileIndex [file:/a, ... 1 entries]
+
+(2) Scan parquet
+Location: InMemoryFileIndex [file:/a, ... 1 entries]
+
+(3) Union
+
+(4) Execute InsertIntoHadoopFsRelationCommand
+Arguments: file:/o, false, Parquet, [path=file:/o], Overwrite, [x]
+
+"""
+B, C = "InMemoryFileIndex(2 paths)[file:/a, file:/b]", "InMemoryFileIndex(2 paths)[file:/a, file:/c]"
+
+
+@pytest.mark.parametrize(
+    "lists, first, second",
+    [([B, C], "ab", "ac"), ([C, B], "ac", "ab"), ([B], "a", "a"), ([B, C, C], "a", "a"), ([B, B, B], "ab", "ab"), ([B, C.replace("file:/c", "...")], "ab", "a"), ([], "a", "a"), (["InMemoryFileIndex(2 paths)[file:/x, file:/b]", B, C], "ab", "ac")],
+)
+def test_scans_that_begin_alike_keep_their_own_lists(spark, lists, first, second):
+    graph = {"nodeName": "Execute", "children": [{"nodeName": "Scan parquet ", "children": [], "metadata": {"Location": x}} for x in lists], "metadata": {}}
+    event = json.dumps({"Event": event_log.SQL_START, "executionId": 1, "physicalPlanDescription": TWO, "sparkPlanInfo": graph, "time": 1})
+    lines = spark.createDataFrame([("app", 1, "sql_start", event)], "app_id string, seq bigint, kind string, value string")
+    found = sorted(harvest.leaf_rows(harvest.facts(event_log.started_executions(lines))).collect(), key=lambda r: r.leaf_pos)
+    assert [["".join(t.path[-1] for t in r.targets), r.shortened] for r in found] == [[first, len(first) == 1], [second, len(second) == 1]]
+
+
+def test_runs_of_an_application_are_kept_apart(spark, tmp_path):
+    """Two attempts whose executions have the same numbers, the first of which failed in part, and both read in order."""
+    app = "application_1700000000000_0009"
+
+    def execution(number, out, failed=False):
+        plan = PLAN.replace("file:/a, ... 2 entries", f"file:/in{out}").replace("file:/o", f"file:/out{out}")
+        end = {"Event": event_log.SQL_END, "executionId": number, "errorMessage": "boom" if failed else "", "time": 2}
+        return [json.dumps({"Event": event_log.SQL_START, "executionId": number, "physicalPlanDescription": plan, "time": 1}), json.dumps(end)]
+
+    write(tmp_path, {f"{app}_1": [*execution(0, 1), *execution(1, 2, failed=True)], f"eventlog_v2_{app}_2/events_1_{app}_2.zstd.inprogress": execution(0, 3) + execution(1, 4)})
+    lines = event_log.read_lines(spark, f"file://{tmp_path}/{app}_1").unionByName(event_log.read_lines(spark, f"file://{tmp_path}/eventlog_v2_{app}_2"))
+    log = event_log.from_lines(lines)
+    apps = spark.createDataFrame([(app, "app.", False)], "app_id string, prefix string, remote_hms boolean")
+    edges = harvest.process_edges(harvest.facts(log.executions()), apps)
+    run, number = event_log.run_of(F.col("execution_id"))
+    rows = edges.select("app_id", run.alias("run"), number.alias("number"), "direction", "qualified_name").collect()
+    want = {(app, r, n, way, f"file:/{side}{x}") for r, n, x in ((1, 0, 1), (2, 0, 3), (2, 1, 4)) for way, side in (("input", "in"), ("output", "out"))}
+    assert {tuple(r) for r in rows} == want
+    seqs = [(r.run, r.seq) for r in lines.collect()]
+    assert max(s for r, s in seqs if r == 1) < min(s for r, s in seqs if r == 2)
+
+
 def test_a_real_scan_of_two_paths(spark, tmp_path):
     """A log that Spark itself writes, with room for the file list."""
     script = f"""

@@ -197,27 +197,36 @@ def leaf_table(node: Column, detail: Column) -> Column:
     return _or_null(F.when(node.startswith("Scan "), printed).otherwise(quoted))
 
 
-def leaf_paths(detail: Column, locations: Column) -> Column:
-    """Paths a file scan lists. A printed plan shows the first of several; the others are taken from ``locations``,
-    the plan graph's lists, if one of these is whole and begins with the same path; see ``is_shortened``."""
+def leaf_paths(detail: Column, whole: Column) -> Column:
+    """Paths a file scan lists. A printed plan shows the first of several; the others are those of ``whole``, the
+    plan graph's list of this scan, where that is known; see ``whole_list``."""
     listed = F.split(F.regexp_extract(detail, _SCAN_LOCATIONS, 1), ", ")
     printed = F.filter(listed, lambda p: (F.length(p) > 0) & ~p.startswith("..."))
-    inside = F.regexp_extract(_whole_list(detail, locations), r"\[(.*)\]$", 1)
-    return F.when(_is_cut(detail) & (F.length(inside) > 0), F.split(inside, ", ")).otherwise(printed)
+    inside = F.regexp_extract(whole, r"\[(.*)\]$", 1)
+    return F.when(is_cut(detail) & (F.length(inside) > 0), F.split(inside, ", ")).otherwise(printed)
 
 
-def _is_cut(detail: Column) -> Column:
+def is_cut(detail: Column) -> Column:
+    """The scan reads more paths than its plan shows."""
     return F.regexp_extract(detail, _SCAN_LOCATIONS, 1).rlike(_CUT)
 
 
-def _whole_list(detail: Column, locations: Column) -> Column:
-    """Of ``locations`` the one whose number of paths and first path are those of the scan, if it is not cut itself."""
+def list_mark(detail: Column) -> Column:
+    """How the plan graph's list of a cut scan begins: with the number of paths and the first one."""
     printed = F.regexp_extract(detail, _SCAN_LOCATIONS, 1)
     more = F.regexp_extract(printed, _CUT, 1).try_cast("int")
-    mark = F.concat(F.lit("("), (more + 1).cast("string"), F.lit(" paths)["), F.regexp_extract(printed, "^(.*?), ", 1), F.lit(", "))
-    return F.try_element_at(F.filter(locations, lambda x: x.contains(mark) & ~x.endswith("...]")), F.lit(1))
+    return F.concat(F.lit("("), (more + 1).cast("string"), F.lit(" paths)["), F.regexp_extract(printed, "^(.*?), ", 1), F.lit(", "))
 
 
-def is_shortened(detail: Column, locations: Column) -> Column:
-    """The scan reads more paths than are known."""
-    return _is_cut(detail) & _whole_list(detail, locations).isNull()
+def whole_list(mark: Column, marks: Column, before: Column, locations: Column) -> Column:
+    """Of ``locations``, the graph's lists in the order of its scans, that of one cut scan; null where it is cut itself or not known.
+
+    ``marks`` are those of all leaves in the plan's order, ``before`` the number of leaves before this one. Scans that begin alike take the
+    lists that do so one by one, as both are in the order of the tree. Where there are not as many lists as scans,
+    which list is whose is not known, unless the lists are one."""
+    alike = F.size(F.filter(marks, lambda m: m == mark))
+    earlier = F.size(F.filter(F.slice(marks, F.lit(1), before), lambda m: m == mark))
+    lists = F.filter(locations, lambda x: x.contains(mark))
+    same = (F.size(lists) > alike) & (F.size(F.array_distinct(lists)) == 1)
+    one = F.when(F.size(lists) == alike, F.get(lists, earlier)).when(same, F.get(lists, F.lit(0)))
+    return F.when(~one.endswith("...]"), one)

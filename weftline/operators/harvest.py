@@ -99,7 +99,11 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
 
     locations = F.col("locations") if "locations" in executions.columns else F.array().cast("array<string>")
 
-    def leaf(n: Column) -> Column:
+    leaves = F.filter("nodes", lambda n: n["is_leaf"])
+    marks = F.transform(leaves, lambda n: F.coalesce(pt.list_mark(n["detail"]), F.lit("")))
+
+    def leaf(n: Column, before: Column) -> Column:
+        whole = F.when(pt.is_cut(n["detail"]), pt.whole_list(pt.list_mark(n["detail"]), marks, before, locations))
         owner = F.filter("commands", lambda c: (c["pos"] < n["pos"]) & (c["end"] > n["pos"]))
         return F.struct(
             _tag(F.coalesce(F.try_element_at(owner, F.lit(1))["pos"], F.lit(-1))).alias("tag"),
@@ -107,8 +111,8 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
             n["node"].alias("node"),
             n["kind"].alias("kind"),
             F.when(n["kind"] == "connector", pt.leaf_connector(n["node"], n["detail"])).alias("connector"),
-            ((n["kind"] == "files") & pt.is_shortened(n["detail"], locations)).alias("shortened"),
-            leaf_targets(n["node"], n["detail"], n["kind"], locations).alias("targets"),
+            ((n["kind"] == "files") & pt.is_cut(n["detail"]) & whole.isNull()).alias("shortened"),
+            leaf_targets(n["node"], n["detail"], n["kind"], whole).alias("targets"),
         )
 
     return parse(executions).select(
@@ -120,7 +124,7 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
         *keep,
         F.coalesce(best, F.lit(NO_COMMAND)).alias("priority"),
         listed.alias("listed"),
-        F.transform(F.transform(F.filter("nodes", lambda n: n["is_leaf"]), kinded), leaf).alias("leaves"),
+        F.transform(F.transform(leaves, kinded), leaf).alias("leaves"),
     )
 
 
@@ -198,11 +202,11 @@ def _target(ident: Column, path: Column) -> Column:
     )
 
 
-def leaf_targets(node: Column, detail: Column, kind: Column, locations: Column) -> Column:
+def leaf_targets(node: Column, detail: Column, kind: Column, whole: Column) -> Column:
     """What a leaf reads, as an array of targets; null for leaves that are neither table nor files."""
     nothing = F.lit(None).cast("string")
     table = F.array(_target(pt.leaf_table(node, detail), nothing))
-    files = F.transform(pt.leaf_paths(detail, locations), lambda p: _target(nothing, p))
+    files = F.transform(pt.leaf_paths(detail, whole), lambda p: _target(nothing, p))
     return F.when(kind == "table", table).when(kind == "files", files)
 
 

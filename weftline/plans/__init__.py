@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.plans import catalog, lineage, ml, names, statements, streams
+from weftline.plans import catalog, definitions, lineage, ml, names, statements, streams
 
-MODULES = (lineage, names, catalog, ml, statements, streams)
+MODULES = (names, lineage, catalog, ml, statements, definitions, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

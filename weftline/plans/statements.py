@@ -35,22 +35,22 @@ def stage(spark: SparkSession, folder: str) -> str:
     return _STAGED[key]
 
 
-def _staged(spark: SparkSession, folder: str) -> tuple[EventLog, DataFrame]:
+def staged(spark: SparkSession, folder: str) -> tuple[EventLog, DataFrame]:
     place = stage(spark, folder)
     return event_log.read_staged(spark, place), spark.read.parquet(f"{place}/facts")
 
 
 def _log(spark: SparkSession, folder: str) -> EventLog:
-    return _staged(spark, folder)[0]
+    return staged(spark, folder)[0]
 
 
 def _statements(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    log, known = _staged(spark, folder)
+    log, known = staged(spark, folder)
     return harvest.statements(known, log.progress)
 
 
 def _edges(spark: SparkSession, folder: str) -> DataFrame:
-    log, known = _staged(spark, folder)
+    log, known = staged(spark, folder)
     return harvest.process_edges(known, log.applications, standins.statement_options(spark, folder), log.progress)
 
 
@@ -303,7 +303,7 @@ FROM refs r JOIN applications a ON r.app_id = a.app_id"""
 
 def bad_records(spark: SparkSession, folder: str) -> DataFrame:
     """Everything the log could not be read or matched for, in one table."""
-    log, known = _staged(spark, folder)
+    log, known = staged(spark, folder)
     chosen, leaves = harvest.statements(known, log.progress)
     return harvest.bad_records(chosen, leaves, standins.statement_options(spark, folder), log.malformed).select("app_id", "execution_id", "reason")
 
@@ -316,7 +316,45 @@ BAD_RECORDS = (
 )
 
 
+def log_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Edges of applications that were started twice, by run; both runs count their executions from 0."""
+    log = event_log.from_lines(written(standins.retried_lines(spark, folder), "lines"))
+    known = event_log.successful_executions(written(harvest.facts(log.started), "facts"), log.ended)
+    edges = harvest.process_edges(known, log.applications)
+    run, number = event_log.run_of(F.col("execution_id"))
+    return edges.select("app_id", run.alias("run"), number.alias("execution_id"), "direction", "type_name", "qualified_name")
+
+
+LOG_RUNS = (
+    _WITH
+    + """SELECT DISTINCT 'application_17_' || (s.c % 20) AS app_id, CAST((s.k // 16) % 2 + 1 AS INTEGER) AS run, s.k // 32 AS execution_id, direction,
+      CASE WHEN type_name IN ('hive_table', 'spark_table') THEN 'spark_table' ELSE type_name END AS type_name,
+      CASE WHEN type_name IN ('hive_table', 'spark_table')
+        THEN 'application_17_' || (s.c % 20) || '.' || regexp_extract(qualified_name, 'db[0-9]+[.][a-z0-9]+') ELSE qualified_name END AS qualified_name
+    FROM statement_edges e JOIN statements s ON s.k = e.k
+    WHERE e.kind = 1 AND type_name <> 'rdbms_table' AND NOT ((s.k // 16) % 2 = 0 AND s.c % 3 = 0)
+      AND (direction = 'output' OR type_name NOT IN ('hdfs_path', 'aws_s3_object'))
+    UNION SELECT DISTINCT 'application_17_' || (c % 20), CAST((k // 16) % 2 + 1 AS INTEGER), k // 32, 'input', 'hdfs_path', 'hdfs://nn:8020/Raw/' || (c % 100)
+    FROM good WHERE kind = 1 AND shape = 0 AND NOT ((k // 16) % 2 = 0 AND c % 3 = 0)"""
+)
+
+
+def scan_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """What each scan of several paths reads, where scans of one plan begin alike; whose list is not known shows its first path and is marked."""
+    known = harvest.facts(event_log.started_executions(standins.two_scan_lines(spark, folder)))
+    leaves = harvest.leaf_rows(known).where("kind = 'files'")
+    return leaves.select("execution_id", "leaf_pos", "shortened", F.array_join(F.transform("targets", lambda t: t["path"]), " ").alias("paths"))
+
+
+SCAN_LISTS = """SELECT o_orderkey AS execution_id, leaf_pos, o_orderkey % 5 = 0 OR (o_orderkey % 7 = 0 AND leaf_pos = 2) AS shortened,
+  'file:/a' || (o_orderkey % 3) || CASE WHEN o_orderkey % 5 = 0 OR (o_orderkey % 7 = 0 AND leaf_pos = 2) THEN ''
+    WHEN leaf_pos = 2 THEN ' file:/b' || (o_orderkey % 7) ELSE ' file:/c' || (o_orderkey % 11) END AS paths
+FROM orders, (SELECT unnest([2, 3]) AS leaf_pos)"""
+
+
 QUERIES = {
+    "scan_lists": (scan_lists, SCAN_LISTS),
+    "log_runs": (log_runs, LOG_RUNS),
     "bad_records": (bad_records, BAD_RECORDS),
     "process_edges": (process_edges, PROCESS_EDGES),
     "statement_mutations": (statement_mutations, STATEMENT_MUTATIONS),

@@ -52,9 +52,30 @@ def kind_of(line: Column) -> Column:
     )
 
 
+# An application that is started again counts its executions from 0 again. Its runs are told apart by what they add to
+# execution ids: nothing in the first run, this in the second, and so on.
+RUN_SPAN = 1 << 40
+
+
+def in_run(execution_id: Column, run: Column) -> Column:
+    """The id of an execution among all runs of its application."""
+    return execution_id + (run - 1) * RUN_SPAN
+
+
+def run_of(execution_id: Column) -> tuple[Column, Column]:
+    """The run of an execution, and its id in that run."""
+    return (F.floor(execution_id / RUN_SPAN) + 1).cast("int"), F.pmod(execution_id, F.lit(RUN_SPAN))
+
+
+def file_run(path: Column) -> Column:
+    """The run whose log a file is: on YARN the attempt after the application's id, else the first."""
+    attempt = F.regexp_extract(path, r"application_\d+_\d+_(\d+)(\.[a-z0-9.]+)?$", 1)
+    return F.when(F.length(attempt) > 0, attempt.cast("int")).otherwise(1)
+
+
 def file_app_and_number(path: Column) -> tuple[Column, Column]:
     """Application and number of a log file. A rolled file is named ``events_<n>_<app>``, a single-file log by its
-    application; on YARN an attempt follows the id; compaction and compression add endings."""
+    application; on YARN an attempt follows the id, see ``file_run``; compaction and compression add endings."""
     file_name = F.regexp_extract(path, r"([^/]+)$", 1)
     number = F.regexp_extract(file_name, r"^events_(\d+)_", 1)
     bare = F.regexp_replace(F.regexp_replace(file_name, r"^events_\d+_", ""), r"(\.(compact|inprogress|lz4|lzf|zstd|snappy))+$", "")
@@ -68,9 +89,9 @@ def _is_log(path: Column) -> Column:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``app_id, seq, kind, value`` of the logs under ``path`` (a folder or a glob).
+    """``app_id, run, seq, kind, value`` of the logs under ``path`` (a folder or a glob).
 
-    ``seq`` orders the lines of one application: file number, place of the split in its file
+    ``seq`` orders the lines of one application: run, file number, place of the split in its file
     (splits are far larger than a megabyte), row within the split.
     """
     raw = spark.read.option("recursiveFileLookup", "true").text(path)
@@ -80,23 +101,26 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lines_of(raw: DataFrame) -> DataFrame:
-    """``app_id, seq, kind, value`` of raw lines with their ``file`` and their ``place`` in it."""
+    """``app_id, run, seq, kind, value`` of raw lines with their ``file`` and their ``place`` in it.
+
+    ``seq`` leaves room for 63 runs, 65,535 rolled files of each, and 4 GB in a rolled file or 65 TB in a log's only one."""
     app, number = file_app_and_number(F.col("file"))
-    seq = number * (1 << 48) + F.col("place")
+    run = file_run(F.col("file"))
+    seq = run * F.lit(1 << 56) + number * F.lit(1 << 40) + F.col("place")
     return (
         raw.where(_is_log(F.col("file")))
-        .select(app.alias("app_id"), seq.alias("seq"), kind_of(F.col("value")).alias("kind"), "value")
+        .select(app.alias("app_id"), run.alias("run"), seq.alias("seq"), kind_of(F.col("value")).alias("kind"), "value")
         .where("kind is not null")
     )
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """``app_id, kind, value`` as a stream. Spark rolls log files, so a finished file never changes."""
+    """``app_id, run, kind, value`` as a stream. Spark rolls log files, so a finished file never changes."""
     reader = spark.readStream.option("maxFilesPerTrigger", str(files_per_trigger))
     raw = reader.option("recursiveFileLookup", "true").text(path)
     file = F.col("_metadata.file_path")
     app, _ = file_app_and_number(file)
-    found = raw.where(_is_log(file)).select(app.alias("app_id"), kind_of(F.col("value")).alias("kind"), "value")
+    found = raw.where(_is_log(file)).select(app.alias("app_id"), file_run(file).alias("run"), kind_of(F.col("value")).alias("kind"), "value")
     return found.where("kind is not null")
 
 
@@ -105,6 +129,11 @@ def _of_kind(lines: DataFrame, kind: str, schema: str) -> DataFrame:
     return lines.where(F.col("kind") == kind).withColumn("e", F.from_json("value", schema))
 
 
+def _execution(lines: DataFrame, number: Column) -> Column:
+    """The id among all runs of the application; lines without a run are of the first."""
+    return in_run(number, F.col("run")) if "run" in lines.columns else number
+
+
 def malformed_lines(lines: DataFrame) -> DataFrame:
     """Lines of a known kind that are not JSON, for the bad-record table."""
     broken = F.get_json_object("value", "$.Event").isNull()
@@ -148,8 +177,8 @@ def started_executions(lines: DataFrame) -> DataFrame:
     return _of_kind(lines, "sql_start", _START).select(
         "app_id",
         *(["seq"] if "seq" in lines.columns else []),
-        F.col("e.executionId").alias("execution_id"),
-        F.coalesce("e.rootExecutionId", "e.executionId").alias("root_execution_id"),
+        _execution(lines, F.col("e.executionId")).alias("execution_id"),
+        _execution(lines, F.coalesce("e.rootExecutionId", "e.executionId")).alias("root_execution_id"),
         F.when(F.length(query) > 0, query).alias("query_id"),
         F.when(F.length(batch) > 0, batch).cast("bigint").alias("batch_id"),
         F.timestamp_millis("e.time").alias("event_time"),
@@ -162,11 +191,19 @@ def started_executions(lines: DataFrame) -> DataFrame:
 def ended_executions(lines: DataFrame) -> DataFrame:
     return _of_kind(lines, "sql_end", _END).select(
         "app_id",
-        F.col("e.executionId").alias("execution_id"),
+        _execution(lines, F.col("e.executionId")).alias("execution_id"),
         (F.coalesce("e.errorMessage", F.lit("")) != "").alias("failed"),
+        F.timestamp_millis("e.time").alias("end_time"),
     )
 
 
+def statement_times(started: DataFrame, ended: DataFrame) -> DataFrame:
+    """When executions began and ended, in milliseconds: ``app_id, execution_id, began, ended``."""
+    began = started.select("app_id", "execution_id", F.unix_millis("event_time").alias("began"))
+    over = ended.groupBy("app_id", "execution_id").agg(F.max(F.unix_millis("end_time")).alias("ended"))
+    return began.join(over, ["app_id", "execution_id"])
+
+
 def successful_executions(started: DataFrame, ended: DataFrame) -> DataFrame:
     """Executions that ended without an error and belong to a statement that did.
 
@@ -210,7 +247,7 @@ def ml_events(lines: DataFrame) -> DataFrame:
         event.alias("event"),
         F.col("e.uid").alias("uid"),
         F.col("e.directory").alias("directory"),
-        F.col("e.datasetExecutionId").alias("dataset_execution_id"),
+        _execution(lines, F.col("e.datasetExecutionId")).alias("dataset_execution_id"),
     )
 
 

@@ -671,3 +671,116 @@ def statement_options(spark: SparkSession, folder: str) -> DataFrame:
         F.array(F.when(c % 4 == 3, read), F.when(_kind() == 9, saved).when(_kind() == 11, v2)), lambda o: o.isNotNull()
     )
     return rows.select(text("app-<n>", n=c % 20).alias("app_id"), k.alias("execution_id"), F.inline(listed))
+
+
+def statement_catalog(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Definitions, databases and catalog events of the tables that statements name, in milliseconds of the log.
+
+    Some tables are altered, dropped, renamed twice, or never defined; one application's database is dropped and one kind of
+    application defines its database late."""
+    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey")
+    s = F.col("s")
+    lists = orders.select((F.col("o_custkey") % 40).alias("s")).distinct()
+
+    def version(name: str, since: Column | int, comment: str, when: Column | None = None) -> Column:
+        made = F.struct(text(f"{name}<s>", s=s).alias("name"), F.lit(since).cast("bigint").alias("since"), F.lit(comment).alias("comment"))
+        return made if when is None else F.when(when, made)
+
+    listed = F.array(
+        version("src", 0, "first"),
+        version("out", 0, "first"),
+        version("out", 2_000_000, "altered", s % 3 == 0),
+        version("old", 0, "renamed", s % 2 == 0),
+        version("left", 0, "first", s % 2 == 1),
+        version("right", 0, "first"),
+        version("load", 1_500_000, "late"),
+        version("multi", 0, "first", s % 5 != 0),
+    )
+    shared = lists.select(s, F.inline(F.filter(listed, lambda x: x.isNotNull())))
+    k, kind = F.col("o_orderkey"), F.col("o_orderkey") % 16
+    made = F.when(kind == 2, "ctas").when(kind == 13, "hctas").when(kind == 5, "new").when(kind == 15, "hnew").when((kind == 3) & (F.col("o_custkey") % 2 == 0), "view")
+    own = orders.where(made.isNotNull()).select((F.col("o_custkey") % 40).alias("s"), F.concat(made, k.cast("string")).alias("name"), (k * 1000 + 200).alias("since"), F.lit("made").alias("comment"))
+    none, no_map = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
+    scope = [text("app-<n>", n=s % 20).alias("app_id"), text("db<n>", n=s % 5).alias("db")]
+    tables = shared.unionByName(own).select(
+        *scope, "name", "since", F.lit("MANAGED").alias("table_type"), F.lit("parquet").alias("provider"), F.lit("struct<x:bigint>").alias("schema_desc"), text("owner<n>", n=s % 6).alias("owner"),
+        F.lit(0).cast("bigint").alias("create_time"), "comment", F.array().cast("array<string>").alias("partition_columns"), no_map.alias("bucket_spec"), no_map.alias("parameters"),
+        F.concat(F.lit("hdfs://nn:8020/Wh/"), F.col("name")).alias("location"), none.alias("input_format"), none.alias("output_format"), none.alias("serde"), F.lit(False).alias("compressed"),
+        no_map.alias("storage_parameters"), F.lit(False).alias("tracks_partitions"), F.array().cast("array<string>").alias("unsupported_features"),
+    )
+    apps = lists.select((s % 20).alias("s")).distinct()
+    dbs = apps.select(
+        *scope, F.when(s % 7 == 3, 2_000_000).otherwise(0).cast("bigint").alias("since"), text("database <n>", n=s % 5).alias("description"), text("hdfs://nn:8020/Wh/db<n>", n=s % 5).alias("location"),
+        no_map.alias("parameters"), F.lit("dba").alias("owner"),
+    )
+
+    def event(kind: str, seq: int, name: Column, new_name: Column = none) -> list[Column]:
+        return [*scope, F.lit(seq).cast("bigint").alias("seq"), F.lit(kind).alias("event"), name.alias("name"), new_name.alias("new_name"), none.alias("kind")]
+
+    old, mid, left = (text(f"{x}<s>", s=s) for x in ("old", "mid", "left"))
+    # Numbers of one application differ, as places in its log do.
+    events = lists.where(s % 2 == 0).select(*event("RenameTable", 1_000_000, old, mid)).withColumn("seq", F.col("seq") + F.regexp_extract("name", r"(\d+)$", 1).cast("bigint"))
+    again = lists.where(s % 2 == 0).select(*event("RenameTable", 2_500_000, mid, left)).withColumn("seq", F.col("seq") + F.regexp_extract("name", r"(\d+)$", 1).cast("bigint"))
+    dropped = lists.where(s % 4 == 1).select(*event("DropTable", 3_000_000, text("right<s>", s=s))).withColumn("seq", F.col("seq") + F.regexp_extract("name", r"(\d+)$", 1).cast("bigint"))
+    lost = apps.where(s == 4).select(*event("DropDatabase", 4_000_001, none))
+    return tables, dbs, events.unionByName(again).unionByName(dropped).unionByName(lost)
+
+
+def retried_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of applications that were started twice: every statement that writes a path, dealt to two runs which both count from 0.
+
+    Of each pair of statements with one number the first run's fails, for some applications."""
+    k, c = F.col("k"), F.col("c")
+    rows = statement_plans(spark, folder).where((k % 16 == 1) & F.col("finished"))
+    run, number = (F.floor(k / 16) % 2 + 1).cast("int"), F.floor(k / 32)
+    app = text("application_17_<n>", n=c % 20)
+    file = F.concat(F.lit("hdfs://nn/logs/"), app, F.lit("_"), run.cast("string"))
+    start = F.to_json(F.struct(F.lit(event_log.SQL_START).alias("Event"), number.alias("executionId"), F.lit("sql").alias("description"), F.col("plan").alias("physicalPlanDescription"), (k * 1000).alias("time")))
+    failed = F.col("failed") | ((run == 1) & (c % 3 == 0))
+    end = F.to_json(F.struct(F.lit(event_log.SQL_END).alias("Event"), number.alias("executionId"), (k * 1000 + 500).alias("time"), F.when(failed, "boom").otherwise("").alias("errorMessage")))
+    both = F.array(F.struct((k * 8).alias("place"), start.alias("value")), F.struct((k * 8 + 1).alias("place"), end.alias("value")))
+    lines = rows.select(file.alias("file"), F.inline(both))
+    n = F.regexp_extract("app_id", r"(\d+)$", 1)
+    runs = applications(spark, folder).select(F.concat(F.lit("application_17_"), n).alias("app_id"), "app_name", "user", F.explode(F.array(F.lit(1), F.lit(2))).alias("run"))
+    began = F.to_json(F.struct(F.lit(event_log.APP_START).alias("Event"), F.col("app_name").alias("App Name"), F.col("app_id").alias("App ID"), F.col("run").cast("string").alias("App Attempt ID"), F.col("user").alias("User")))
+    opened = runs.select(F.concat(F.lit("hdfs://nn/logs/"), "app_id", F.lit("_"), F.col("run").cast("string")).alias("file"), F.lit(0).cast("bigint").alias("place"), began.alias("value"))
+    return event_log.lines_of(lines.unionByName(opened))
+
+
+_TWO_SCANS = """== Physical Plan ==
+Execute InsertIntoHadoopFsRelationCommand (4)
++- Union (3)
+   :- Scan parquet (1)
+   +- Scan parquet (2)
+
+
+(1) Scan parquet
+Location: InMemoryFileIndex [file:/a<s>, ... 1 entries]
+
+(2) Scan parquet
+Location: InMemoryFileIndex [file:/a<s>, ... 1 entries]
+
+(3) Union
+
+(4) Execute InsertIntoHadoopFsRelationCommand
+Arguments: file:/o<k>, false, Parquet, [path=file:/o<k>], Overwrite, [x]
+
+"""
+
+
+def two_scan_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A statement per order that reads two lists of paths which begin alike; the graph of every fifth shows one of them, of every seventh none whole."""
+    k = F.col("o_orderkey")
+    rows = spread(table(spark, folder, "orders", "o_orderkey", "o_custkey"), "o_orderkey")
+    v = dict(s=k % 3, b=k % 7, c=k % 11)
+    lists = [text("InMemoryFileIndex(2 paths)[file:/a<s>, file:/b<b>]", **v), text("InMemoryFileIndex(2 paths)[file:/a<s>, file:/c<c>]", **v)]
+    cut = text("InMemoryFileIndex(2 paths)[file:/a<s>, ...]", **v)
+
+    def scan(location: Column) -> Column:
+        return F.struct(F.lit("Scan parquet ").alias("nodeName"), F.struct(location.alias("Location")).alias("metadata"))
+
+    whole = F.when(k % 5 == 0, F.array(scan(lists[0]))).when(k % 7 == 0, F.array(scan(cut), scan(lists[1]))).otherwise(F.array(*map(scan, lists)))
+    graph = F.struct(F.lit("Union").alias("nodeName"), whole.alias("children"))
+    plan = text(_TWO_SCANS, s=k % 3, k=k)
+    start = F.to_json(F.struct(F.lit(event_log.SQL_START).alias("Event"), k.alias("executionId"), plan.alias("physicalPlanDescription"), graph.alias("sparkPlanInfo"), (k * 1000).alias("time")))
+    return event_log.lines_of(rows.select(text("hdfs://nn/logs/app-<n>", n=F.col("o_custkey") % 20).alias("file"), k.alias("place"), start.alias("value")))
