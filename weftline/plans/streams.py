@@ -12,9 +12,10 @@ from weftline.operators import harvest
 from weftline.plans import standin_sql as q
 from weftline.settings import shared_dir
 from weftline.sources import standins
-from weftline.sources.tables import table
-from weftline.streaming import progress, suppress
+from weftline.sources.tables import day_number, table
+from weftline.streaming import log_stream, progress, suppress
 
+TRIGGERS = 30
 COLUMNS = ["query_id", "batch_id", "direction", "qualified_name"]
 
 
@@ -31,10 +32,14 @@ SELECT DISTINCT query_id, batch_id, direction, qualified_name FROM stream_edges
 
 
 def stream_suppress_live(spark: SparkSession, folder: str) -> DataFrame:
-    """The streaming form over the whole event table, run to its end."""
+    """The streaming form over the whole event table, in files by the order of days, a trigger each, run to its end."""
     place = f"{shared_dir(spark)}/suppress-{uuid.uuid4()}"
-    schema = table(spark, folder, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    events, day = table(spark, folder, "events"), day_number("ts")
+    low, high = events.agg(F.min(day), F.max(day)).first()
+    width = -(-(high - low + 1) // TRIGGERS)
+    for first in range(low, high + 1, width):  # one after the other: a file source takes the oldest files first
+        events.where(day.between(first, first + width - 1)).coalesce(1).write.mode("append").parquet(f"{place}/events")
+    raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{place}/events")
     edges = standins.stream_edges_of(raw)
     suppress.start(edges, f"{place}/state", f"{place}/out", f"{place}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{place}/out").select(*COLUMNS)
@@ -90,7 +95,33 @@ SINK_PATH = """SELECT 'q' || user_id AS query_id, event_id AS batch_id, 'hdfs_pa
   'hdfs://nn:8020/Out/' || user_id AS qualified_name, '/out/' || user_id AS name FROM events WHERE event_id % 3 = 0"""
 
 
+def stream_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Lineage of streaming queries over a log whose lines come in files of any order, so that most plans and records meet triggers later."""
+    place = f"{shared_dir(spark)}/lineage-{uuid.uuid4()}"
+    lines = standins.log_lines(spark, folder).select("app_id", "run", "kind", "value")
+    wanted = lines.where("kind in ('app_start', 'environment', 'progress') or value like '%runId%'")
+    wanted.repartition(12, F.xxhash64("value")).write.parquet(f"{place}/lines")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", "4").parquet(f"{place}/lines")
+    log_stream.start(stream, log_stream.LineageSink(f"{place}/state", f"{place}/out", buckets=8), f"{place}/checkpoint").awaitTermination()
+    found = spark.read.option("basePath", f"{place}/out").parquet(f"{place}/out")
+    return found.select("app_id", *COLUMNS[:3], "type_name", "qualified_name")
+
+
+STREAM_LINEAGE = (
+    q.with_(q.STATEMENTS)
+    + """, batches AS (SELECT *, 'q' || (c % 90) AS query_id, CASE WHEN remote_hms THEN 'hive_table' ELSE 'spark_table' END AS table_type,
+  CASE WHEN remote_hms THEN '' ELSE app_id || '.' END AS pre, CASE WHEN remote_hms THEN '@primary' ELSE '' END AS post
+  FROM statements WHERE kind = 14 AND finished)
+SELECT app_id, query_id, k AS batch_id, 'input' AS direction, table_type AS type_name, pre || 'db' || (c % 5) || '.src' || (c % 40) || post AS qualified_name FROM batches
+UNION ALL SELECT app_id, query_id, k, 'input', 'hdfs_path', 'hdfs://nn:8020/Raw/' || (c % 100) FROM batches WHERE shape = 0
+UNION ALL SELECT app_id, query_id, k, 'input', 'aws_s3_object', 's3://lake/in/' || (c % 7) FROM batches WHERE shape = 0
+UNION ALL SELECT app_id, query_id, k, 'input', table_type, pre || 'db' || (c % 5) || '.h' || (c % 30) || post FROM batches WHERE shape = 1
+UNION ALL SELECT app_id, query_id, k, 'output', 'hdfs_path', 'hdfs://nn:8020/Stream/' || (c % 90) FROM batches"""
+)
+
+
 QUERIES = {
+    "stream_lineage": (stream_lineage, STREAM_LINEAGE),
     "stream_suppress": (stream_suppress, STREAM_SUPPRESS),
     "stream_suppress_live": (stream_suppress_live, STREAM_SUPPRESS),
     "progress_join": (progress_join, PROGRESS_JOIN),
