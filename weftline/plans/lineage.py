@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import names
-from weftline.operators import entities, lineage
+from weftline.operators import entities, levels, lineage
 from weftline.plans import standin_sql as q
+from weftline.settings import written
 from weftline.sources import standins
 from weftline.sources.tables import table
 
@@ -133,7 +134,26 @@ CREATE_ORDER = (
 )
 
 
+def create_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """The level each entity can be created at, from its own dependencies; none on a cycle or behind it."""
+    needs = written(standins.entity_dependencies(spark, folder), "needs")
+    every = needs.select(*levels.NAME).unionByName(needs.select(*levels.DEP).toDF(*levels.NAME))
+    return levels.create_levels(every, needs)
+
+
+CREATE_LEVELS = """SELECT DISTINCT * FROM (
+  SELECT 'spark_process' AS type_name, 'app-' || (o_custkey % 20) AS qualified_name, 3 AS level FROM orders
+  UNION ALL SELECT 'aws_s3_object', 's3://lake/d' || (o_custkey % 50) || '/f' || o_orderkey, 2 FROM orders
+  UNION ALL SELECT 'aws_s3_pseudo_dir', 's3://lake/d' || (o_custkey % 50) || '/', 1 FROM orders
+  UNION ALL SELECT 'aws_s3_bucket', 's3://lake', 0 FROM orders
+  UNION ALL SELECT 'spark_table', 'app-' || (o_custkey % 20) || '.db' || (o_custkey % 5) || '.t' || (o_custkey % 40), 1 FROM orders
+  UNION ALL SELECT 'spark_db', 'app-' || (o_custkey % 20) || '.db' || (o_custkey % 5), 0 FROM orders
+  UNION ALL SELECT 'spark_storagedesc', 'app-' || (o_custkey % 20) || '.db' || (o_custkey % 5) || '.t' || (o_custkey % 40) || '.storageFormat', 0 FROM orders
+  UNION ALL SELECT 'view', 'v' || n_nationkey, NULL FROM nation WHERE n_nationkey < 6)"""
+
+
 QUERIES = {
+    "create_levels": (create_levels, CREATE_LEVELS),
     "cycle_clean": (cycle_clean, CYCLE_CLEAN),
     "cyclic_queries": (cyclic_queries, CYCLIC_QUERIES),
     "app_process": (app_process, APP_PROCESS),

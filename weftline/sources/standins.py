@@ -784,3 +784,30 @@ def two_scan_lines(spark: SparkSession, folder: str) -> DataFrame:
     plan = text(_TWO_SCANS, s=k % 3, k=k)
     start = F.to_json(F.struct(F.lit(event_log.SQL_START).alias("Event"), k.alias("executionId"), plan.alias("physicalPlanDescription"), graph.alias("sparkPlanInfo"), (k * 1000).alias("time")))
     return event_log.lines_of(rows.select(text("hdfs://nn/logs/app-<n>", n=F.col("o_custkey") % 20).alias("file"), k.alias("place"), start.alias("value")))
+
+
+def entity_dependencies(spark: SparkSession, folder: str) -> DataFrame:
+    """What entities of statements need: an application its objects and tables, an object its folder, that its bucket; and five
+    views which need each other in a ring, with a sixth that needs one of them."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rows = table(spark, folder, "orders", "o_orderkey", "o_custkey")
+    app = text("app-<n>", n=c % 20)
+    folder_name = text("s3://lake/d<n>/", n=c % 50)
+    thing = text("s3://lake/d<n>/f<k>", n=c % 50, k=k)
+    own = text("app-<a>.db<d>.t<t>", a=c % 20, d=c % 5, t=c % 40)
+
+    def needs(type_name: str, name: Column, dep_type: str, dep: Column) -> Column:
+        return F.struct(F.lit(type_name).alias("type_name"), name.alias("qualified_name"), F.lit(dep_type).alias("dep_type_name"), dep.alias("dep_qualified_name"))
+
+    listed = F.array(
+        needs("spark_process", app, "aws_s3_object", thing),
+        needs("aws_s3_object", thing, "aws_s3_pseudo_dir", folder_name),
+        needs("aws_s3_pseudo_dir", folder_name, "aws_s3_bucket", F.lit("s3://lake")),
+        needs("spark_process", app, "spark_table", own),
+        needs("spark_table", own, "spark_db", text("app-<a>.db<d>", a=c % 20, d=c % 5)),
+        needs("spark_table", own, "spark_storagedesc", F.concat(own, F.lit(".storageFormat"))),
+    )
+    n = F.col("n_nationkey")
+    ring = table(spark, folder, "nation", "n_nationkey").where(n < 6)
+    ring = ring.select(needs("view", text("v<n>", n=n), "view", text("v<m>", m=F.when(n == 5, 0).otherwise((n + 1) % 5))).alias("x")).select("x.*")
+    return rows.select(F.inline(listed)).unionByName(ring)
