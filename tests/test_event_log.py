@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions import plan_text as pt
-from weftline.operators import harvest, lineage
+from weftline.operators import connectors, harvest, lineage
 from weftline.settings import JobSettings
 from weftline.sources import event_log
 from weftline.streaming import log_stream, suppress
@@ -240,3 +240,16 @@ def test_each_branch_takes_the_options_of_its_own_connector(spark):
     nothing = spark.createDataFrame([], "app_id string, execution_id bigint, reason string, detail string")
     bad = harvest.bad_records(chosen, leaves, options, nothing).collect()
     assert {(r.execution_id, r.reason, r.detail) for r in bad} == {(1, "connector without options", "Scan JDBCRelation(t) [numPartitions=1]"), (1, "connector without options", "Scan KafkaRelation(x)")}
+
+
+def test_writers_without_a_known_target_are_reported(spark):
+    chosen = spark.createDataFrame(
+        [("a", 1, 0, "SaveIntoDataSourceCommand", "org.x.P@1"), ("a", 2, 0, "WriteToDataSourceV2", "w"), ("a", 3, 0, "SaveIntoDataSourceCommand", "k"), ("a", 4, 1, "InsertIntoHiveTable", "t"), ("a", 5, 0, "WriteToDataSourceV2", None)],
+        "app_id string, execution_id long, command_pos int, command string, arguments string",
+    )
+    options = spark.createDataFrame(
+        [("a", 1, "output", "other", {"x": "y"}), ("a", 3, "output", "kafka", {"topic": "t"}), ("a", 2, "input", "kafka", {"subscribe": "t"})],
+        "app_id string, execution_id long, direction string, connector string, options map<string,string>",
+    )
+    found = connectors.unmatched_writers(chosen, options).collect()
+    assert {(r.execution_id, r.reason, r.detail) for r in found} == {(1, "unmatched writer", "SaveIntoDataSourceCommand org.x.P@1"), (2, "unmatched writer", "WriteToDataSourceV2 w"), (5, "unmatched writer", "WriteToDataSourceV2")}

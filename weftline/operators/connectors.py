@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import jdbc, names
+from weftline.functions import plan_text as pt
 from weftline.settings import JobSettings
 
 # Option keys that decide an identity.
@@ -161,6 +162,17 @@ def without_options(leaves: DataFrame, chosen: DataFrame, options: DataFrame) ->
     return bare.select("app_id", "execution_id", F.lit("connector without options").alias("reason"), F.col("node").alias("detail"))
 
 
+def unmatched_writers(chosen: DataFrame, options: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
+    """Saves and writers of harvested statements whose target no connector names, as bad records; their statements have inputs only.
+
+    Options of another connector, or none at all, name no target. Options that cannot be read are in ``rejected``."""
+    command = F.col("command")
+    writers = chosen.where(command.isin(pt.SAVE_SOURCE, "WriteToDataSourceV2")).select("app_id", "execution_id", "command_pos", "command", "arguments")
+    named = datasets(options, settings).where("direction = 'output'").select("app_id", "execution_id").distinct()
+    bare = writers.join(named, ["app_id", "execution_id"], "left_anti")
+    return bare.select("app_id", "execution_id", F.lit("unmatched writer").alias("reason"), F.concat_ws(" ", command, F.col("arguments")).alias("detail"))
+
+
 def rejected(options: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
     """Options no identity can be built from, as bad records."""
     broken = F.col("found").isNull() | F.exists("found", lambda d: d["qualified_name"].isNull())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import plan_text as pt
-from weftline.operators import harvest, lineage
+from weftline.operators import connectors, harvest, lineage
 from weftline.operators import statements as told
 from weftline.plans import standin_sql as q
 from weftline.settings import shared_dir, written
@@ -352,7 +352,20 @@ SCAN_LISTS = """SELECT o_orderkey AS execution_id, leaf_pos, o_orderkey % 5 = 0
 FROM orders, (SELECT unnest([2, 3]) AS leaf_pos)"""
 
 
+def unmatched_writers(spark: SparkSession, folder: str) -> DataFrame:
+    """Saves and writers whose target no connector names."""
+    chosen, _ = _statements(spark, folder)
+    found = connectors.unmatched_writers(chosen, standins.statement_options(spark, folder))
+    return found.select("app_id", "execution_id", "reason", F.split("detail", " ")[0].alias("command"))
+
+
+UNMATCHED_WRITERS = (
+    _WITH + "SELECT app_id, k AS execution_id, 'unmatched writer' AS reason, command FROM named WHERE kind = 9 AND shape = 3"
+)
+
+
 QUERIES = {
+    "unmatched_writers": (unmatched_writers, UNMATCHED_WRITERS),
     "scan_lists": (scan_lists, SCAN_LISTS),
     "log_runs": (log_runs, LOG_RUNS),
     "bad_records": (bad_records, BAD_RECORDS),
