@@ -200,6 +200,58 @@ def test_unseen_words_back_off_to_shorter_grams():
     assert n == 3 and total.tolist() == pytest.approx((np.array([0.0, -9.0]) + on + un).tolist())
 
 
+def brute_languages(docs):
+    """Languages and scores from counts of all words and n-grams in memory."""
+    words, grams = {}, {}
+    for d, text, lang in docs:
+        if d is not None and lang is not None and zlib.crc32(str(d).encode()) % 4 != 2:
+            for w in langid.words_of(text):
+                if any(c.isalpha() for c in w):
+                    words.setdefault(w, Counter())[lang] += 1
+    langs = sorted({x for c in words.values() for x in c})
+    for w, c in words.items():
+        for i in range(2, len(w) + 3):
+            for size in range(1, min(4, i) + 1):
+                grams.setdefault(f"<{w}>"[i - size : i], Counter()).update(c)
+    by_size = [words, *({g: c for g, c in grams.items() if len(g) == n} for n in range(1, 5))]
+    under = [[sum(c[x] for c in part.values()) + 0.5 * (len(part) + 1) for x in langs] for part in by_size]
+    log = lambda c, n: [math.log((c[x] + 0.5) / under[n][i]) for i, x in enumerate(langs)]
+    rows = [log(c, 0) for c in words.values()] + [log(c, len(g)) for g, c in grams.items()]
+    rows.append([math.log(0.5 / max(map(max, under)))] * len(langs))
+    model = langid.Model(langs, {w: i for i, w in enumerate(words)}, {g: len(words) + i for i, g in enumerate(grams)}, np.array(rows))
+    out = []
+    for d, text, _ in docs:
+        total, n = model.sums(text)
+        out.append((d, langs[int(total.argmax())] if n else "und", float(1 / np.exp(total - total.max()).sum()) if n else 0.0))
+    return out
+
+
+@pytest.mark.parametrize("head", [2, 600, langid.HEAD])
+def test_languages_equal_brute_force_whatever_the_head_holds(spark, head):
+    rng, rows = random.Random(11), []
+    alphabets = {"a": "abcde", "b": "cdefgh", "c": "éabzß日"}
+    for i in range(300):
+        lang = rng.choice("abc")
+        letters = alphabets[lang]
+        text = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 8)))
+        rows.append((i, text + rng.choice(["", " 12 ", " unmet", " ½ x"]), rng.choice([lang, lang, lang, None])))
+    rows += [(None, "abc zzz", "b"), (7, "abc", "c"), (900, None, "a"), (901, "", "a"), (902, "x" * 5000 + " " + "qv" * 3000, None), (903, "İSTANBUL ǅ", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predicted(docs.select("doc_id", "text"), langid.model_of(docs, spread=False, head=head)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[2])
+    for (d, lang, score), (d2, lang2, score2) in zip(sorted(map(tuple, got), key=key), sorted(brute_languages(rows), key=key), strict=True):
+        assert d == d2 and score == pytest.approx(score2, abs=1e-9) and (lang == lang2 or score < 0.51)
+
+
+def test_many_languages(spark):
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)} common", f"l{i:03}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.languages(docs).collect()
+    learned = {f"l{i:03}" for i in range(600) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(got) == 600 and {r.lang_pred for r in got} <= learned
+    assert all(r.lang_pred == f"l{r.doc_id:03}" for r in got if not r.held_out)
+
+
 # --- n-gram scores ---------------------------------------------------------------------------------------------
 
 

@@ -1,15 +1,19 @@
 """Language identification: known words first, shorter and shorter character n-grams for the others.
 
 Training counts each word of each language over all training rows, and from these counts each n-gram of one to four
-characters of the words (with word ends marked). The model keeps the most frequent words and n-grams, ``WORDS`` and
-``GRAMS`` at most; these parameters, and the number of languages, bound what is broadcast. A known word adds its log
+characters of the words (with word ends marked). Every word and n-gram is kept, in tables. A known word adds its log
 frequency in each language. An unseen word adds the mean over its characters of the log frequency of the longest
 known n-gram that ends there. The language with the largest sum wins, the first by name among equals; the score is its share among all
 languages when the sums are read as log likelihoods.
 
+The sums of a word are worked out once, whatever the number of texts that hold it. The most frequent words and n-grams, ``HEAD`` numbers at
+most, are broadcast; the rest of a text's words are joined with the table of all words and added by row. What is in the
+head changes the work and no sum. Words beyond it are rare by its definition, so no key of that join is hot (those over ``LONG``
+characters, which are never in it, aside). More languages make the head shorter; their number has no limit.
+
 A score near 1 only says that no other language is nearer, and comes with length for any text. So a model with spread (that of the pipeline) gives score 0 unless
-the text is like its language: the mean over its words of the n-gram log frequency by character, against the mean and the
-spread of the language's training words (see ``Model.alike``). This does not depend on length, nor on which words are kept.
+the text is like its language: the mean over its words of the n-gram log frequency by character lies at most one standard deviation, and one and a half
+standard errors, below the mean of the language's training words. This does not depend on length.
 
 A text that is null or holds no letter is ``und`` with score 0. Rows with null language or null ``doc_id`` are not
 trained on. With nothing to train on, all are ``und``. Repeated rows count as often as they occur. Words are runs of
@@ -18,6 +22,7 @@ letters in lower case; the whole text counts.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -25,7 +30,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,35 +38,57 @@ from weftline.llm.common import largest, slices
 from weftline.settings import written
 
 FOLDS, HELD_OUT = 4, 2
-WORDS = 100_000
-GRAMS = 200_000
+HEAD = 1_000_000
+"""Numbers (one a word or n-gram and language) that are broadcast."""
+LONG = 64
 LONGEST = 4
 SMOOTHING = 0.5
-LANGUAGES = 500
 LEARNED = 200
 """Distinct training words from which a language has a spread to judge by."""
-UNSEEN = 200_000
-"""Unseen words whose sums a worker keeps."""
-TEXT = "__text"
+TEXT, ROW = "__text", "__row"
 _WORD = re.compile(r"[^\W\d_]+")
+COUNTS = "array<struct<lang:int,n:bigint>>"
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def distinct_words(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words with a letter of all texts, and for each occurrence which it is and the text it is in."""
+    found, sizes = [], []
+    for text in texts:
+        each = words_of(text)
+        found += each
+        sizes.append(len(each))
+    coded = pa.array(found, pa.string()).dictionary_encode()
+    words, place, row = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(texts)), sizes)
+    lettered = np.array([w.isalpha() or any(map(str.isalpha, w)) for w in words], bool)
+    if not lettered.all():
+        kept = lettered[place]
+        place, row = (np.cumsum(lettered) - 1)[place[kept]], row[kept]
+        words = [w for w, good in zip(words, lettered, strict=True) if good]
+    return words, place, row
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, Counter[str]] = defaultdict(Counter)
+    counts: dict[str | None, Counter[str]] = defaultdict(Counter)
 
     def out() -> Iterator[pa.RecordBatch]:
         for lang, c in counts.items():
-            kept = [(w, n) for w, n in c.items() if any(map(str.isalpha, w))]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(kept), pa.string()), pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["lang", "item", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["lang", "item", "n"])
         counts.clear()
 
     for part in slices(batches, "text"):
-        for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
-            counts[lang].update(words_of(text))
+        words, place, row = distinct_words(part.column("text").to_pylist())
+        coded = part.column("lang").dictionary_encode()
+        langs = [*coded.dictionary.to_pylist(), None]
+        lang = coded.indices.fill_null(len(langs) - 1).to_numpy(zero_copy_only=False)
+        each = np.bincount(place * len(langs) + lang[row], minlength=len(words) * len(langs)).reshape(len(words), len(langs))
+        for i, name in enumerate(langs):
+            c = counts[name]
+            for k in np.flatnonzero(each[:, i]).tolist():
+                c[words[k]] += int(each[k, i])
         if sum(map(len, counts.values())) > 300_000:
             yield from out()
     yield from out()
@@ -94,147 +121,189 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Log frequencies: a row for each known word or n-gram, a column for each language; what a worker has met since."""
+    """The rule in memory: log frequencies, a row for each word or n-gram held, a column for each language."""
 
     langs: list[str]
     words: dict[str, int]
     grams: dict[str, int]
     rows: np.ndarray
     """The last row is that of characters never seen."""
-    seen: dict[str, int] = field(default_factory=dict)
-    table: np.ndarray | None = None
-    filled: int = 0
-    spread: dict[int, tuple[float, float]] = field(default_factory=dict)
-    """Mean and standard deviation of ``form`` over the training words of a language."""
-    forms: dict[tuple[str, int], float] = field(default_factory=dict)
-
-    def form(self, word: str, lang: int) -> float:
-        """Mean over a word's characters of the log frequency of the longest known n-gram that ends there."""
-        out = self.forms.get((word, lang))
-        if out is None:
-            if len(self.forms) > UNSEEN:
-                self.forms.clear()
-            known, none = self.grams, len(self.rows) - 1
-            at = [next((known[g] for g in ends if g in known), none) for ends in grams_at(word)]
-            self.forms[word, lang] = out = float(self.rows[at, lang].mean())
-        return out
-
-    def alike(self, text: str | None, lang: int) -> bool:
-        """Whether the words' forms lie within one standard deviation below the language's mean, and one and a half standard errors."""
-        words = [w for w in words_of(text) if any(map(str.isalpha, w))]
-        if lang not in self.spread or not words:
-            return True
-        mean, deviation = self.spread[lang]
-        return sum(self.form(w, lang) for w in words) / len(words) >= mean - deviation * (1 + 1.5 / len(words) ** 0.5)
-
-    def start(self) -> None:
-        """Forget the unseen words met so far."""
-        self.seen.clear()
-        self.table = np.vstack((self.rows, np.zeros((UNSEEN, len(self.langs)))))
-        self.filled = len(self.rows)
-
-    def unseen(self, word: str) -> int:
-        """Row of a word that is not known; -1 for one without a letter."""
-        if not any(map(str.isalpha, word)):
-            return -1
-        known, none = self.grams, len(self.rows) - 1
-        at = [next((known[g] for g in ends if g in known), none) for ends in grams_at(word)]
-        self.table[self.filled] = self.rows[at].mean(0)
-        self.filled += 1
-        return self.filled - 1
+
+    def of(self, word: str) -> np.ndarray:
+        if word in self.words:
+            return self.rows[self.words[word]]
+        none = len(self.rows) - 1
+        return self.rows[[next((self.grams[g] for g in ends if g in self.grams), none) for ends in grams_at(word)]].mean(0)
 
     def sums(self, text: str | None) -> tuple[np.ndarray, int]:
         """Summed log frequencies by language, and the number of words with a letter."""
-        if self.table is None:
-            self.start()
-        known, seen, at = self.words, self.seen, []
-        total, count = np.zeros(len(self.langs)), 0
-        for word in words_of(text):
-            i = known.get(word)
-            if i is None:
-                i = seen.get(word)
-                if i is None:
-                    if self.filled == len(self.table):  # what was met so far is added before the table starts anew
-                        total += self.table[at].sum(0)
-                        count += len(at)
-                        at = []
-                        self.start()
-                    seen[word] = i = self.unseen(word)
-            if i >= 0:
-                at.append(i)
-        return total + self.table[at].sum(0), count + len(at)
-
-
-def _forms(broadcast):
+        found = [self.of(w) for w in words_of(text) if any(map(str.isalpha, w))]
+        return np.sum(found, axis=0) if found else np.zeros(len(self.langs)), len(found)
+
+
+@dataclass
+class Learned:
+    """Tables (item, counts) of all words and all n-grams, and the totals that make log frequencies of their counts."""
+
+    langs: list[str]
+    words: DataFrame
+    grams: DataFrame
+    under: np.ndarray
+    """What counts are divided by, by length of n-gram (row 0: words) and language."""
+    spread: dict[int, tuple[float, float]] = field(default_factory=dict)
+    """Mean and standard deviation of the form over the training words of a language."""
+    judged: bool = False
+    head: int = HEAD
+
+    def most(self) -> int:
+        return self.head // max(1, len(self.langs))
+
+
+def _logs(counts: pa.Array, under: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Log frequencies of lists of (lang, n), the list's row of ``under`` by its size."""
+    n = np.zeros((len(counts), under.shape[1]))
+    flat, ends = counts.flatten(), np.diff(counts.offsets.to_numpy())
+    n[np.repeat(np.arange(len(counts)), ends), flat.field("lang").to_numpy()] = flat.field("n").to_numpy()
+    return np.log((n + SMOOTHING) / under[sizes])
+
+
+def _floor(under: np.ndarray) -> float:
+    """The log frequency of characters never seen: that of nothing in the largest total."""
+    return float(np.log(SMOOTHING / under.max()))
+
+
+def _backed(broadcast, under: np.ndarray, all_words: bool):
+    """Words with their own log frequencies (``vec``; null when not known), the sum of those n-grams that the head decides (``form``),
+    the number of characters, and what the head leaves open: lists of n-grams, longest first, with the number of characters that ask for them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, rows = broadcast.value
+        none = len(rows) - 1
+        for part in slices(batches, "item", 1 << 17):
+            counts = part.column("counts")
+            seen = ~counts.is_null().to_numpy(zero_copy_only=False)
+            vec: list = [None] * len(seen)
+            own = _logs(counts.filter(pa.array(seen)), under, np.zeros(int(seen.sum()), int))
+            for i, x in zip(np.flatnonzero(seen).tolist(), own.tolist(), strict=True):
+                vec[i] = x
+            at, sizes, chars, open_ = [], [], [], []
+            for word, has in zip(part.column("item").to_pylist(), seen.tolist(), strict=True):
+                asked: Counter[tuple[str, ...]] = Counter()
+                ends = grams_at(word) if all_words or not has else []
+                before = len(at)
+                for grams in ends:
+                    i = known.get(grams[0])
+                    if i is None:
+                        asked[tuple(grams)] += 1
+                    else:
+                        at.append(i)
+                sizes.append(len(at) - before)
+                chars.append(len(ends))
+                open_.append([{"k": k, "grams": list(g)} for g, k in asked.items()])
+            which = np.repeat(np.arange(len(sizes)), sizes)
+            form = np.stack([np.bincount(which, rows[at, i], len(sizes)) for i in range(under.shape[1])], 1)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("item"), part.column("n"), pa.array(vec, pa.list_(pa.float64())), pa.array(form.tolist(), pa.list_(pa.float64())), pa.array(chars, pa.int32()),
+                 pa.array([hashlib.md5(w.encode("utf-8", "surrogatepass")).hexdigest() if o else None for w, o in zip(part.column("item").to_pylist(), open_, strict=True)], pa.string()),
+                 pa.array(open_, pa.list_(pa.struct([("k", pa.int64()), ("grams", pa.list_(pa.string()))])))],
+                ["item", "n", "vec", "form", "chars", "key", "open"],
+            )
+
+    return run
+
+
+def _gram_logs(under: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = broadcast.value
+        """Log frequencies of n-grams met (size over 0) or never seen (size 0), times the characters that ask for them."""
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            x = np.array([model.form(w, model.langs.index(lang)) for w, lang in zip(batch.column("item").to_pylist(), langs, strict=True)], float)
-            n = batch.column("n").to_numpy()
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("n"), pa.array(n * x), pa.array(n * x * x)], ["lang", "n", "x", "xx"])
+            if batch.num_rows:
+                size, k = batch.column("size").to_numpy(), batch.column("k").to_numpy()
+                logs = np.where(size[:, None] > 0, _logs(batch.column("counts"), under, size), _floor(under))
+                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array((logs * k[:, None]).tolist(), pa.list_(pa.float64()))], ["key", "more"])
 
     return run
 
 
-def train(rows: DataFrame, spread: bool = True) -> Model:
+def _sum_each(column: str, langs: list[str], weight: Column | None = None) -> Column:
+    """Lists of numbers by language, added up in each place."""
+    one = F.lit(1) if weight is None else weight
+    return F.array(*[F.sum(one * F.col(column)[i]) for i in range(len(langs))])
+
+
+def sums_of(asked: DataFrame, model: Learned, forms: bool) -> DataFrame:
+    """For each word of ``asked`` (item, n): what it adds in each language (``vec``) and, with ``forms``, its mean n-gram log frequency (``form``)."""
+    spark = asked.sparkSession
+    grams = largest(model.grams, model.most()).toArrow()
+    rows = _logs(grams.column("counts").combine_chunks(), model.under, np.array([len(g) for g in grams.column("item").to_pylist()], int))
+    head = spark.sparkContext.broadcast((dict(zip(grams.column("item").to_pylist(), range(grams.num_rows), strict=True)), np.vstack([rows, np.full((1, len(model.langs)), _floor(model.under))])))
+    numbers = "array<double>"
+    found = asked.join(model.words.select("item", "counts"), "item", "left").select("item", "n", "counts")
+    found = written(found.mapInArrow(_backed(head, model.under, forms), f"item string, n long, vec {numbers}, form {numbers}, chars int, key string, open array<struct<k:bigint,grams:array<string>>>"), "backed")
+    # Each open list takes the first of its n-grams that is known.
+    open_ = found.where("size(open) > 0").select("key", F.inline("open"))
+    lists = open_.groupBy("grams").agg(F.count("*").alias("asked")).select("grams", F.posexplode("grams").alias("turn", "item"))
+    first = lists.join(model.grams.select("item", "counts"), "item", "left").groupBy("grams")
+    first = first.agg(F.min_by(F.struct(F.length("item").alias("size"), "counts"), F.when(F.col("counts").isNotNull(), F.col("turn"))).alias("hit"))
+    empty = F.array().cast(COUNTS)
+    hits = open_.join(first, "grams").select("key", "k", F.coalesce("hit.size", F.lit(0)).alias("size"), F.coalesce("hit.counts", empty).alias("counts"))
+    more = hits.mapInArrow(_gram_logs(model.under), f"key string, more {numbers}").groupBy("key").agg(_sum_each("more", model.langs).alias("more"))
+    whole = found.drop("open").join(more, "key", "left")
+    mean = F.transform("form", lambda x, i: (x + F.coalesce(F.col("more")[i], F.lit(0.0))) / F.col("chars"))
+    return whole.select("item", "n", F.coalesce("vec", mean).alias("vec"), (mean if forms else F.lit(None).cast(numbers)).alias("form"))
+
+
+def _by_item(counts: DataFrame, langs: list[str]) -> DataFrame:
+    """Counts (lang, item, n) as one row an item."""
+    number = (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int")
+    return counts.groupBy("item").agg(F.sum("n").alias("n"), F.collect_list(F.struct(number.alias("lang"), "n")).alias("counts"))
+
+
+def train(rows: DataFrame, spread: bool = True, head: int = HEAD) -> Learned:
     """A model from rows (lang, text); without ``spread``, it finds every text alike."""
     counted = rows.where("lang is not null").select("lang", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_count_words, "lang string, item string, n long")
     by_lang = written(counted.groupBy("lang", "item").agg(F.sum("n").alias("n")), "words")
-    totals = dict(by_lang.groupBy("lang").agg(F.sum("n")).orderBy("lang").limit(LANGUAGES + 1).collect())
-    if len(totals) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    totals = dict(by_lang.groupBy("lang").agg(F.sum("n")).collect())
     langs = sorted(totals)
+    words = written(_by_item(by_lang, langs or [""]), "word_counts")
     grams = by_lang.mapInArrow(_count_grams, "lang string, item string, n long").groupBy("lang", "item").agg(F.sum("n").alias("n"))
-    kept_words, word_rows = _kept(by_lang, WORDS, langs)
-    kept_grams, gram_rows = _kept(written(grams, "grams"), GRAMS, langs)
-    sizes = np.array([len(g) for g in kept_grams], int)
-    rows_out = [_logs(word_rows, np.array([totals[x] for x in langs], float))]
-    order = np.argsort(sizes, kind="stable")
-    for n in range(1, LONGEST + 1):
-        # n-grams of one length are weighed against each other.
-        part = gram_rows[sizes == n]
-        rows_out.append(_logs(part, part.sum(0)))
-    floor = np.full((1, len(langs)), min([0.0, *(x.min() for x in rows_out if x.size)]))
-    at = {kept_grams[i]: len(kept_words) + k for k, i in enumerate(order)}
-    model = Model(langs, dict(zip(kept_words, range(len(kept_words)), strict=True)), at, np.vstack([*rows_out, floor]))
+    grams = written(grams, "gram_counts")
+    under = np.zeros((LONGEST + 1, len(langs)))
+    under[0] = [totals[x] for x in langs]
+    for size, lang, n in grams.groupBy(F.length("item"), "lang").agg(F.sum("n")).collect():
+        under[size, langs.index(lang)] = n
+    grams = written(_by_item(grams, langs or [""]), "grams")
+    distinct = {0: words.count()} | dict(grams.groupBy(F.length("item")).agg(F.count("*")).collect())
+    under += SMOOTHING * (1 + np.array([distinct.get(size, 0) for size in range(LONGEST + 1)]))[:, None]
+    model = Learned(langs, words, grams, under, judged=spread, head=head)
     if spread and langs:
-        found = by_lang.mapInArrow(_forms(rows.sparkSession.sparkContext.broadcast(model)), "lang string, n long, x double, xx double")
-        for lang, k, n, x, xx in found.groupBy("lang").agg(F.count("*"), F.sum("n"), F.sum("x"), F.sum("xx")).collect():
+        form = F.col("form")[(F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int")]
+        found = by_lang.join(sums_of(words.select("item", "n"), model, True).select("item", "form"), "item").select("lang", "n", form.alias("x"))
+        found = found.groupBy("lang").agg(F.count("*"), F.sum("n"), F.sum(F.col("n") * F.col("x")), F.sum(F.col("n") * F.col("x") * F.col("x")))
+        for lang, k, n, x, xx in found.collect():
             if k >= LEARNED:
                 model.spread[langs.index(lang)] = x / n, max(0.0, xx / n - (x / n) ** 2) ** 0.5
     return model
 
 
-def _kept(counts: DataFrame, most: int, langs: list[str]) -> tuple[list[str], np.ndarray]:
-    """The items with the largest counts over all languages, and their count in each language."""
-    each = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)]
-    kept = largest(counts.groupBy("item").agg(F.sum("n").alias("n"), *each), most).toArrow()
-    order = np.argsort(np.array(kept.column("item").to_pylist(), object), kind="stable") if kept.num_rows else np.zeros(0, int)
-    kept = kept.take(pa.array(order, pa.int64()))
-    columns = [kept.column(f"n{i}").to_numpy() for i in range(len(langs))]
-    return kept.column("item").to_pylist(), np.array(columns, float).T.reshape(kept.num_rows, len(langs))
-
-
-def _logs(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    return np.log((counts + SMOOTHING) / (totals + SMOOTHING * (len(counts) + 1)))
-
+def _add(broadcast, keep: list[str], n_langs: int, forms: bool):
+    """Sums of the head's words for each row, the number of its words, and the words that are not in the head."""
 
-def _predict(broadcast, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = broadcast.value
+        known, rows = broadcast.value
         for part in slices(batches, TEXT):
-            langs, scores = [], []
-            for text in part.column(TEXT).to_pylist():
-                total, count = model.sums(text) if model.langs else (np.zeros(0), 0)
-                if count:
-                    best = int(total.argmax())
-                    langs.append(model.langs[best])
-                    scores.append(float(1 / np.exp(total - total[best]).sum()) if model.alike(text, best) else 0.0)
-                else:
-                    langs.append("und")
-                    scores.append(0.0)
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
+            words, place, row = distinct_words(part.column(TEXT).to_pylist())
+            at = np.array([known.get(w, -1) for w in words], np.int64)[place]
+            head, size = at >= 0, part.num_rows
+            sums = np.stack([np.bincount(row[head], rows[at[head], i], size) for i in range(rows.shape[1])], 1)
+            pair, n = np.unique(row[~head] * len(words) + place[~head], return_counts=True)
+            ends = np.searchsorted(pair, np.arange(size + 1) * len(words)).astype(np.int32)
+            rest = pa.StructArray.from_arrays([pa.array([words[i] for i in (pair % max(1, len(words))).tolist()], pa.string()), pa.array(n, pa.int64())], ["item", "k"])
+            numbers = lambda x: pa.array(x.tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in keep), part.column(ROW), pa.array(np.bincount(row, minlength=size).astype(np.int64)), numbers(sums[:, :n_langs]), numbers(sums[:, n_langs:]) if forms else pa.nulls(size, pa.list_(pa.float64())),
+                 pa.ListArray.from_arrays(pa.array(ends), rest)],
+                [*keep, ROW, "__count", "__vec", "__form", "__rest"],
+            )
 
     return run
 
@@ -243,17 +312,45 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % FOLDS == HELD_OUT
 
 
-def model_of(docs: DataFrame, spread: bool = True):
-    """The broadcast model of the training rows of ``docs`` (doc_id, text, lang)."""
-    return docs.sparkSession.sparkContext.broadcast(train(docs.where(~held_out()).select("lang", "text"), spread))
+def model_of(docs: DataFrame, spread: bool = True, head: int = HEAD) -> Learned:
+    """The model of the training rows of ``docs`` (doc_id, text, lang)."""
+    return train(docs.where(~held_out()).select("lang", "text"), spread, head)
 
 
-def predicted(docs: DataFrame, model) -> DataFrame:
-    """``docs`` without its text, with lang_pred and score."""
-    rows = docs.withColumn(TEXT, F.coalesce("text", F.lit("")))
+def predicted(docs: DataFrame, model: Learned) -> DataFrame:
+    """``docs`` without its text, with lang_pred and score. Its columns may have any name but those of this module that begin with two underscores."""
+    spark, langs = docs.sparkSession, model.langs
     kept = docs.drop("text", "lang_pred", "score")
-    fields = [*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return rows.select(*kept.columns, TEXT).mapInArrow(_predict(model, kept.columns), T.StructType(fields))
+    if not langs:
+        return kept.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+    text = F.coalesce("text", F.lit("")).alias(TEXT)
+    counted = docs.select(F.lit(None).cast("string").alias("lang"), text.alias("text")).mapInArrow(_count_words, "lang string, item string, n long")
+    vectors = written(sums_of(counted.groupBy("item").agg(F.sum("n").alias("n")), model, model.judged), "vectors")
+    top = largest(vectors.where(F.length("item") <= LONG), model.most()).toArrow()
+    rows = np.array([a + (b or []) for a, b in zip(top.column("vec").to_pylist(), top.column("form").to_pylist(), strict=True)], float)
+    width = len(langs) * (2 if model.judged else 1)
+    head = spark.sparkContext.broadcast((dict(zip(top.column("item").to_pylist(), range(top.num_rows), strict=True)), rows.reshape(top.num_rows, width)))
+
+    # Row numbers hold once they are written.
+    each = docs.select(*kept.columns, text, F.monotonically_increasing_id().alias(ROW))
+    numbers = "array<double>"
+    added = T._parse_datatype_string(f"{ROW} long, __count long, __vec {numbers}, __form {numbers}, __rest array<struct<item:string,k:bigint>>")
+    found = written(each.mapInArrow(_add(head, kept.columns, len(langs), model.judged), T.StructType([*kept.schema.fields, *added.fields])), "sums")
+    rest = found.select(ROW, F.inline("__rest")).join(vectors.select("item", "vec", "form"), "item")
+    rest = rest.groupBy(ROW).agg(_sum_each("vec", langs, F.col("k")).alias("__vec2"), _sum_each("form", langs, F.col("k")).alias("__form2"))
+    both = found.drop("__rest").join(rest, ROW, "left")
+    total = lambda a: F.transform(a, lambda x, i: x + F.coalesce(F.col(f"{a}2")[i], F.lit(0.0)))
+    both = both.withColumn("__vec", total("__vec"))
+    best = F.array_max("__vec")
+    both = both.withColumn("__best", F.array_position("__vec", best).cast("int"))
+    share = 1 / F.aggregate("__vec", F.lit(0.0), lambda a, x: a + F.exp(x - best))
+    if model.judged:
+        spread = lambda i: F.get(F.lit([float(model.spread[x][i]) if x in model.spread else float("nan") for x in range(len(langs))]), F.col("__best") - 1)
+        mean = F.get(total("__form"), F.col("__best") - 1) / F.col("__count")
+        alike = F.isnan(spread(0)) | (mean >= spread(0) - spread(1) * (1 + 1.5 / F.sqrt("__count")))
+        share = F.when(alike, share).otherwise(0.0)
+    worded = F.col("__count") > 0
+    return both.select(*kept.columns, F.when(worded, F.get(F.lit(langs), F.col("__best") - 1)).otherwise("und").alias("lang_pred"), F.when(worded, share).otherwise(0.0).alias("score"))
 
 
 def languages(docs: DataFrame) -> DataFrame:
@@ -262,7 +359,7 @@ def languages(docs: DataFrame) -> DataFrame:
     return predicted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text"), model)
 
 
-def accepted(docs: DataFrame, model, least: float = 0.5) -> DataFrame:
+def accepted(docs: DataFrame, model: Learned, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose text is in a known language with a score of at least ``least``, with all columns."""
     kept = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     text = F.col(kept.columns[docs.columns.index("text")])
