@@ -247,7 +247,9 @@ def sums_of(asked: DataFrame, model: Learned, forms: bool) -> DataFrame:
     empty = F.array().cast(COUNTS)
     hits = open_.join(first, "grams").select("key", "k", F.coalesce("hit.size", F.lit(0)).alias("size"), F.coalesce("hit.counts", empty).alias("counts"))
     more = hits.mapInArrow(_gram_logs(model.under), f"key string, more {numbers}").groupBy("key").agg(_sum_each("more", model.langs).alias("more"))
-    whole = found.drop("open").join(more, "key", "left")
+    # Words that the head decides as a whole have no key and meet no join.
+    whole = found.where("key is null").select("item", "n", "vec", "form", "chars", F.lit(None).cast(numbers).alias("more"))
+    whole = whole.unionByName(found.where("key is not null").join(more, "key", "left").select(*whole.columns))
     mean = F.transform("form", lambda x, i: (x + F.coalesce(F.col("more")[i], F.lit(0.0))) / F.col("chars"))
     return whole.select("item", "n", F.coalesce("vec", mean).alias("vec"), (mean if forms else F.lit(None).cast(numbers)).alias("form"))
 
