@@ -92,6 +92,38 @@ def test_classes_of_odd_rows(spark):
     assert rows_of(minhash.classes(spark.createDataFrame([], schema))) == []
 
 
+def test_the_last_turn_alone_links_all(spark, monkeypatch):
+    """Without turns before it, the last one finds what centres leave open."""
+    monkeypatch.setattr(minhash, "NEAREST_ROUNDS", 0)
+    rng = random.Random(4)
+    base, docs = [rng.choice(WORDS) for _ in range(90)], []
+    for i in range(120):
+        docs.append((i, " ".join(base)))
+        if i % 2 == 0:
+            base = edited(rng, base, 1)
+    check_classes(spark, docs)
+
+
+def test_parts_of_a_tile_hold_every_pair(monkeypatch):
+    monkeypatch.setattr(minhash, "PART", 100)
+    regs = [r.tobytes() for r in np.repeat(np.random.default_rng(1).integers(1, 99, (2, minhash.REGISTERS)).astype(np.uint8), 10, axis=0)]
+    band = minhash._band_keys(np.frombuffer(regs[0], np.uint8)[None]).view(np.int64)[0, 0].item()
+    rows = [{"band": band, "i": 0, "j": 0, "side": side, "node": node, "n": 20 + node, "label": node, "regs": regs[node]} for side in (0, 1) for node in range(20)]
+    tile = pa.Table.from_pylist(rows, pa.schema([(c, pa.int64()) for c in ("band", "i", "j", "side", "node", "n", "label")] + [("regs", pa.binary())]))
+    got, sizes = [], Counter()
+    for r in pa.Table.from_batches(minhash._parts(iter(tile.to_batches(max_chunksize=7)))).to_pylist():
+        got += [frozenset((r["node"], b)) for b in r["partners"]]
+        sizes[r["part"]] += 20 + r["node"]
+    assert sorted(map(sorted, got)) == [[a, b] for a in range(10) for b in range(a + 1, 10)]
+    assert len(sizes) > 1 and max(sizes.values()) <= 100
+
+
+def test_a_part_gives_the_links_that_join_its_classes():
+    texts = {1: "a b c d e f g h", 2: "A b c d e f g h", 3: "a b c d e f g h", 4: "p q r s t u", 5: None}
+    rows = pa.table({"node": list(texts), "partners": pa.array([[2, 3, 4], [3, 4], [], [5], []], pa.list_(pa.int64())), "text": list(texts.values())})
+    assert minhash._confirm_part(rows).to_pylist() == [{"a": 1, "b": 2}, {"a": 1, "b": 3}]
+
+
 def test_texts_of_one_id_join_their_classes(spark):
     docs = [(2, "a b c d e f"), (1, "g h i j k l"), (1, "a b c d e f"), (0, "m n o p q r"), (3, "g h i j k l")]
     got = rows_of(minhash.classes(spark.createDataFrame(docs, "doc_id long, text string")))
@@ -157,6 +189,15 @@ def test_neighbours_with_ties_and_odd_vectors(spark, copies, monkeypatch):
 # --- decontamination -------------------------------------------------------------------------------------------
 
 
+def test_clean_documents_keep_columns_of_any_name(spark):
+    rows = [(1, "a b c", 7, "x", "y", 5), (2, "the planted words", 8, None, "z", 6), (3, None, 9, "x", "w", 7)]
+    docs = spark.createDataFrame(rows, "__doc long, text string, __met long, __hits string, doc string, c1 long")
+    items = spark.createDataFrame([("i", "planted words")], "item_id string, text string")
+    got = decontam.clean(docs, items)
+    assert got.schema == docs.schema and sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [rows[0], rows[2]]
+
+
+
 def brute_hits(text, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(str.maketrans(decontam.UPPER, decontam.LOWER)))
     w, hit, met = words(text), set(), set()

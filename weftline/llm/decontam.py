@@ -104,7 +104,10 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", ite
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that share no window with an item, with all columns."""
-    return marked(docs, items).where(F.col(f"{MARK}.n_hit") == 0).select(*docs.columns)
+    kept = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    place = kept.columns[docs.columns.index("text")]
+    found = marked(kept.withColumnRenamed(place, "text"), items).withColumnRenamed("text", place).where(F.col(f"{MARK}.n_hit") == 0)
+    return found.select(*[F.col(c).alias(name) for c, name in zip(kept.columns, docs.columns, strict=True)])
 
 
 SQL = f"""

@@ -13,7 +13,9 @@ Groups of copies may hold a third of all rows, so no bucket is expanded into pai
 2. each bucket has a centre, the class that shares most buckets with others; each class meets the centre with which
    it shares most of its buckets, where that is confirmed;
 3. in buckets that still hold several components, the classes outside the largest one are compared with all by their
-   registers, in tiles of bounded size: at first each meets the one most like it, at last all that may be linked.
+   registers, in tiles of bounded size: at first each meets the one most like it, at last all that may be linked. Those of the last
+   turn are confirmed within the tile: the texts of its classes come to parts of it, ``PART`` shingles at most (or one pair), and a part gives no
+   more links than join its classes, so neither pairs nor links are written out for all of a group.
 
 After step 3, two classes in one bucket are in one component or were found not linked.
 
@@ -44,6 +46,10 @@ BLOCK = 256
 """Classes in a block; a tile holds two blocks of a bucket."""
 NEAREST_ROUNDS = 2
 SIGMAS = 5
+PART = 2_000_000
+"""Shingles of the classes of a tile that are confirmed together."""
+SALTS = 16
+"""Parts a group of equal sets is dealt to where its members are named."""
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(1, WORDS + 1)], np.uint64)
 
 
@@ -172,8 +178,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if text_a != last:
                 last, set_a = text_a, shingles(text_a)
             set_b = shingles(text_b)
-            both = len(np.intersect1d(set_a, set_b, assume_unique=True))
-            if 100 * both >= PERCENT * (len(set_a) + len(set_b) - both):
+            if _similar(set_a, set_b):
                 good.append(i)
         yield part.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
@@ -198,32 +203,92 @@ def _compared(tile: pa.Table, nearest: bool) -> list[tuple[int, np.ndarray, np.n
                 theirs = keys[other[hit]]
                 first = (theirs == keys[i]).argmax(1)
                 hit = hit[theirs[np.arange(len(hit)), first] == band]
-            out.append((node[i], node[other[hit]], estimate[hit]))
+            if len(hit):
+                out.append((node[i], node[other[hit]], estimate[hit]))
     return out
 
 
-def _compare(nearest: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of all tiles of a partition whose rows are sorted by tile (band, i, j)."""
-        kept: pa.Table | None = None
-        for batch in _with_end(batches):
-            new = [] if batch is None else [pa.Table.from_batches([batch])]
-            rows = pa.concat_tables([*([] if kept is None else [kept]), *new]) if new or kept is not None else None
-            if rows is None or not rows.num_rows:
-                continue
-            keys = np.column_stack([rows.column(c).to_numpy() for c in ("band", "i", "j")])
-            starts = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]))
-            last = len(starts) - 1 if batch is None else len(starts) - 2  # the last tile may go on in the next batch
-            found = [x for t in range(last) for x in _compared(rows.slice(starts[t], starts[t + 1] - starts[t]), nearest)]
-            kept = rows.slice(starts[last])
-            if found:
-                a = np.repeat(np.array([x[0] for x in found], np.int64), [len(x[1]) for x in found])
-                columns = [a, *(np.concatenate([x[k] for x in found]) for k in (1, 2))]
-                # A pair may meet in several bands.
-                _, first = np.unique(np.column_stack((np.minimum(a, columns[1]), np.maximum(a, columns[1]))), axis=0, return_index=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c if nearest else c[first]) for c in columns], ["a", "b", "estimate"])
-
-    return run
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Table]]:
+    """The tiles of a partition whose rows are sorted by tile (band, i, j), those that end in one batch together."""
+    kept: pa.Table | None = None
+    for batch in _with_end(batches):
+        new = [] if batch is None else [pa.Table.from_batches([batch])]
+        rows = pa.concat_tables([*([] if kept is None else [kept]), *new]) if new or kept is not None else None
+        if rows is None or not rows.num_rows:
+            continue
+        keys = np.column_stack([rows.column(c).to_numpy() for c in ("band", "i", "j")])
+        starts = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]))
+        last = len(starts) - 1 if batch is None else len(starts) - 2  # the last tile may go on in the next batch
+        yield [rows.slice(starts[t], starts[t + 1] - starts[t]) for t in range(last)]
+        kept = rows.slice(starts[last])
+
+
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each class of the left sides, the nearest of each tile."""
+    for tiles in _tiles(batches):
+        found = [x for tile in tiles for x in _compared(tile, True)]
+        if found:
+            a, b, estimate = np.array([x[0] for x in found], np.int64), *(np.concatenate([x[k] for x in found]) for k in (1, 2))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(estimate)], ["a", "b", "estimate"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of each tile that may be linked, in parts of bounded size: a row for each class of a part, with those it is to be confirmed with."""
+    names = ["band", "i", "j", "part", "node", "partners"]
+
+    def rows(tile: pa.Table, part: int, asked: dict[int, list[int]], inside: set[int]) -> pa.RecordBatch:
+        nodes = sorted(inside)
+        where = [pa.array([tile.column(c)[0].as_py()] * len(nodes), pa.int64()) for c in ("band", "i", "j")]
+        return pa.RecordBatch.from_arrays([*where, pa.array([part] * len(nodes), pa.int64()), pa.array(nodes, pa.int64()), pa.array([asked.get(x, []) for x in nodes], pa.list_(pa.int64()))], names)
+
+    for tiles in _tiles(batches):
+        for tile in tiles:
+            size = dict(zip(tile.column("node").to_pylist(), tile.column("n").to_pylist(), strict=True))
+            part, asked, inside, held = 0, {}, set(), 0
+            done: set[tuple[int, int]] = set()
+            for a, partners, _ in _compared(tile, False):
+                for b in partners.tolist():
+                    if (min(a, b), max(a, b)) in done:
+                        continue  # both are on both sides of the tile
+                    done.add((min(a, b), max(a, b)))
+                    more = sum(size[x] for x in (a, b) if x not in inside)
+                    if inside and held + more > PART:
+                        yield rows(tile, part, asked, inside)
+                        part, asked, inside, held = part + 1, {}, set(), 0
+                        more = size[a] + size[b]
+                    asked.setdefault(int(a), []).append(b)
+                    inside |= {int(a), b}
+                    held += more
+            if inside:
+                yield rows(tile, part, asked, inside)
+
+
+def _confirm_part(rows: pa.Table) -> pa.Table:
+    """Links that join the classes of a part as their confirmed pairs do; a pair that is joined already is not looked at again."""
+    sets: dict[int, list[np.ndarray]] = {}
+    asked: dict[int, list[int]] = {}
+    for node, partners, text in zip(*(rows.column(c).to_pylist() for c in ("node", "partners", "text")), strict=True):
+        sets.setdefault(node, []).append(shingles(text))
+        asked[node] = partners
+    root = {x: x for x in sets}
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    links = []
+    for a in sorted(asked):
+        for b in asked[a]:
+            if top(a) != top(b) and any(_similar(x, y) for x in sets[a] for y in sets[b]):
+                root[top(a)] = top(b)
+                links.append((a, b))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -263,10 +328,14 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row of ``docs``: doc_id, n_shingles, component_id (the least doc_id reachable) and kept."""
     sketch = written(sketches(docs, doc_id, text), "sketches")
-    named = sketch.where("n_shingles > 0 and doc_id is not null")
-    equal = named.groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("node"))
-    member = written(sketch.drop("regs").join(equal, ["set_hi", "set_lo"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node")), "members")
-    class_rows = named.join(equal, ["set_hi", "set_lo"]).where("doc_id = node").select("node", F.col("n_shingles").alias("n"), "set_hi", "set_lo", "regs").dropDuplicates(["node", "set_hi", "set_lo"])
+    # Only sets with several rows need a name, and a set's rows meet it in several tasks.
+    filled = sketch.where("n_shingles > 0").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    equal = filled.groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).where("rows > 1 and least is not null")
+    equal = equal.select("set_hi", "set_lo", "least", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    named = filled.join(equal, ["set_hi", "set_lo", "salt"], "left").withColumn("node", F.coalesce("least", "doc_id"))
+    empty = sketch.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("node"))
+    member = written(named.select("doc_id", "n_shingles", "node").unionByName(empty), "members")
+    class_rows = named.where("doc_id = node").select("node", F.col("n_shingles").alias("n"), "set_hi", "set_lo", "regs").dropDuplicates(["node", "set_hi", "set_lo"])
     nodes = written(class_rows.select("node", "n", "regs"), "nodes")
     labels = nodes.select("node", F.col("node").alias("label")).distinct()
 
@@ -311,12 +380,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         left = rows.where("label <> main").withColumn("side", F.lit(0)).withColumn("i", own("down")).withColumn("j", every("across"))
         right = rows.withColumn("side", F.lit(1)).withColumn("j", own("across")).withColumn("i", every("down"))
         tiles = left.unionByName(right).join(nodes, "node").select("band", "i", "j", "side", "node", "n", "label", "regs")
-        nearest = turn < NEAREST_ROUNDS
-        pairs = tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_compare(nearest), "a long, b long, estimate double")
-        if nearest:
-            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        labels = components(confirmed(pairs), labels)
+        tiles = tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        if turn < NEAREST_ROUNDS:
+            pairs = tiles.mapInArrow(_nearest, "a long, b long, estimate double").groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
+            links = confirmed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        else:
+            parts = tiles.mapInArrow(_parts, "band long, i long, j long, part long, node long, partners array<long>")
+            parts = parts.join(texts.select("node", F.coalesce("text", F.lit("")).alias("text")), "node")
+            links = written(parts.groupBy("band", "i", "j", "part").applyInArrow(_confirm_part, "a long, b long"), "confirmed")
+        labels = components(links, labels)
 
     out = member.join(labels, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("label"))
