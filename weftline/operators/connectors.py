@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions import jdbc, names
+from weftline.functions import jdbc, names, pushed
 from weftline.functions import plan_text as pt
 from weftline.settings import JobSettings
 
@@ -31,9 +31,6 @@ CONNECTOR_CLASSES = {
     "jdbc": ["datasources.jdbc.JDBCRelation", "datasources.jdbc.JdbcRelationProvider"],
 }
 
-# Table named after FROM or JOIN in a pushed-down query; only the first counts.
-_QUERY_TABLE = r"(?i)\b(?:from|join)\s+([A-Za-z0-9_`.]+)"
-
 
 def connector_of(class_name: Column) -> Column:
     """Connector whose relation, provider or writer class this is; null for any other class."""
@@ -111,7 +108,8 @@ def _kafka(settings: JobSettings) -> Column:
 
 def _hwc(settings: JobSettings) -> Column:
     default_db = F.coalesce(_option("default.db"), F.lit("default"))
-    target = F.replace(F.regexp_extract(_option("query"), _QUERY_TABLE, 1), F.lit("`"), F.lit(""))
+    # Of a pushed-down query only the first table counts.
+    target = F.coalesce(F.get(pushed.tables(_option("query")), 0), F.lit(""))
     named = F.coalesce(_option("table"), F.lit(""))
     text = F.when(_option("query").isNotNull(), target).otherwise(named)
     parts = F.split(F.regexp_replace(text, r"\.+$", ""), r"\.")

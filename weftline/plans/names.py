@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.functions import names, paths
-from weftline.operators import connectors, entities
+from weftline.functions import names, paths, pushed
+from weftline.operators import connectors, cover, entities
 from weftline.plans import standin_sql as q
 from weftline.settings import JobSettings
 from weftline.sources import standins
@@ -225,7 +225,41 @@ CONNECTOR_DETECTION = """SELECT 'app-' || (c_custkey % 20) AS app_id, c_custkey
 FROM customer WHERE c_custkey % 5 < 4"""
 
 
+COVERED, COVER = 97, 40
+
+
+def scan_cover(spark: SparkSession, folder: str) -> DataFrame:
+    scans = standins.paths(spark, folder).select((F.col("page_id") % COVERED).alias("scan"), "path")
+    return cover.directory_cover(scans, ["scan"], most=COVER)
+
+
+SCAN_COVER = (
+    q.with_(q.PATHS)
+    + f""", e AS (SELECT DISTINCT page_id % {COVERED} AS scan, regexp_extract(uri, '^[A-Za-z0-9]+://[^/]*') AS root,
+    list_filter(string_split(regexp_replace(uri, '^[A-Za-z0-9]+://[^/]*', ''), '/'), lambda x: x <> '') AS names FROM paths),
+  d AS (SELECT scan, unnest(range(0, m + 1)) AS depth FROM (SELECT scan, max(len(names)) AS m FROM e GROUP BY scan)),
+  c AS (SELECT scan, depth, count(DISTINCT array_to_string([root] || names[1:depth], '/')) AS n FROM e JOIN d USING (scan) GROUP BY scan, depth),
+  t AS (SELECT scan, coalesce(max(depth) FILTER (n <= {COVER}), 0) AS depth FROM c GROUP BY scan),
+  p AS (SELECT scan, array_to_string([root] || names[1:depth], '/') AS node, array_to_string([root] || names, '/') AS whole FROM e JOIN t USING (scan)),
+  nodes AS (SELECT DISTINCT scan, node FROM p),
+  tops AS (SELECT a.scan, a.node, min_by(b.node, length(b.node)) AS top FROM nodes a JOIN nodes b ON a.scan = b.scan AND (a.node = b.node OR starts_with(a.node, b.node || '/')) GROUP BY a.scan, a.node)
+SELECT scan, CASE WHEN count(*) = 1 THEN min(whole) ELSE top END AS node, CAST(count(*) AS BIGINT) AS n_paths FROM p JOIN tops USING (scan, node) GROUP BY scan, top"""
+)
+
+
+def pushed_tables(spark: SparkSession, folder: str) -> DataFrame:
+    asked = standins.pushed_queries(spark, folder)
+    return asked.select("o_orderkey", F.array_join(pushed.tables(F.col("query")), " ").alias("tables"))
+
+
+PUSHED_TABLES = """SELECT o_orderkey, CASE o_orderkey % 6
+  WHEN 0 THEN 'sales.t' || o_custkey WHEN 1 THEN 't' || o_custkey WHEN 2 THEN 'src' || o_custkey || ' dim'
+  WHEN 3 THEN 'left.a' || o_custkey || ' right.b' WHEN 4 THEN 'deep.t' || o_custkey ELSE '' END AS tables FROM orders"""
+
+
 QUERIES = {
+    "scan_cover": (scan_cover, SCAN_COVER),
+    "pushed_tables": (pushed_tables, PUSHED_TABLES),
     "connector_detection": (connector_detection, CONNECTOR_DETECTION),
     "path_identity": (path_identity, PATH_IDENTITY),
     "path_resolve": (path_resolve, PATH_RESOLVE),

@@ -95,6 +95,22 @@ def bare_paths(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages", "page_id", "url").select("page_id", bare.alias("path"))
 
 
+def pushed_queries(spark: SparkSession, folder: str) -> DataFrame:
+    """A query a connector pushes down for each order; its priority lies in literals and comments after words that look like clauses."""
+    said = F.concat(F.lit("from x.y join "), "o_orderpriority")
+    kind, n = F.col("o_orderkey") % 6, F.col("o_custkey").cast("string")
+    text = pick(
+        kind,
+        F.concat(F.lit("select a from sales.t"), n),
+        F.concat(F.lit("SELECT '"), said, F.lit("' AS c, -- "), said, F.lit("\n b FROM `t"), n, F.lit("`")),
+        F.concat(F.lit("with c as (select 1 from src"), n, F.lit("), d AS (select * FROM c) select * from d join c on d.k = c.k JOIN dim")),
+        F.concat(F.lit("/* "), said, F.lit("\n*/ select * from `left`.`a"), n, F.lit("` l join/**/right . b r on l.x = \""), said, F.lit("\"")),
+        F.concat(F.lit("select * from (select 'it''s from q' as s from deep.t"), n, F.lit(") z")),
+        F.concat(F.lit("select '"), said, F.lit("' as from_there")),
+    )
+    return table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderpriority").select("o_orderkey", text.alias("query"))
+
+
 def _option_rows(frame: DataFrame, key: str, app: Column, direction: Column, connector: str, bag: Column) -> DataFrame:
     return frame.select(
         app.alias("app_id"),
