@@ -308,6 +308,49 @@ def test_no_limit_holds_for_words_or_grams(spark, monkeypatch):
         assert (got[d].base_score, got[d].score) == (pytest.approx(base), pytest.approx(score))
 
 
+@pytest.mark.parametrize(("bits", "hot"), [(16, 6), (16, 300), (6, 1024), (6, 40)])
+def test_scores_with_split_contexts_and_small_books(spark, bits, hot):
+    """Contexts split over shards change nothing; codes of few bits are off by twice half a step a token at most."""
+    rng = random.Random(3)
+    words = ["the", *(f"w{i}" for i in range(60))]
+    docs = [(i, " ".join("the" if rng.random() < 0.34 else rng.choice(words[: rng.choice([4, 61])]) for _ in range(rng.randint(0, 80)))) for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in ngram.scores(frame, bits=bits, hot=hot).collect()}
+    total = got[0].train_tokens
+    # What is given lies between (2 - 0.75) of a context's total and 1, what is left between 0.75 of it and 1.
+    each = 0 if bits == 16 else 2 * ngram.off_by((1 - ngram.DISCOUNT) / total, 1, bits)
+    if bits < 16:
+        assert 0 < each < 0.1
+    for d, n, known, _, base, score in brute_scores(docs):
+        assert (got[d].n_tokens, got[d].n_known) == (n, known)
+        assert got[d].base_score == pytest.approx(base) and got[d].score == pytest.approx(score, rel=1e-6, abs=each * n)
+
+
+def test_trie_files_are_searched_within_contexts(tmp_path):
+    rng = random.Random(8)
+    for depth, size, ids in ((2, 0, 5), (2, 1, 5), (2, 900, 40), (3, 3000, 20), (3, 2000, 1 << 34)):
+        grams = sorted({tuple(rng.choice([1, rng.randint(0, ids)]) for _ in range(depth)) for _ in range(size)})
+        contexts = sorted({g[:-1] for g in grams})
+        columns = [np.array([g[i] for g in grams], np.int64) for i in range(depth)]
+        given, left = np.array([rng.random() + 1e-9 for _ in grams]), np.array([rng.random() + 1e-9 for _ in contexts])
+        trie = ngram.Trie.read(ngram.Trie.write(ngram.Trie.built(columns, given, left, 16), f"file://{tmp_path}"))
+        for held, numbers, absent in ((grams, given, 0.0), (contexts, left, 1.0)):
+            places = {g: i for i, g in enumerate(held)}
+            ask = held + [(*g[:-1], g[-1] + 1) for g in held] + [(g[0] + 1, *g[1:]) for g in held] + [tuple(rng.randint(0, ids + 2) for _ in range(depth - (held is contexts))) for _ in range(200)]
+            rng.shuffle(ask)
+            asked = [np.array(c, np.int64) for c in zip(*ask, strict=True)]
+            assert trie.find(asked).tolist() == [places.get(g, -1) for g in ask]
+            assert trie.numbers(asked).tolist() == [numbers[places[g]] if g in places else absent for g in ask]
+
+
+def test_codes_are_off_by_half_a_step():
+    values = 10 ** -np.random.default_rng(4).uniform(0, 7, 5000)
+    for bits in (2, 8, 13):
+        book, code = ngram._coded(values, bits)
+        assert len(book) <= 1 << bits
+        assert np.abs(np.log10(book[code]) - np.log10(values)).max() <= (ngram.off_by(values.min(), values.max(), bits) + 1e-12 if bits < 13 else 0)
+
+
 def test_elias_fano_finds_what_it_holds():
     rng = np.random.default_rng(1)
     for n, top in ((0, 1), (1, 1), (1, 1 << 40), (5, 5), (1000, 1 << 37), (5000, 6000), (3000, 1 << 58)):
