@@ -10,7 +10,7 @@ sequence in Elias-Fano (low bits packed, high bits as a bit vector) of values re
 from each node to the nodes after it, and codes of ``bits`` bits into two books of numbers: what a context gives to each
 n-gram (absolute discounting) and what it leaves to the next lower order. The file lies in the shared folder and is mapped
 where that folder is local. A query goes down the levels: in a node's range between two pointers it searches the successor
-of the next word. A filter of sixteen bits an n-gram turns most others away before.
+of the next word. A filter of eight bits or more an n-gram turns most others away before.
 
 Texts are read once, into blocks of about ``BLOCK`` bytes. A block asks a shard once for each distinct n-gram it has, with
 its own count from training rows, so a common n-gram weighs no more in a shard than a rare one. Contexts that may hold more
@@ -42,19 +42,19 @@ from weftline.llm.common import STEP, mixed, slices
 from weftline.settings import shared_dir, written
 
 VOCABULARY = 1 << 17
-"""Words whose hashes a worker keeps at hand; the model holds all words."""
+"""Words that a worker hashes at a time; the model holds all words."""
 BLOCK = 8 << 20
 BLOCKS_A_SHARD = 4
 DISCOUNT = 0.75
-BITS = 16
+BITS = 12
 HOT = 1024
 FOLDS, HELD_OUT = 7, 2
 END = b""
-_ONES = (1 << 62) - 1
+_ONES = np.uint64((1 << 62) - 1)
 
 
-def hashed(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) & _ONES
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return (np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64) & _ONES).astype(np.int64)
 
 
 _SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
@@ -180,15 +180,26 @@ def _mark(x: np.ndarray, size: int) -> np.ndarray:
 
 
 def _packed(*columns: np.ndarray) -> bytes:
-    """Columns of numbers, as byte planes."""
-    both = np.concatenate([np.array([len(columns), *map(len, columns)]), *columns]).astype(np.int64)
-    return zstandard.ZstdCompressor(level=1).compress(both.view(np.uint8).reshape(-1, 8).T.tobytes())
+    """Columns of whole numbers, as byte planes, without those above the largest number of a column."""
+    head, planes = [len(columns)], []
+    for column in columns:
+        c = np.ascontiguousarray(column, np.int64)
+        width = 8 if c.min(initial=0) < 0 else -(-int(c.max(initial=0)).bit_length() // 8)
+        head += [len(c), width]
+        planes += [np.ascontiguousarray(x) for x in c.view(np.uint8).reshape(-1, 8).T[:width]]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.array(head, np.int64).tobytes(), *planes]))
 
 
 def _unpacked(blob: bytes) -> list[np.ndarray]:
-    both = np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
-    n = int(both[0])
-    return np.split(both[1 + n :], np.cumsum(both[1 : 1 + n])[:-1])
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    n = int(data[:8].view(np.int64)[0])
+    at, out = 8 + 16 * n, []
+    for size, width in data[8:at].view(np.int64).reshape(-1, 2).tolist():
+        planes = np.zeros((size, 8), np.uint8)
+        planes[:, :width] = data[at : at + size * width].reshape(width, size).T
+        out.append(planes.view(np.int64).ravel())
+        at += size * width
+    return out
 
 
 def _steps(keys: np.ndarray) -> np.ndarray:
@@ -197,15 +208,8 @@ def _steps(keys: np.ndarray) -> np.ndarray:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as places among the distinct words of their block."""
-    cache: dict[bytes, int] = {}
     at, kept, size = TaskContext.get().partitionId() << 33, [], 0
 
-    def code(word: bytes) -> int:
-        if len(cache) > VOCABULARY:
-            cache.clear()
-        cache[word] = out = hashed(word)
-        return out
-
     def out() -> pa.RecordBatch:
         keys, place = np.unique(np.concatenate([k for k, *_ in kept]), return_inverse=True)
         moved, begin = [], 0
@@ -213,12 +217,17 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             moved.append(place[begin : begin + len(k)][p])
             begin += len(k)
         rest = [np.concatenate([x[i] for x in kept]) for i in range(2, 5)]
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([_packed(_steps(keys), np.concatenate(moved), *rest)], pa.binary())], ["block", "blob"])
+        # Frequent words first: small numbers pack well.
+        word = np.concatenate(moved)
+        order = np.argsort(-np.bincount(word, minlength=len(keys)), kind="stable")
+        rank = np.empty(len(keys), np.int64)
+        rank[order] = np.arange(len(keys))
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([_packed(keys[order], rank[word], *rest)], pa.binary())], ["block", "blob"])
 
     for part in slices(batches, "text"):
         texts = part.column("text")
         words, place, counts = distinct_tokens(texts.to_pylist())
-        keys = np.array([c if (c := cache.get(w)) is not None else code(w) for w in words], np.int64)
+        keys = np.concatenate([_hashes(words[i : i + VOCABULARY]) for i in range(0, len(words), VOCABULARY)])
         flag = lambda name: part.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
         ids = part.column("doc_id")
         flags = flag("train") + 2 * flag("held_out") + 4 * ids.is_null().to_numpy(zero_copy_only=False)
@@ -248,7 +257,7 @@ def _gram(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def _marks(hashes: np.ndarray) -> np.ndarray:
-    marks = np.zeros(1 << max(6, (16 * len(hashes)).bit_length()), np.uint8)
+    marks = np.zeros(1 << max(6, (8 * len(hashes)).bit_length()), np.uint8)
     marks[_mark(hashes, len(marks))] = 1
     return np.packbits(marks, bitorder="little")
 
@@ -376,8 +385,12 @@ class Block:
     """The rows of a block and its words: hashes of the distinct ones, and the place of each token among them."""
 
     def __init__(self, blob: bytes):
-        words, self.word, self.counts, self.doc_id, flags = _unpacked(blob)
-        self.hashes = np.cumsum(words)
+        words, place, self.counts, self.doc_id, flags = _unpacked(blob)
+        order = np.argsort(words)
+        self.hashes = words[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.word = rank[place]
         self.train, self.held_out, self.no_id = flags & 1, flags & 2 != 0, flags & 4 != 0
         self.starts = np.cumsum(self.counts) - self.counts
 
@@ -500,9 +513,20 @@ def _ask_grams(shards: int, total: int, hot: int):
 
 
 def _in_rows(values: np.ndarray) -> list[np.ndarray]:
-    """Numbers as codes of a book of their own."""
-    book, code = np.unique(values, return_inverse=True)
-    return [code, book.view(np.int64)]
+    """Numbers, 0 or more, in single precision, as codes of a book of their own."""
+    book, code = np.unique(values.astype(np.float32), return_inverse=True)
+    return [code, _steps(book.view(np.int32).astype(np.int64))]
+
+
+def _of_rows(code: np.ndarray, book: np.ndarray) -> np.ndarray:
+    return np.cumsum(book).astype(np.int32).view(np.float32).astype(np.float64)[code]
+
+
+def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number for each pair of numbers, in the order of pairs."""
+    if (int(a.max()) + 1) * (int(b.max()) + 1) >= 1 << 63:
+        a, b = (np.unique(x, return_inverse=True)[1] for x in (a, b))
+    return a * (b.max() + 1) + b
 
 
 def _shard_tries(folder: str, least: int, bits: int):
@@ -516,14 +540,12 @@ def _shard_tries(folder: str, least: int, bits: int):
         a, b, part, sizes, w, n = np.concatenate([np.cumsum(x[0]) for x in blobs]), *(joined(i) for i in range(1, 6))
         width = int(part.max()) + 1
         columns = [a * width + part] if order == 1 else [a, b * width + part]
-        (first, at), (second, to) = (np.unique(x, return_inverse=True) for x in (columns[0], columns[-1]))
-        _, one, context = np.unique(at * len(second) + to, return_index=True, return_inverse=True)
+        _, one, context = np.unique(columns[0] if order == 1 else _both(*columns), return_index=True, return_inverse=True)
         columns = [x[one] for x in columns]
-        words, word = np.unique(w, return_inverse=True)
-        grams, gram = np.unique(np.repeat(context, sizes) * len(words) + word, return_inverse=True)
-        counts = np.bincount(gram, n, len(grams)).astype(np.int64)
-        node, word = np.divmod(grams, len(words))
-        last = words[word]
+        every = np.repeat(context, sizes)
+        _, first, gram = np.unique(_both(every, w), return_index=True, return_inverse=True)
+        counts = np.bincount(gram, n, len(first)).astype(np.int64)
+        node, last = every[first], w[first]
         total = np.bincount(node, counts, len(one))
         kept = np.flatnonzero((counts >= least) & (last > 0))
         used = np.bincount(node[kept], counts[kept] - DISCOUNT, len(one)) / np.maximum(total, 1)
@@ -561,7 +583,7 @@ class Answered(Known):
         sort, heads, _, part = self.dealt(order, shards, total, hot)
         words = self.grams[order][3]
         answers = [_unpacked(b) for _, b in sorted(self.parts.get(order, []), key=lambda x: x[0])]
-        given, left = (np.concatenate([a[i + 1].view(np.float64)[a[i]] for a in answers]) if answers else np.zeros(0) for i in (0, 2))
+        given, left = (np.concatenate([_of_rows(*a[i : i + 2]) for a in answers]) if answers else np.zeros(0) for i in (0, 2))
         sizes = np.diff(np.append(heads, len(sort)))
         if len(split := np.flatnonzero(part)):
             weight = np.ones(len(heads))
