@@ -44,7 +44,7 @@ from weftline.settings import shared_dir, written
 VOCABULARY = 1 << 17
 """Words that a worker hashes at a time; the model holds all words."""
 BLOCK = 8 << 20
-BLOCKS_A_SHARD = 4
+BLOCKS_A_SHARD, BLOCKS_A_TASK = 2, 2
 DISCOUNT = 0.75
 BITS = 12
 HOT = 1024
@@ -206,38 +206,50 @@ def _steps(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=0)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as places among the distinct words of their block."""
-    at, kept, size = TaskContext.get().partitionId() << 33, [], 0
-
-    def out() -> pa.RecordBatch:
-        keys, place = np.unique(np.concatenate([k for k, *_ in kept]), return_inverse=True)
-        moved, begin = [], 0
-        for k, p, *_ in kept:
-            moved.append(place[begin : begin + len(k)][p])
-            begin += len(k)
-        rest = [np.concatenate([x[i] for x in kept]) for i in range(2, 5)]
-        # Frequent words first: small numbers pack well.
-        word = np.concatenate(moved)
-        order = np.argsort(-np.bincount(word, minlength=len(keys)), kind="stable")
-        rank = np.empty(len(keys), np.int64)
-        rank[order] = np.arange(len(keys))
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([_packed(keys[order], rank[word], *rest)], pa.binary())], ["block", "blob"])
-
-    for part in slices(batches, "text"):
-        texts = part.column("text")
-        words, place, counts = distinct_tokens(texts.to_pylist())
-        keys = np.concatenate([_hashes(words[i : i + VOCABULARY]) for i in range(0, len(words), VOCABULARY)])
-        flag = lambda name: part.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = part.column("doc_id")
-        flags = flag("train") + 2 * flag("held_out") + 4 * ids.is_null().to_numpy(zero_copy_only=False)
-        kept.append((keys, place, counts, ids.fill_null(0).to_numpy(), flags))
-        size += texts.nbytes
-        if size >= BLOCK:
+def _stored(data: bytes, folder: str, ending: str) -> str:
+    """A new file of the folder; gives its address."""
+    system, path = pa.fs.FileSystem.from_uri(folder)
+    name = f"{uuid.uuid4()}.{ending}"
+    with system.open_output_stream(f"{path}/{name}") as out:
+        out.write(data)
+    return f"{folder}/{name}"
+
+
+def _blocks(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Files of blocks: texts as places among the distinct words of their block."""
+        at, kept, size = TaskContext.get().partitionId() << 33, [], 0
+
+        def out() -> pa.RecordBatch:
+            keys, place = np.unique(np.concatenate([k for k, *_ in kept]), return_inverse=True)
+            moved, begin = [], 0
+            for k, p, *_ in kept:
+                moved.append(place[begin : begin + len(k)][p])
+                begin += len(k)
+            rest = [np.concatenate([x[i] for x in kept]) for i in range(2, 5)]
+            # Frequent words first: small numbers pack well.
+            word = np.concatenate(moved)
+            order = np.argsort(-np.bincount(word, minlength=len(keys)), kind="stable")
+            rank = np.empty(len(keys), np.int64)
+            rank[order] = np.arange(len(keys))
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([_stored(_packed(keys[order], rank[word], *rest), folder, "block")])], ["block", "path"])
+
+        for part in slices(batches, "text"):
+            texts = part.column("text")
+            words, place, counts = distinct_tokens(texts.to_pylist())
+            keys = np.concatenate([_hashes(words[i : i + VOCABULARY]) for i in range(0, len(words), VOCABULARY)])
+            flag = lambda name: part.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = part.column("doc_id")
+            flags = flag("train") + 2 * flag("held_out") + 4 * ids.is_null().to_numpy(zero_copy_only=False)
+            kept.append((keys, place, counts, ids.fill_null(0).to_numpy(), flags))
+            size += texts.nbytes
+            if size >= BLOCK:
+                yield out()
+                at, kept, size = at + 1, [], 0
+        if kept:
             yield out()
-            at, kept, size = at + 1, [], 0
-    if kept:
-        yield out()
+
+    return run
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -384,8 +396,10 @@ class Trie:
 class Block:
     """The rows of a block and its words: hashes of the distinct ones, and the place of each token among them."""
 
-    def __init__(self, blob: bytes):
-        words, place, self.counts, self.doc_id, flags = _unpacked(blob)
+    def __init__(self, uri: str):
+        system, path = pa.fs.FileSystem.from_uri(uri)
+        with system.open_input_file(path) as file:
+            words, place, self.counts, self.doc_id, flags = _unpacked(file.read())
         order = np.argsort(words)
         self.hashes = words[order]
         rank = np.empty(len(order), np.int64)
@@ -411,8 +425,8 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
 def _ask_words(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, blob in zip(batch.column("block").to_pylist(), batch.column("blob"), strict=True):
-                block = Block(blob.as_py())
+            for at, path in zip(batch.column("block").to_pylist(), batch.column("path").to_pylist(), strict=True):
+                block = Block(path)
                 n = np.bincount(block.word, np.repeat(block.train, block.counts), len(block.hashes)).astype(np.int64)
                 there, first = np.unique(_shard(block.hashes, shards), return_index=True)
                 cuts = zip(there.tolist(), *(np.split(x, first[1:]) for x in (block.hashes, n)), strict=True)
@@ -450,7 +464,7 @@ class Known(Block):
         self.parts: dict[int, list[tuple[int, bytes]]] = {}
         for shard, part, blob in zip(*(rows.column(c).to_pylist() for c in ("shard", "part", "blob")), strict=True):
             self.parts.setdefault(part, []).append((shard, blob))
-        super().__init__(self.parts[-1][0][1])
+        super().__init__(self.parts[-1][0][1].decode())
         ids, self.one = self.whole(0)
         self.ids = np.unique(np.append(ids, 0))
         local = np.searchsorted(self.ids, ids)
@@ -623,20 +637,25 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: i
     remainder = F.crc32(F.col(doc_id).cast("string")) % FOLDS
     false = lambda x: F.coalesce(x, F.lit(False))
     rows = docs.select(F.col(doc_id).alias("doc_id"), false(remainder == HELD_OUT).alias("held_out"), false(remainder != HELD_OUT).alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    folder = f"{shared_dir(spark)}/tries-{uuid.uuid4()}"
+    folder = f"{shared_dir(spark)}/ngrams-{uuid.uuid4()}"
     folder = folder if "://" in folder else f"file://{folder}"
     system, path = pa.fs.FileSystem.from_uri(folder)
     system.create_dir(path)
 
-    blocks = written(rows.mapInArrow(_blocks, "block long, blob binary"), "blocks")
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BLOCKS_A_SHARD))
-    own = blocks.select(F.lit(-1).cast("long").alias("shard"), F.lit(-1).cast("long").alias("part"), "block", "blob")
-    words = written(blocks.mapInArrow(_ask_words(shards), _ROW).groupBy("shard", "part").applyInArrow(_count_words(shards, least), f"{_ROW}, total long, distinct long"), "words")
+    # Blocks and tries are files; only their addresses, what blocks ask and what they are answered go between tasks.
+    blocks = written(rows.mapInArrow(_blocks(folder), "block long, path string"), "blocks")
+    least_tasks, n_blocks = int(spark.conf.get("spark.sql.shuffle.partitions")), blocks.count()
+    shards, tasks = (max(least_tasks, -(-n_blocks // x)) for x in (BLOCKS_A_SHARD, BLOCKS_A_TASK))
+    by_block = lambda frame: frame.repartition(tasks, "block").groupBy("block")
+    by_shard = lambda frame: frame.repartition(2 * shards, "shard", "part").groupBy("shard", "part")
+    own = blocks.select(F.lit(-1).cast("long").alias("shard"), F.lit(-1).cast("long").alias("part"), "block", F.col("path").cast("binary").alias("blob"))
+    words = blocks.repartition(tasks, "block").mapInArrow(_ask_words(shards), _ROW)
+    words = written(by_shard(words).applyInArrow(_count_words(shards, least), f"{_ROW}, total long, distinct long"), "words")
     n, v = (int(x) for x in words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first())
     known = own.unionByName(words.drop("total", "distinct"))
-    asked = known.groupBy("block").applyInArrow(_ask_grams(shards, n, hot), _ROW)
-    answers = written(asked.groupBy("shard", "part").applyInArrow(_shard_tries(folder, least, bits), f"{_ROW}, path string"), "answers")
+    asked = by_block(known).applyInArrow(_ask_grams(shards, n, hot), _ROW)
+    answers = written(by_shard(asked).applyInArrow(_shard_tries(folder, least, bits), f"{_ROW}, path string"), "answers")
     # Fewer than hot words and hot squared pairs are split.
     weights = _weights([bytes(r.blob) for r in answers.where(F.col("part") == _SPLIT).select("blob").toLocalIterator()])
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return known.unionByName(answers.where(F.col("part") < _SPLIT).drop("path")).groupBy("block").applyInArrow(_score(shards, n, v, hot, weights), result)
+    return by_block(known.unionByName(answers.where(F.col("part") < _SPLIT).drop("path"))).applyInArrow(_score(shards, n, v, hot, weights), result)
