@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftline.functions.values import once
+
 # Node and command names as Spark prints them.
 INSERT_HIVE = "InsertIntoHiveTable"
 INSERT_FS = "InsertIntoHadoopFsRelationCommand"
@@ -65,24 +67,29 @@ def plan_nodes(parts: Column) -> Column:
     """``array<struct<pos,depth,node_id,node,detail>>`` of the paragraphs of a plan, in print order."""
     lines = F.filter(F.split(_tree(F.element_at(parts, 1)), "\n"), lambda x: x.rlike(_NODE_NUMBER))
 
-    def node(line: Column, pos: Column) -> Column:
-        number = F.regexp_extract(line, _NODE_NUMBER, 1).cast("int")
-        title = F.regexp_replace(F.regexp_replace(line, _TREE_PREFIX, ""), r"^\* ", "")
+    def node(line: Column, pos: Column, indent: Column, number: Column) -> Column:
+        title = F.substr(line, indent + 1)
+        title = F.when(title.startswith("* "), F.substr(title, F.lit(3))).otherwise(title)
         # Paragraph k describes node k, so it sits right after the header; look it up if it does not.
         mark = F.concat(F.lit("("), number.cast("string"), F.lit(") "))
-        near = F.try_element_at(parts, number + 1)
-        found = F.when(near.startswith(mark), near).otherwise(
-            F.try_element_at(F.filter(parts, lambda p: p.startswith(mark)), F.lit(1))
+        found = once(
+            F.try_element_at(parts, number + 1),
+            lambda near: F.when(near.startswith(mark), near).otherwise(F.try_element_at(F.filter(parts, lambda p: p.startswith(mark)), F.lit(1))),
         )
         return F.struct(
             pos.alias("pos"),
-            (F.length(F.regexp_extract(line, _TREE_PREFIX, 1)) / 3).cast("int").alias("depth"),
+            (indent / 3).cast("int").alias("depth"),
             number.alias("node_id"),
             F.rtrim(F.regexp_replace(title, _NODE_NUMBER, "")).alias("node"),
             F.substring_index(F.coalesce(found, F.lit("")), "\n\n=====", 1).alias("detail"),
         )
 
-    return F.transform(lines, node)
+    def measured(line: Column, pos: Column) -> Column:
+        indent = F.length(F.regexp_extract(line, _TREE_PREFIX, 1)).alias("indent")
+        number = F.regexp_extract(line, _NODE_NUMBER, 1).cast("int").alias("number")
+        return once(F.struct(indent, number), lambda m: node(line, pos, m["indent"], m["number"]))
+
+    return F.transform(lines, measured)
 
 
 def mark_leaves(nodes: Column) -> Column:
@@ -106,9 +113,11 @@ def command_of(node: Column) -> Column:
     A command that Spark executes eagerly is printed twice, as ``Execute X`` and as its child ``X``;
     only the first form counts.
     """
+    def known(executed: Column) -> Column:
+        return F.when(executed.isin(*COMMANDS), executed)
+
     bare = F.substring(node, len(_EXECUTE) + 1, (1 << 31) - 1)
-    executed = F.when(node.startswith(_EXECUTE), F.split_part(bare, F.lit(" "), F.lit(1)))
-    return F.when(executed.isin(*COMMANDS), executed).when(node.isin(*V2_WRITES), F.lit("WriteToDataSourceV2"))
+    return F.when(node.startswith(_EXECUTE), once(F.substring_index(bare, " ", 1), known)).when(node.isin(*V2_WRITES), F.lit("WriteToDataSourceV2"))
 
 
 def commands(nodes: Column) -> Column:
@@ -131,20 +140,35 @@ def commands(nodes: Column) -> Column:
 
 
 def _or_null(text: Column) -> Column:
-    return F.when(F.length(text) > 0, text)
+    return F.nullif(text, F.lit(""))
+
 
+def _name_parts(ident: Column) -> Column:
+    return F.split(F.replace(ident, F.lit("`"), F.lit("")), r"\.")
 
-def _name_part(ident: Column, from_end: int) -> Column:
-    parts = F.split(F.replace(ident, F.lit("`"), F.lit("")), r"\.")
+
+def _part(parts: Column, from_end: int) -> Column:
     return F.when(F.size(parts) >= from_end, F.try_element_at(parts, F.lit(-from_end)))
 
 
 def identifier_db(ident: Column) -> Column:
-    return _name_part(ident, 2)
+    return once(_name_parts(ident), lambda parts: _part(parts, 2))
 
 
 def identifier_table(ident: Column) -> Column:
-    return _name_part(ident, 1)
+    return once(_name_parts(ident), lambda parts: _part(parts, 1))
+
+
+def target(ident: Column, path: Column) -> Column:
+    """A table when there is one, else a path, as one struct."""
+
+    def named(ident: Column) -> Column:
+        def of(parts: Column) -> Column:
+            return F.struct(_part(parts, 2).alias("db"), _part(parts, 1).alias("table"), F.when(ident.isNull(), path).alias("path"))
+
+        return once(_name_parts(ident), of)
+
+    return once(ident, named)
 
 
 def command_table(command: Column, arguments: Column) -> Column:
@@ -197,25 +221,28 @@ def leaf_table(node: Column, detail: Column) -> Column:
     return _or_null(F.when(node.startswith("Scan "), printed).otherwise(quoted))
 
 
-def leaf_paths(detail: Column, whole: Column) -> Column:
-    """Paths a file scan lists. A printed plan shows the first of several; the others are those of ``whole``, the
-    plan graph's list of this scan, where that is known; see ``whole_list``."""
-    listed = F.split(F.regexp_extract(detail, _SCAN_LOCATIONS, 1), ", ")
-    printed = F.filter(listed, lambda p: (F.length(p) > 0) & ~p.startswith("..."))
-    inside = F.regexp_extract(whole, r"\[(.*)\]$", 1)
-    return F.when(is_cut(detail) & (F.length(inside) > 0), F.split(inside, ", ")).otherwise(printed)
+def leaf_paths(listed: Column, more: Column, whole: Column) -> Column:
+    """Paths a file scan lists, of its ``locations``. A printed plan shows the first of several; the others are those of ``whole``,
+    the plan graph's list of this scan, where that is known; see ``whole_list``."""
+    printed = F.filter(F.split(listed, ", "), lambda p: (F.length(p) > 0) & ~p.startswith("..."))
+    inside = F.when(more != "", F.regexp_extract(whole, r"\[(.*)\]$", 1))
+    return once(inside, lambda x: F.when(F.length(x) > 0, F.split(x, ", ")).otherwise(printed))
+
 
+def locations(detail: Column) -> Column:
+    """What a leaf prints between the brackets of its location; empty where it prints none."""
+    return F.when(detail.contains("Location: "), F.regexp_extract(detail, _SCAN_LOCATIONS, 1)).otherwise("")
 
-def is_cut(detail: Column) -> Column:
-    """The scan reads more paths than its plan shows."""
-    return F.regexp_extract(detail, _SCAN_LOCATIONS, 1).rlike(_CUT)
 
+def more_paths(listed: Column) -> Column:
+    """How many paths beyond the first a scan reads, as its ``locations`` say where they are cut; empty where they are whole."""
+    return F.when(listed.contains(", ... "), F.regexp_extract(listed, _CUT, 1)).otherwise("")
 
-def list_mark(detail: Column) -> Column:
+
+def list_mark(listed: Column, more: Column) -> Column:
     """How the plan graph's list of a cut scan begins: with the number of paths and the first one."""
-    printed = F.regexp_extract(detail, _SCAN_LOCATIONS, 1)
-    more = F.regexp_extract(printed, _CUT, 1).try_cast("int")
-    return F.concat(F.lit("("), (more + 1).cast("string"), F.lit(" paths)["), F.regexp_extract(printed, "^(.*?), ", 1), F.lit(", "))
+    count = (more.try_cast("int") + 1).cast("string")
+    return F.when(more != "", F.concat(F.lit("("), count, F.lit(" paths)["), F.regexp_extract(listed, "^(.*?), ", 1), F.lit(", ")))
 
 
 def whole_list(mark: Column, marks: Column, before: Column, locations: Column) -> Column:
@@ -226,7 +253,11 @@ def whole_list(mark: Column, marks: Column, before: Column, locations: Column) -
     which list is whose is not known, unless the lists are one."""
     alike = F.size(F.filter(marks, lambda m: m == mark))
     earlier = F.size(F.filter(F.slice(marks, F.lit(1), before), lambda m: m == mark))
-    lists = F.filter(locations, lambda x: x.contains(mark))
-    same = (F.size(lists) > alike) & (F.size(F.array_distinct(lists)) == 1)
-    one = F.when(F.size(lists) == alike, F.get(lists, earlier)).when(same, F.get(lists, F.lit(0)))
-    return F.when(~one.endswith("...]"), one)
+
+    def one(found: Column) -> Column:
+        lists, alike = found["lists"], found["alike"]
+        same = (F.size(lists) > alike) & (F.size(F.array_distinct(lists)) == 1)
+        return F.when(F.size(lists) == alike, F.get(lists, earlier)).when(same, F.get(lists, F.lit(0)))
+
+    found = F.struct(F.filter(locations, lambda x: x.contains(mark)).alias("lists"), alike.alias("alike"))
+    return once(once(found, one), lambda x: F.when(~x.endswith("...]"), x))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import names, paths
 from weftline.functions import plan_text as pt
+from weftline.functions.values import once
 from weftline.operators import connectors
 from weftline.settings import JobSettings
 
@@ -95,27 +96,33 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
     best = F.array_min(F.transform("commands", lambda c: _priority(c["command"])))
 
     def kinded(n: Column) -> Column:
-        return F.struct(n["pos"].alias("pos"), n["node"].alias("node"), n["detail"].alias("detail"), pt.leaf_kind(n["node"], n["detail"]).alias("kind"))
+        return F.struct(n["pos"].alias("pos"), n["node"].alias("node"), n["detail"].alias("detail"), pt.leaf_kind(n["node"], n["detail"]).alias("kind"), pt.locations(n["detail"]).alias("listed"))
 
-    locations = F.col("locations") if "locations" in executions.columns else F.array().cast("array<string>")
+    def counted(n: Column) -> Column:
+        return once(pt.more_paths(n["listed"]), lambda more: n.withField("more", more).withField("mark", pt.list_mark(n["listed"], more)))
 
-    leaves = F.filter("nodes", lambda n: n["is_leaf"])
-    marks = F.transform(leaves, lambda n: F.coalesce(pt.list_mark(n["detail"]), F.lit("")))
+    locations = F.col("locations") if "locations" in executions.columns else F.array().cast("array<string>")
 
     def leaf(n: Column, before: Column) -> Column:
-        whole = F.when(pt.is_cut(n["detail"]), pt.whole_list(pt.list_mark(n["detail"]), marks, before, locations))
+        whole = F.when((n["kind"] == "files") & (n["more"] != ""), pt.whole_list(n["mark"], F.col("marks"), before, locations))
         owner = F.filter("commands", lambda c: (c["pos"] < n["pos"]) & (c["end"] > n["pos"]))
-        return F.struct(
-            _tag(F.coalesce(F.try_element_at(owner, F.lit(1))["pos"], F.lit(-1))).alias("tag"),
-            n["pos"].alias("leaf_pos"),
-            n["node"].alias("node"),
-            n["kind"].alias("kind"),
-            F.when(n["kind"] == "connector", pt.leaf_connector(n["node"], n["detail"])).alias("connector"),
-            ((n["kind"] == "files") & pt.is_cut(n["detail"]) & whole.isNull()).alias("shortened"),
-            leaf_targets(n["node"], n["detail"], n["kind"], whole).alias("targets"),
-        )
 
-    return parse(executions).select(
+        def told(whole: Column) -> Column:
+            return F.struct(
+                _tag(F.coalesce(F.try_element_at(owner, F.lit(1))["pos"], F.lit(-1))).alias("tag"),
+                n["pos"].alias("leaf_pos"),
+                n["node"].alias("node"),
+                n["kind"].alias("kind"),
+                F.when(n["kind"] == "connector", pt.leaf_connector(n["node"], n["detail"])).alias("connector"),
+                ((n["kind"] == "files") & (n["more"] != "") & whole.isNull()).alias("shortened"),
+                leaf_targets(n, whole).alias("targets"),
+            )
+
+        return once(whole, told)
+
+    parsed = parse(executions).withColumn("found", F.transform(F.transform(F.filter("nodes", lambda n: n["is_leaf"]), kinded), counted))
+    parsed = parsed.withColumn("marks", F.transform("found", lambda n: F.coalesce(n["mark"], F.lit(""))))
+    return parsed.select(
         "app_id",
         "root_execution_id",
         "execution_id",
@@ -124,7 +131,7 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
         *keep,
         F.coalesce(best, F.lit(NO_COMMAND)).alias("priority"),
         listed.alias("listed"),
-        F.transform(F.transform(leaves, kinded), leaf).alias("leaves"),
+        F.transform("found", leaf).alias("leaves"),
     )
 
 
@@ -193,21 +200,12 @@ def sink_path(description: Column) -> Column:
     return F.when(description.contains("FileSink"), path)
 
 
-def _target(ident: Column, path: Column) -> Column:
-    """A table when there is one, else a path, as one struct."""
-    return F.struct(
-        pt.identifier_db(ident).alias("db"),
-        pt.identifier_table(ident).alias("table"),
-        F.when(ident.isNull(), path).alias("path"),
-    )
-
-
-def leaf_targets(node: Column, detail: Column, kind: Column, whole: Column) -> Column:
+def leaf_targets(n: Column, whole: Column) -> Column:
     """What a leaf reads, as an array of targets; null for leaves that are neither table nor files."""
     nothing = F.lit(None).cast("string")
-    table = F.array(_target(pt.leaf_table(node, detail), nothing))
-    files = F.transform(pt.leaf_paths(detail, whole), lambda p: _target(nothing, p))
-    return F.when(kind == "table", table).when(kind == "files", files)
+    table = F.array(pt.target(pt.leaf_table(n["node"], n["detail"]), nothing))
+    files = F.transform(pt.leaf_paths(n["listed"], n["more"], whole), lambda p: F.struct(nothing.alias("db"), nothing.alias("table"), p.alias("path")))
+    return F.when(n["kind"] == "table", table).when(n["kind"] == "files", files)
 
 
 def input_targets(chosen: DataFrame, leaves: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
@@ -243,9 +241,9 @@ def command_targets(chosen: DataFrame) -> DataFrame:
     named = chosen.where(~command.isin(*PLAIN_DEFINITIONS)).select(
         *EDGE_KEYS, pt.command_table(command, arguments).alias("ident"), path.alias("path")
     )
-    written = way("output", _target(F.col("ident"), F.col("path")))
-    loaded = way("input", _target(nothing, F.col("path")))
-    ways = F.when(command == pt.LOAD_DATA, F.array(way("output", _target(F.col("ident"), nothing)), loaded)).when(
+    written = way("output", pt.target(F.col("ident"), F.col("path")))
+    loaded = way("input", pt.target(nothing, F.col("path")))
+    ways = F.when(command == pt.LOAD_DATA, F.array(way("output", pt.target(F.col("ident"), nothing)), loaded)).when(
         F.col("ident").isNotNull() | F.col("path").isNotNull(), F.array(written)
     )
     return named.select(*EDGE_KEYS, F.inline(ways)).select(*EDGE_KEYS, "direction", "ordinal", "target.*")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import names
+from weftline.functions.values import once
 
 # Event names as Spark writes them.
 SQL_START = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
@@ -37,19 +38,23 @@ _ENVIRONMENT = "`Spark Properties` map<string,string>, `Hadoop Properties` map<s
 _LOCATIONS = r'"Location"\s*:\s*"(\w+\(\d+ paths?\)\[[^"]*\])"'
 
 
+_KINDS = {SQL_START: "sql_start", SQL_END: "sql_end", QUERY_PROGRESS: "progress", APP_START: "app_start", ENVIRONMENT: "environment"}
+LEADING = 200
+
+
 def kind_of(line: Column) -> Column:
-    """Kind of a log line by its leading event name, null for kinds not used."""
-    leading = F.regexp_extract(line, r'^\s*\{\s*"Event"\s*:\s*"([^"]+)"', 1)
-    event = F.coalesce(F.when(leading != "", leading), F.get_json_object(line, "$.Event"))
-    return (
-        F.when(event == SQL_START, "sql_start")
-        .when(event == SQL_END, "sql_end")
-        .when(event == QUERY_PROGRESS, "progress")
-        .when(event == APP_START, "app_start")
-        .when(event == ENVIRONMENT, "environment")
-        .when(event.startswith(CATALOG_PACKAGE), "catalog")
-        .when(event.startswith(ML_PACKAGE), "ml")
-    )
+    """Kind of a log line by its leading event name, null for kinds not used.
+
+    The name is looked for in the line's first characters, and by JSON only where it is not whole there."""
+    leading = F.regexp_extract(F.substring(line, 1, LEADING), r'^\s*\{\s*"Event"\s*:\s*"([^"]+)"', 1)
+    exact = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+
+    def kind(event: Column) -> Column:
+        grouped = F.when(event.startswith(CATALOG_PACKAGE), "catalog").when(event.startswith(ML_PACKAGE), "ml")
+        return F.coalesce(F.try_element_at(exact, event), grouped)
+
+    event = once(leading, lambda x: F.when(x != "", x).otherwise(F.get_json_object(line, "$.Event")))
+    return once(event, kind)
 
 
 # An application that is started again counts its executions from 0 again. Its runs are told apart by what they add to

@@ -6,6 +6,8 @@ on as many rows as the table has. ``plans/standin_sql.py`` states the same proje
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,21 @@ def text(template: str, **values: Column) -> Column:
     return F.concat(*pieces, F.lit(rest))
 
 
+def chosen_text(index: Column, templates: list[str], **values: Column) -> Column:
+    """The template at ``index`` with each ``<name>`` replaced by the column of that name; ``<lt>`` stands for ``<``.
+
+    Null where a value is null. Only the one template is filled in, by one call, so the code of a row stays short."""
+
+    def pattern(template: str) -> str:
+        template = template.replace("%", "%%")
+        for place, name in enumerate(values, 1):
+            template = template.replace(f"<{name}>", f"%{place}$s")
+        return template.replace("<lt>", "<")
+
+    known = functools.reduce(lambda x, y: x & y, [v.isNotNull() for v in values.values()])
+    return F.when(known, F.printf(pick(index, *map(pattern, templates)), *values.values()))
+
+
 def options(**values: Column) -> Column:
     """Option map without the options that are null; ``__`` in a name stands for a dot."""
     keys = F.array(*[F.lit(k.replace("__", ".")) for k in values])
@@ -35,13 +52,17 @@ def pick(index: Column, *choices: Column | str) -> Column:
     return F.element_at(F.array(*[F.lit(c) if isinstance(c, str) else c for c in choices]), index.cast("int") + 1)
 
 
+ROWS_A_TASK = 20_000
+
+
 def spread(frame: DataFrame, key: str) -> DataFrame:
-    """``frame`` over all cores, where its files are too few for them.
+    """``frame`` dealt to tasks of about ``ROWS_A_TASK`` rows, at least one a core.
 
-    For short rows that grow a hundredfold in the next step; tables with enough files are left alone.
+    For short rows that grow a hundredfold in the next step. A file of one row group is one task, however large it is,
+    so the number of rows decides, which Parquet's footers tell, and not that of files or splits.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
+    return frame.repartition(max(cores, -(-frame.count() // ROWS_A_TASK)), key)
 
 
 def edges(spark: SparkSession, folder: str) -> DataFrame:
@@ -421,66 +442,66 @@ def _kind() -> Column:
     return F.col("k") % 16
 
 
-def _leaves(logical: bool) -> dict[str, Column]:
-    """The two leaves of a statement, as a logical or a physical plan prints them."""
-    c = F.col("c")
-    shape = c % 4
-    args = dict(d=c % 5, s=c % 40, h=c % 30, r=c % 100, i=c % 7)
+def _leaves(logical: bool, shape: int) -> dict[str, str]:
+    """The two leaves of a statement, as a logical or a physical plan prints them; the second has four shapes."""
     if logical:
-        a, ad = F.lit("LogicalRelation"), text("Arguments: parquet, [x#1], `spark_catalog`.`db<d>`.`src<s>`, false", **args)
-        b = pick(shape, "LogicalRelation", "HiveTableRelation", "LocalRelation", "LogicalRelation")
-        bd = pick(
-            shape,
+        a, ad = "LogicalRelation", "Arguments: parquet, [x#1], `spark_catalog`.`db<d>`.`src<s>`, false"
+        b = ["LogicalRelation", "HiveTableRelation", "LocalRelation", "LogicalRelation"]
+        bd = [
             "Arguments: parquet, [x#2], false",
-            text("Arguments: [`db<d>`.`h<h>`, org.apache.hadoop.hive.ql.io.orc.OrcSerde, [x#2]]", **args),
+            "Arguments: [`db<d>`.`h<h>`, org.apache.hadoop.hive.ql.io.orc.OrcSerde, [x#2]]",
             "Arguments: [x#2]",
             "Arguments: JDBCRelation(tab) [numPartitions=1], [x#2], false",
-        )
+        ]
     else:
-        a = text("Scan parquet spark_catalog.db<d>.src<s>", **args)
-        ad = text("Batched: true\nLocation: InMemoryFileIndex [file:/wh/db<d>.db/src<s>]\nReadSchema: struct<lt>x:int>", lt=F.lit("<"), **args)
-        b = pick(shape, "Scan parquet ", text("Scan hive db<d>.h<h>", **args), "LocalTableScan", "Scan JDBCRelation(tab) [numPartitions=1]")
-        bd = pick(
-            shape,
-            text("Location: InMemoryFileIndex [hdfs://nn:8020/Raw/<r>, ... 1 entries]\nReadSchema: struct<lt>x:int>", lt=F.lit("<"), **args),
+        a = "Scan parquet spark_catalog.db<d>.src<s>"
+        ad = "Batched: true\nLocation: InMemoryFileIndex [file:/wh/db<d>.db/src<s>]\nReadSchema: struct<lt>x:int>"
+        b = ["Scan parquet ", "Scan hive db<d>.h<h>", "LocalTableScan", "Scan JDBCRelation(tab) [numPartitions=1]"]
+        bd = [
+            "Location: InMemoryFileIndex [hdfs://nn:8020/Raw/<r>, ... 1 entries]\nReadSchema: struct<lt>x:int>",
             "Arguments: [x#2], HiveTableRelation",
             "Arguments: [x#2]",
             "PushedFilters: []",
-        )
-    return {"a": a, "ad": ad, "b": b, "bd": bd}
+        ]
+    return {"a": a, "ad": ad, "b": b[shape], "bd": bd[shape]}
 
 
-def _plan(head: str, tail: str, pad: int, logical: bool = False, **values: Column) -> Column:
-    """Printed plan: ``head`` lines over the join of the two leaves, then the paragraphs, then ``tail``."""
+def _plan(head: str, tail: str, pad: int, logical: bool = False) -> list[str]:
+    """Printed plans by shape: ``head`` lines over the join of the two leaves, then the paragraphs, then ``tail``."""
     body = "== Physical Plan ==\n" + head + "\n" + _JOIN + "\n\n" + _JOIN_DETAIL + tail + "\n\n"
-    return text(body, pad=F.lit(" " * pad), **_leaves(logical), **values)
+    body = body.replace("<pad>", " " * pad)
+
+    def shaped(shape: int) -> str:
+        leaves = _leaves(logical, shape)
+        return functools.reduce(lambda done, name: done.replace(f"<{name}>", leaves[name]), leaves, body)
+
+    return [shaped(shape) for shape in range(4)]
 
 
-def _executed(command: str, arguments: str, logical: bool = True, **values: Column) -> Column:
-    """Plan of a command that Spark runs eagerly: printed as ``Execute X`` over ``X``."""
+def _executed(command: str, arguments: str, logical: bool = True) -> list[str]:
+    """Plans of a command that Spark runs eagerly: printed as ``Execute X`` over ``X``."""
     head = f"Execute {command} (4)\n   +- {command} (5)"
     tail = f"\n(4) Execute {command}\nOutput: []\n\n(5) {command}\nArguments: {arguments}"
-    return _plan(head, tail, 9, logical, **values)
+    return _plan(head, tail, 9, logical)
 
 
-def _written(command: str, arguments: str, **values: Column) -> Column:
-    """Plan of a writing command, under an adaptive plan."""
+def _written(command: str, arguments: str) -> list[str]:
+    """Plans of a writing command, under an adaptive plan."""
     head = f"AdaptiveSparkPlan (6)\n+- Execute {command} (5)\n   +- WriteFiles (4)"
     tail = f"\n(4) WriteFiles\nInput [1]: [x#1]\n\n(5) Execute {command}\nInput: []\nArguments: {arguments}\n\n(6) AdaptiveSparkPlan\nArguments: isFinalPlan=false"
-    return _plan(head, tail, 6, **values)
+    return _plan(head, tail, 6)
 
 
-def _alone(command: str, arguments: str, **values: Column) -> Column:
-    """Plan of a command without a query."""
+def _alone(command: str, arguments: str) -> list[str]:
+    """Plan of a command without a query, the same for every shape."""
     body = (
         f"== Physical Plan ==\nExecute {command} (1)\n   +- {command} (2)\n\n\n(1) Execute {command}\nOutput: []\n\n"
         f"(2) {command}\nArguments: {arguments}\n\n"
     )
-    return text(body, **values)
+    return [body] * 4
 
 
-def _multi_insert(**values: Column) -> Column:
-    body = """== Physical Plan ==
+_MULTI_INSERT = """== Physical Plan ==
 Union (7)
 :- Execute InsertIntoHadoopFsRelationCommand (3)
 :  +- WriteFiles (2)
@@ -499,7 +520,7 @@ Input [1]: [x#1]
 
 (3) Execute InsertIntoHadoopFsRelationCommand
 Input: []
-Arguments: file:/wh/m1, false, ORC, [path=file:/wh/m1], Append, `spark_catalog`.`db<d>`.`multi<n>`, org.apache.spark.sql.execution.datasources.InMemoryFileIndex(file:/wh/m1), [x]
+Arguments: file:/wh/m1, false, ORC, [path=file:/wh/m1], Append, `spark_catalog`.`db<d>`.`multi<s>`, org.apache.spark.sql.execution.datasources.InMemoryFileIndex(file:/wh/m1), [x]
 
 (4) Scan parquet spark_catalog.db<d>.right<s>
 Location: InMemoryFileIndex [file:/wh/right<s>]
@@ -517,39 +538,40 @@ Arguments: file:/wh/<k>, false, ORC, [path=file:/wh/<k>], Append, [x]
 Location: InMemoryFileIndex [file:/wh/left<s>]
 
 """
-    return text(body, **values)
 
 
 def statement_plans(spark: SparkSession, folder: str) -> DataFrame:
     """One statement per order, of sixteen kinds: ``k, c, failed, finished, plan, nested_plan``."""
     k, c = F.col("k"), F.col("c")
-    v = dict(d=c % 5, o=c % 40, k=k, c=c % 50, s=c % 40, n=c % 40)
+    shape = c % 4
+    v = dict(d=c % 5, s=c % 40, h=c % 30, r=c % 100, c=c % 50, k=k)
     # Every eighth statement of the first kind writes the table it reads.
     target = F.when(c % 8 == 0, text("src<o>", o=c % 40)).otherwise(text("out<o>", o=c % 40))
     location = F.when(c % 10 == 0, "Storage()").otherwise(text("Storage(Location: hdfs://nn:8020/Dir/<k>)", k=k))
-    saver = pick(c % 4, "jdbc.JdbcRelationProvider@1", "hbase.DefaultSource@1", "kafka010.KafkaSourceProvider@1", "other.Provider@1")
-    plan = pick(
-        _kind(),
-        _written("InsertIntoHadoopFsRelationCommand", "file:/wh/x, false, ORC, [path=file:/wh/x], Append, `spark_catalog`.`db<d>`.`<t>`, org.apache.spark.sql.execution.datasources.InMemoryFileIndex(file:/wh/x), [x]", t=target, **v),
-        _written("InsertIntoHadoopFsRelationCommand", "s3a://lake/d<c>/f<k>, false, Parquet, [path=s3a://lake/d<c>/f<k>], Overwrite, [x]", **v),
-        _executed("CreateDataSourceTableAsSelectCommand", "`spark_catalog`.`db<d>`.`ctas<k>`, ErrorIfExists, [x]", **v),
-        _executed("CreateViewCommand", "`spark_catalog`.`db<d>`.`view<k>`, select * from x, false, false, PersistedView, COMPENSATION, true", **v),
-        _executed("CreateViewCommand", "`view<k>`, select * from x, false, false, LocalTempView, UNSUPPORTED, true", **v),
-        _alone("CreateDataSourceTableCommand", "`spark_catalog`.`db<d>`.`new<k>`, false", **v),
-        _alone("LoadDataCommand", "`spark_catalog`.`db<d>`.`load<o>`, hdfs://nn:8020/Load/<k>, false, false", **v),
-        _written("InsertIntoHiveDirCommand", "false, <l>, [x]", l=location, **v),
-        _plan("* Project (4)", "\n(4) Project\nOutput [1]: [x#1]", 0),
-        _executed("SaveIntoDataSourceCommand", "org.example.<p>, [url=*********(redacted)], Append", p=saver, **v),
-        _multi_insert(**v),
+    savers = ["jdbc.JdbcRelationProvider@1", "hbase.DefaultSource@1", "kafka010.KafkaSourceProvider@1", "other.Provider@1"]
+    saves = _executed("SaveIntoDataSourceCommand", "org.example.<p>, [url=*********(redacted)], Append")
+    project = _plan("* Project (4)", "\n(4) Project\nOutput [1]: [x#1]", 0)
+    kinds = [
+        _written("InsertIntoHadoopFsRelationCommand", "file:/wh/x, false, ORC, [path=file:/wh/x], Append, `spark_catalog`.`db<d>`.`<t>`, org.apache.spark.sql.execution.datasources.InMemoryFileIndex(file:/wh/x), [x]"),
+        _written("InsertIntoHadoopFsRelationCommand", "s3a://lake/d<c>/f<k>, false, Parquet, [path=s3a://lake/d<c>/f<k>], Overwrite, [x]"),
+        _executed("CreateDataSourceTableAsSelectCommand", "`spark_catalog`.`db<d>`.`ctas<k>`, ErrorIfExists, [x]"),
+        _executed("CreateViewCommand", "`spark_catalog`.`db<d>`.`view<k>`, select * from x, false, false, PersistedView, COMPENSATION, true"),
+        _executed("CreateViewCommand", "`view<k>`, select * from x, false, false, LocalTempView, UNSUPPORTED, true"),
+        _alone("CreateDataSourceTableCommand", "`spark_catalog`.`db<d>`.`new<k>`, false"),
+        _alone("LoadDataCommand", "`spark_catalog`.`db<d>`.`load<s>`, hdfs://nn:8020/Load/<k>, false, false"),
+        _written("InsertIntoHiveDirCommand", "false, <l>, [x]"),
+        project,
+        [save.replace("<p>", saver) for save, saver in zip(saves, savers, strict=True)],
+        [_MULTI_INSERT] * 4,
         _plan("AppendData (4)", "\n(4) AppendData\nArguments: org.example.Writer@1", 0),
-        _written("InsertIntoHiveTable", "`spark_catalog`.`db<d>`.`hive<o>`, org.apache.hadoop.hive.ql.io.orc.OrcSerde, false, false, [x]", **v),
-        _executed("CreateHiveTableAsSelectCommand", "`db<d>`.`hctas<k>`, [x], ErrorIfExists", **v),
-        _plan("* Project (4)", "\n(4) Project\nOutput [1]: [x#1]", 0),
-        _alone("CreateTableCommand", "`spark_catalog`.`db<d>`.`hnew<k>`, false", **v),
-    )
-    nested = F.when(
-        _kind().isin(2, 13), _written("InsertIntoHadoopFsRelationCommand", "file:/wh/c<k>, false, ORC, [path=file:/wh/c<k>], Overwrite, [x]", **v)
-    ).when(_kind() == 9, _plan("* Project (4)", "\n(4) Project\nOutput [1]: [x#1]", 0))
+        _written("InsertIntoHiveTable", "`spark_catalog`.`db<d>`.`hive<s>`, org.apache.hadoop.hive.ql.io.orc.OrcSerde, false, false, [x]"),
+        _executed("CreateHiveTableAsSelectCommand", "`db<d>`.`hctas<k>`, [x], ErrorIfExists"),
+        project,
+        _alone("CreateTableCommand", "`spark_catalog`.`db<d>`.`hnew<k>`, false"),
+    ]
+    plan = chosen_text(_kind() * 4 + shape, sum(kinds, []), t=target, l=location, **v)
+    inner = _written("InsertIntoHadoopFsRelationCommand", "file:/wh/c<k>, false, ORC, [path=file:/wh/c<k>], Overwrite, [x]")
+    nested = F.when(_kind().isin(2, 9, 13), chosen_text(F.when(_kind() == 9, 4).otherwise(0) + shape, inner + project, **v))
     rows = spread(table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"), "o_orderkey")
     running = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
     return rows.select(
@@ -613,17 +635,16 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     def line(offset: int, value: Column) -> Column:
         return F.struct((k * 8 + offset).alias("place"), value.alias("value"))
 
-    events = F.filter(
-        F.array(
-            line(0, start(k, F.col("plan"))),
-            F.when(nested, line(1, start(k + NESTED, F.col("nested_plan")))),
-            F.when(nested, line(2, end(k + NESTED, F.lit(False)))),
-            F.when(F.col("finished"), line(3, end(k, F.col("failed")))),
-            F.when(streaming & F.col("finished"), line(4, progress_record)),
-        ),
-        lambda e: e.isNotNull(),
+    events = F.array(
+        line(0, start(k, F.col("plan"))),
+        F.when(nested, line(1, start(k + NESTED, F.col("nested_plan")))),
+        F.when(nested, line(2, end(k + NESTED, F.lit(False)))),
+        F.when(F.col("finished"), line(3, end(k, F.col("failed")))),
+        F.when(streaming & F.col("finished"), line(4, progress_record)),
     )
-    statements = statement_plans(spark, folder).select(_log_file(app).alias("file"), F.inline(events))
+    # The outer form, because for the inner one Spark infers a filter on the array and would write every line again in it.
+    # Lines that a statement lacks are null here; ``lines_of`` drops them with those of no known kind.
+    statements = statement_plans(spark, folder).select(_log_file(app).alias("file"), F.inline_outer(events))
 
     def properties(**values: Column) -> Column:
         pairs = [x for key, value in values.items() for x in (F.lit(key.replace("__", ".")), value)]
@@ -649,11 +670,10 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
             properties(fs__defaultFS=F.lit("hdfs://nn:8020"), hive__metastore__uris=uris).alias("Hadoop Properties"),
         )
     )
-    frames = [
-        apps.select(_log_file(F.col("app_id")).alias("file"), F.lit(place).cast("bigint").alias("place"), value.alias("value"))
-        for place, value in ((0, start_event), (1, environment))
-    ]
-    return event_log.lines_of(statements.unionByName(frames[0]).unionByName(frames[1]))
+    # As one generator, whose rows a filter does not pass on its way to the orders the applications are told from.
+    file = _log_file(F.col("app_id")).alias("file")
+    both = [F.struct(file, F.lit(place).cast("bigint").alias("place"), value.alias("value")) for place, value in ((0, start_event), (1, environment))]
+    return event_log.lines_of(statements.unionByName(apps.select(F.inline_outer(F.array(*both)))))
 
 
 def _log_file(app: Column) -> Column:
