@@ -226,6 +226,25 @@ def brute_languages(docs):
     return out
 
 
+def test_languages_count_each_text_once(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    apart = langid.predicted(docs, langid.model_of(docs, spread=False)).select("doc_id", "lang_pred", "score")
+    expected = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in apart.collect()}
+    seen, count = spark.sparkContext.accumulator(0), langid._count_words
+
+    def watched(batches):
+        def each():
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return count(each())
+
+    monkeypatch.setattr(langid, "_count_words", watched)
+    got = {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in langid.languages(docs).collect()}
+    assert got == expected and seen.value == docs.count()
+
+
 @pytest.mark.parametrize("head", [2, 600, langid.HEAD])
 def test_languages_equal_brute_force_whatever_the_head_holds(spark, head):
     rng, rows = random.Random(11), []
