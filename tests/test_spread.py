@@ -41,3 +41,17 @@ def test_kind_of_odd_lines(spark):
 def test_once_keeps_nulls(spark):
     rows = spark.range(2).select(once(F.when(F.col("id") == 1, F.col("id")), lambda x: F.coalesce(x, F.lit(7))).alias("x")).collect()
     assert [r.x for r in rows] == [7, 1]
+
+
+def test_staging_writes_the_text_of_broken_lines_only(spark, tmp_path):
+    lines = standins.log_lines(spark, "/root/testdata/sf0.001")
+    broken = ("app-0", 1, 1, "sql_start", '{"Event":"%s","executionId":1,"physicalPlanDescription":"x' % event_log.SQL_START)
+    lines = lines.unionByName(spark.createDataFrame([broken], lines.schema))
+    log = event_log.stage(lines, f"file://{tmp_path}")
+    kept = [spark.read.parquet(f"file://{x}") for x in tmp_path.iterdir()]
+    texts = [r.value for t in kept if "value" in t.columns for r in t.where("value is not null").select("value").collect()]
+    assert texts == [broken[-1]] and [r.detail for r in log.malformed.collect()] == texts
+    for name, told in vars(event_log.from_lines(lines)).items():
+        got = getattr(log, name)
+        assert got.columns == told.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, told.collect()))

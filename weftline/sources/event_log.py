@@ -7,7 +7,7 @@ large fleet read those, so that they scan only the kinds and columns they need.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,8 +130,16 @@ def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 1000)
 
 
 def _of_kind(lines: DataFrame, kind: str, schema: str) -> DataFrame:
-    # A malformed line parses to nulls; it then matches nothing and stops nothing.
-    return lines.where(F.col("kind") == kind).withColumn("e", F.from_json("value", schema))
+    # A malformed line parses to nulls; it then matches nothing and stops nothing. Staged lines have their event in a column of its kind.
+    return lines.where(F.col("kind") == kind).withColumn("e", F.col(kind) if kind in lines.columns else F.from_json("value", schema))
+
+
+def _locations() -> Column:
+    return F.regexp_extract_all("value", F.lit(_LOCATIONS), F.lit(1)).alias("locations")
+
+
+def _broken() -> Column:
+    return F.get_json_object("value", "$.Event").isNull()
 
 
 def _execution(lines: DataFrame, number: Column) -> Column:
@@ -141,8 +149,8 @@ def _execution(lines: DataFrame, number: Column) -> Column:
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
     """Lines of a known kind that are not JSON, for the bad-record table."""
-    broken = F.get_json_object("value", "$.Event").isNull()
-    return lines.where(broken).select("app_id", F.lit(None).cast("bigint").alias("execution_id"), F.lit("malformed event").alias("reason"), F.col("value").alias("detail"))
+    broken = lines.where("value is not null") if "locations" in lines.columns else lines.where(_broken())
+    return broken.select("app_id", F.lit(None).cast("bigint").alias("execution_id"), F.lit("malformed event").alias("reason"), F.col("value").alias("detail"))
 
 
 def applications(lines: DataFrame) -> DataFrame:
@@ -189,7 +197,7 @@ def started_executions(lines: DataFrame) -> DataFrame:
         F.timestamp_millis("e.time").alias("event_time"),
         F.col("e.description").alias("description"),
         F.col("e.physicalPlanDescription").alias("plan"),
-        F.regexp_extract_all("value", F.lit(_LOCATIONS), F.lit(1)).alias("locations"),
+        F.col("locations") if "locations" in lines.columns else _locations(),
     )
 
 
@@ -299,18 +307,29 @@ def from_lines(lines: DataFrame) -> EventLog:
     )
 
 
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Lines with their event in a column of its kind, null in lines of other kinds; the text stays in ``value`` where it is not JSON."""
+    kinds = {"sql_start": _START, "sql_end": _END, "progress": _PROGRESS, "catalog": _CATALOG, "ml": _ML, "app_start": _APP, "environment": _ENVIRONMENT}
+
+    def of(kind: str, value: Column) -> Column:
+        return F.when(F.col("kind") == kind, value)
+
+    events = [of(kind, F.from_json("value", schema)).alias(kind) for kind, schema in kinds.items()]
+    keys = [x for x in lines.columns if x != "value"]
+    return lines.select(*keys, *events, of("sql_start", _locations()).alias("locations"), F.when(_broken(), F.col("value")).alias("value"))
+
+
 def stage(lines: DataFrame, target: str) -> EventLog:
     """Write the event tables under ``target`` and return them as written.
 
-    The lines are split by kind first, so the whole text is read once.
+    One pass parses each line and writes one table for all kinds, with columns of their own, so that the text is neither sorted by kind nor
+    written and read again; a job reads the columns of the kind it uses.
     """
     spark = lines.sparkSession
-    lines.write.mode("overwrite").partitionBy("kind").parquet(f"{target}/lines")
-    split = from_lines(spark.read.schema(lines.schema).parquet(f"{target}/lines"))
-    for part in fields(EventLog):
-        getattr(split, part.name).write.mode("overwrite").parquet(f"{target}/{part.name}")
+    parsed_lines(lines).write.mode("overwrite").parquet(f"{target}/events")
+    applications(spark.read.parquet(f"{target}/events")).write.mode("overwrite").parquet(f"{target}/applications")
     return read_staged(spark, target)
 
 
 def read_staged(spark: SparkSession, target: str) -> EventLog:
-    return EventLog(*[spark.read.parquet(f"{target}/{part.name}") for part in fields(EventLog)])
+    return replace(from_lines(spark.read.parquet(f"{target}/events")), applications=spark.read.parquet(f"{target}/applications"))
