@@ -145,17 +145,18 @@ def identities(options: DataFrame, settings: JobSettings = JobSettings()) -> Dat
 def datasets(options: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
     """One row per dataset a connector reads or writes; ``nth`` is its place among those of its options."""
     keys = ["app_id", "execution_id", "direction", "connector"]
-    listed = identities(options, settings).select(*keys, F.posexplode("found").alias("nth", "dataset"))
+    # The outer form, because for the inner one Spark infers a filter on the array and would work it out again in it.
+    listed = identities(options, settings).select(*keys, F.posexplode_outer("found").alias("nth", "dataset"))
     return listed.select(*keys, "nth", "dataset.*").where("qualified_name is not null")
 
 
 def without_options(leaves: DataFrame, chosen: DataFrame, options: DataFrame) -> DataFrame:
     """Connector leaves of harvested statements that no options row speaks for, as bad records."""
-    reads = leaves.where("kind = 'connector'").join(chosen.select("app_id", "root_execution_id", "tag").distinct(), ["app_id", "root_execution_id", "tag"], "left_semi")
+    reads = leaves.where("kind = 'connector'").join(chosen.select("root_execution_id", "app_id", "tag").distinct(), ["root_execution_id", "app_id", "tag"], "left_semi")
     known = options.where("direction = 'input'").select("app_id", F.col("execution_id").alias("known_id")).distinct()
     read, given = reads.alias("r"), known.alias("k")
-    own = (F.col("r.app_id") == F.col("k.app_id")) & (F.col("r.execution_id") == F.col("k.known_id"))
-    root = (F.col("r.app_id") == F.col("k.app_id")) & (F.col("r.root_execution_id") == F.col("k.known_id"))
+    own = (F.col("r.execution_id") == F.col("k.known_id")) & (F.col("r.app_id") == F.col("k.app_id"))
+    root = (F.col("r.root_execution_id") == F.col("k.known_id")) & (F.col("r.app_id") == F.col("k.app_id"))
     bare = read.join(given, own, "left_anti").alias("r").join(given, root, "left_anti")
     return bare.select("app_id", "execution_id", F.lit("connector without options").alias("reason"), F.col("node").alias("detail"))
 
@@ -167,7 +168,7 @@ def unmatched_writers(chosen: DataFrame, options: DataFrame, settings: JobSettin
     command = F.col("command")
     writers = chosen.where(command.isin(pt.SAVE_SOURCE, "WriteToDataSourceV2")).select("app_id", "execution_id", "command_pos", "command", "arguments")
     named = datasets(options, settings).where("direction = 'output'").select("app_id", "execution_id").distinct()
-    bare = writers.join(named, ["app_id", "execution_id"], "left_anti")
+    bare = writers.join(named, ["execution_id", "app_id"], "left_anti")
     return bare.select("app_id", "execution_id", F.lit("unmatched writer").alias("reason"), F.concat_ws(" ", command, F.col("arguments")).alias("detail"))
 
 

@@ -686,7 +686,7 @@ def _log_file(app: Column) -> Column:
 def statement_options(spark: SparkSession, folder: str) -> DataFrame:
     """Connector options of the statements: what JDBC leaves read and what saves and V2 writes wrote."""
     k, c = F.col("k"), F.col("c")
-    rows = table(spark, folder, "orders", "o_orderkey", "o_custkey").select(
+    rows = spread(table(spark, folder, "orders", "o_orderkey", "o_custkey"), "o_orderkey").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c")
     )
     jdbc = options(url=F.lit("jdbc:mysql://h/Src"), dbtable=text("Tab<n>", n=c % 20))
@@ -706,7 +706,8 @@ def statement_options(spark: SparkSession, folder: str) -> DataFrame:
     listed = F.filter(
         F.array(F.when(c % 4 == 3, read), F.when(_kind() == 9, saved).when(_kind() == 11, v2)), lambda o: o.isNotNull()
     )
-    return rows.select(text("app-<n>", n=c % 20).alias("app_id"), k.alias("execution_id"), F.inline(listed))
+    found = rows.select(text("app-<n>", n=c % 20).alias("app_id"), k.alias("execution_id"), F.inline_outer(listed))
+    return found.where("connector is not null")
 
 
 def statement_catalog(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
