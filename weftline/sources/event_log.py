@@ -40,6 +40,7 @@ _LOCATIONS = r'"Location"\s*:\s*"(\w+\(\d+ paths?\)\[[^"]*\])"'
 
 _KINDS = {SQL_START: "sql_start", SQL_END: "sql_end", QUERY_PROGRESS: "progress", APP_START: "app_start", ENVIRONMENT: "environment"}
 LEADING = 200
+_UNREAD = "_unread"
 
 
 def kind_of(line: Column) -> Column:
@@ -226,10 +227,12 @@ def successful_executions(started: DataFrame, ended: DataFrame) -> DataFrame:
     ids = started.select("app_id", "execution_id", "root_execution_id")
     good = ended.where("not failed").select("app_id", "execution_id").distinct()
     roots = good.withColumnRenamed("execution_id", "root_execution_id")
-    kept = ids.join(good, ["app_id", "execution_id"], "left_semi").join(
-        roots, ["app_id", "root_execution_id"], "left_semi"
+    # The number first: sorts look at the first key first, and few applications have many executions.
+    kept = ids.join(good, ["execution_id", "app_id"], "left_semi").join(
+        roots, ["root_execution_id", "app_id"], "left_semi"
     )
-    return started.join(kept.select("app_id", "execution_id"), ["app_id", "execution_id"], "left_semi")
+    met = started.join(kept.select("app_id", "execution_id"), ["execution_id", "app_id"], "left_semi")
+    return met.select("app_id", "execution_id", *[x for x in started.columns if x not in ("app_id", "execution_id")])
 
 
 def batch_executions(started: DataFrame, ended: DataFrame) -> DataFrame:
@@ -314,9 +317,13 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
     def of(kind: str, value: Column) -> Column:
         return F.when(F.col("kind") == kind, value)
 
-    events = [of(kind, F.from_json("value", schema)).alias(kind) for kind, schema in kinds.items()]
+    # Only a line that did not parse to its schema may be broken, so only such a line is read a second time to tell.
+    events = [of(kind, F.from_json("value", f"{schema}, {_UNREAD} string", {"columnNameOfCorruptRecord": _UNREAD})).alias(kind) for kind, schema in kinds.items()]
     keys = [x for x in lines.columns if x != "value"]
-    return lines.select(*keys, *events, of("sql_start", _locations()).alias("locations"), F.when(_broken(), F.col("value")).alias("value"))
+    unread = F.coalesce(*[F.col(kind)[_UNREAD] for kind in kinds]).isNotNull()
+    read = lines.select(*keys, "value", *events)
+    plain = [F.col(kind).dropFields(_UNREAD).alias(kind) for kind in kinds]
+    return read.select(*keys, *plain, of("sql_start", _locations()).alias("locations"), F.when(unread, F.when(_broken(), F.col("value"))).alias("value"))
 
 
 def stage(lines: DataFrame, target: str) -> EventLog:
