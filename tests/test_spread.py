@@ -1,10 +1,14 @@
 """Rows that grow a hundredfold are dealt by their number, and log lines are written once."""
 
 import re
+from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
 from weftline.functions.values import once
+from weftline.operators import connectors
+from weftline.plans import statements
 from weftline.sources import event_log, standins
 
 
@@ -55,3 +59,39 @@ def test_staging_writes_the_text_of_broken_lines_only(spark, tmp_path):
         got = getattr(log, name)
         assert got.columns == told.columns
         assert sorted(map(repr, got.collect())) == sorted(map(repr, told.collect()))
+
+
+def test_options_of_one_row_group_are_dealt_out(spark):
+    # The table is one row group, so it is read by one task, and so would be the identities of its options.
+    found = standins.statement_options(spark, "/root/testdata/sf0.1")
+    held = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) >= 8 and max(r["count"] for r in held) < 2 * standins.ROWS_A_TASK
+
+
+def test_no_filter_works_out_identities_again(spark):
+    plan = connectors.datasets(standins.statement_options(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    filters = [x for x in plan.split("\n") if re.match(r"[\s:+-]*Filter ", x)]
+    assert filters and not any("jdbc" in x for x in filters)
+
+
+def test_a_statement_s_commands_are_chosen_once(spark):
+    plan = statements._edges(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(ordinal" in plan and "min(struct" not in plan
+
+
+def test_process_rows_parse_no_plans(spark):
+    statements._STAGED.clear()
+    statements.process_rows(spark, "/root/testdata/sf0.001")
+    place = urlparse(statements.stage(spark, "/root/testdata/sf0.001")).path
+    assert sorted(x.name for x in Path(place).iterdir()) == ["applications", "events"]
+
+
+def test_lines_that_do_not_fit_their_schema_but_are_json_are_not_malformed(spark):
+    head = '{"Event":"%s",' % event_log.SQL_END
+    texts = [head + x for x in ('"executionId":"x","time":1}', '"errorMessage":"a\tb"}', '"executionId":1} and more', '"executionId":1', "}", '"executionId":2,"time":3}')]
+    lines = spark.createDataFrame([("app-1", 1, i, "sql_end", t) for i, t in enumerate(texts)], "app_id string, run int, seq bigint, kind string, value string")
+    parsed = event_log.parsed_lines(lines)
+    told, got = event_log.from_lines(lines), event_log.from_lines(parsed)
+    for name in ("ended", "malformed"):
+        assert sorted(map(repr, getattr(got, name).collect())) == sorted(map(repr, getattr(told, name).collect()))
+    assert [r.detail for r in got.malformed.collect()] == [texts[3], texts[4]]

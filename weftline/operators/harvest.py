@@ -19,7 +19,8 @@ from weftline.functions.values import once
 from weftline.operators import connectors
 from weftline.settings import JobSettings
 
-STATEMENT = ["app_id", "root_execution_id", "tag"]
+# Numbers come first in the keys of joins and groups: few applications have many executions, and sorts look at the first key first.
+STATEMENT = ["root_execution_id", "app_id", "tag"]
 EDGE_KEYS = ["app_id", "execution_id", "query_id", "batch_id", "command_pos", "command"]
 STREAM_PRIORITY = 6
 NO_COMMAND = 9
@@ -150,7 +151,7 @@ def stream_sink_rows(known: DataFrame, progress: DataFrame) -> DataFrame:
         F.lit("all").alias("tag"),
         F.lit(True).alias("simple_shape"),
     )
-    return batches.join(sinks, ["app_id", "query_id", "batch_id"]).select(
+    return batches.join(sinks, ["batch_id", "query_id", "app_id"]).select(
         "app_id",
         "root_execution_id",
         "execution_id",
@@ -165,7 +166,7 @@ def chosen_commands(rows: DataFrame) -> DataFrame:
     """One row per command of the execution that speaks for its statement."""
     best = F.min(F.struct("priority", "execution_id", "query_id", "batch_id", "listed")).alias("best")
     return (
-        rows.groupBy("app_id", "root_execution_id")
+        rows.groupBy("root_execution_id", "app_id")
         .agg(best)
         .select(
             "app_id",
@@ -246,7 +247,8 @@ def command_targets(chosen: DataFrame) -> DataFrame:
     ways = F.when(command == pt.LOAD_DATA, F.array(way("output", pt.target(F.col("ident"), nothing)), loaded)).when(
         F.col("ident").isNotNull() | F.col("path").isNotNull(), F.array(written)
     )
-    return named.select(*EDGE_KEYS, F.inline(ways)).select(*EDGE_KEYS, "direction", "ordinal", "target.*")
+    # The outer form, as in ``leaf_rows``.
+    return named.select(*EDGE_KEYS, F.inline_outer(ways)).where("direction is not null").select(*EDGE_KEYS, "direction", "ordinal", "target.*")
 
 
 def identify(applications: DataFrame, targets: DataFrame, settings: JobSettings = JobSettings()) -> DataFrame:
@@ -294,7 +296,7 @@ def connector_edges(
         *EDGE_KEYS, F.col("execution_id").alias("options_execution_id"), F.lit("output").alias("direction"), F.lit(None).cast("string").alias("shown")
     )
     wanted = reading.select(*EDGE_KEYS, "options_execution_id", "direction", "shown").unionByName(writing)
-    met = wanted.join(found, ["app_id", "options_execution_id", "direction"])
+    met = wanted.join(found, ["options_execution_id", "app_id", "direction"])
     return met.where("shown is null or shown = connector").select(
         *EDGE_KEYS, "direction", "type_name", "qualified_name", (F.lit(1 << 62) + F.col("nth")).alias("ordinal")
     )
@@ -361,7 +363,11 @@ def process_edges(
 
     A directory insert without a location fails as a whole, so none of its inputs are kept.
     """
-    chosen, leaves = statements(known, progress)
+    return edges_of(*statements(known, progress), applications, options, settings)
+
+
+def edges_of(chosen: DataFrame, leaves: DataFrame, applications: DataFrame, options: DataFrame | None = None, settings: JobSettings = JobSettings()) -> DataFrame:
+    """The same from ``statements``, for jobs that wrote the commands: they are read several times, and each time chosen again if not written."""
     chosen = chosen.where(~_no_location())
     targets = input_targets(chosen, leaves, settings).unionByName(command_targets(chosen))
     columns = [*EDGE_KEYS, "direction", "type_name", "qualified_name"]

@@ -24,7 +24,8 @@ def clean_cycles(edges: DataFrame, keys: list[str] = EDGE_KEY) -> DataFrame:
     cyclic = sides.where("read and written").select(*keys).distinct().alias("cyclic")
     here = edges.alias("here")
     same = F.col("here.direction") == "output"
-    for key in keys:
+    # The application last: it tells least apart, and sorts look at the first key first.
+    for key in sorted(keys, key="app_id".__eq__):
         same = same & (F.col(f"here.{key}") == F.col(f"cyclic.{key}"))
     return here.join(cyclic, same, "left_anti")
 

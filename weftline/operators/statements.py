@@ -37,7 +37,8 @@ def mutations(edges: DataFrame) -> DataFrame:
 
     ``edges`` are cleaned. A dataset that several edges of a statement name is created once. Tables of a
     remote metastore are references: their process names them, but they are not created."""
-    datasets = edges.select(*STATEMENT, F.inline(_needed()))
+    # The outer form, because for the inner one Spark infers a filter on the array and would work it out again in it.
+    datasets = edges.select(*STATEMENT, F.inline_outer(_needed())).where("type_name is not null")
     process = edges.select(*STATEMENT, F.lit(names.SPARK_PROCESS).alias("type_name"), F.col("app_id").alias("qualified_name"))
     every = datasets.unionByName(process).distinct()
     return every.select(*STATEMENT, F.lit("create").alias("op"), "type_name", "qualified_name", entities.create_rank(F.col("type_name")).alias("create_rank"))
@@ -61,7 +62,7 @@ def process_entities(edges: DataFrame, executions: DataFrame, applications: Data
     sent = _in_parts(edges, settings)
     rows = lineage.processes(executions, applications, settings)
     created = lambda refs: F.filter(refs, lambda r: r["type_name"] != names.HIVE_TABLE)
-    return rows.join(sent, STATEMENT).select(
+    return rows.join(sent, STATEMENT[::-1]).select(
         *STATEMENT, F.lit(names.SPARK_PROCESS).alias("type_name"), "qualified_name", "name", "query_id", "batch_id", "curr_user", "remote_user",
         "details", "plan_description", "command_pos", "part", "inputs", "outputs",
         F.array_union(created(F.col("inputs")), created(F.col("outputs"))).alias("deps"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import definitions, harvest, mutations
 from weftline.plans import standin_sql as q
-from weftline.plans.statements import staged
+from weftline.plans.statements import commands_and_leaves, staged
 from weftline.settings import JobSettings, written
 from weftline.sources import event_log, standins
 
@@ -51,9 +51,9 @@ def _met(spark: SparkSession, folder: str) -> DataFrame:
     """References of statements with the definitions that held, written once per application."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _MET:
-        log, known = staged(spark, folder)
+        log, _ = staged(spark, folder)
         tables, dbs, events = standins.statement_catalog(spark, folder)
-        chosen, leaves = harvest.statements(known, log.progress)
+        chosen, leaves = commands_and_leaves(spark, folder)
         refs = definitions.references(chosen, leaves, event_log.statement_times(log.started, log.ended), SETTINGS)
         spans = definitions.intervals(tables, events, SETTINGS)
         _MET[key] = written(definitions.as_of(refs, spans, dbs, events, log.applications, SETTINGS), "met")
