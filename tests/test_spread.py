@@ -95,3 +95,15 @@ def test_lines_that_do_not_fit_their_schema_but_are_json_are_not_malformed(spark
     for name in ("ended", "malformed"):
         assert sorted(map(repr, getattr(got, name).collect())) == sorted(map(repr, getattr(told, name).collect()))
     assert [r.detail for r in got.malformed.collect()] == [texts[3], texts[4]]
+
+
+def test_the_first_look_at_a_line_is_compiled(spark):
+    kind = spark.createDataFrame([("x",)], "value string").select(event_log.kind_of(F.col("value")))
+    assert "try_element_at(map(" in kind._jdf.queryExecution().analyzed().toString().split("transform(")[0].lower()
+
+
+def test_log_files_of_all_names(spark):
+    names = ["hdfs://nn/l/app-1", "l/eventlog_v2_app-1/events_12_app-1.zstd", "l/application_1_2_3.inprogress", "l/events_x_app.a.compact", "l/events_2_application_1_2.lz4.compact", "application_1_2", ""]
+    app, number = event_log.file_app_and_number(F.col("f"))
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(names)], "i int, f string").orderBy("i").select(app, number, event_log.file_run(F.col("f"))).collect()
+    assert [tuple(r) for r in rows] == [("app-1", 1, 1), ("app-1", 12, 1), ("application_1_2", 1, 3), ("events_x_app.a", 1, 1), ("application_1_2", 2, 1), ("application_1_2", 1, 1), ("", 1, 1)]

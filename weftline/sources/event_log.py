@@ -55,7 +55,8 @@ def kind_of(line: Column) -> Column:
         return F.coalesce(F.try_element_at(exact, event), grouped)
 
     event = once(leading, lambda x: F.when(x != "", x).otherwise(F.get_json_object(line, "$.Event")))
-    return once(event, kind)
+    # Most lines of the kinds used end at the first look, which is compiled; the second is not.
+    return F.when(line.isNotNull(), F.coalesce(F.try_element_at(exact, leading), once(event, kind)))
 
 
 # An application that is started again counts its executions from 0 again. Its runs are told apart by what they add to
@@ -76,22 +77,29 @@ def run_of(execution_id: Column) -> tuple[Column, Column]:
 def file_run(path: Column) -> Column:
     """The run whose log a file is: on YARN the attempt after the application's id, else the first."""
     attempt = F.regexp_extract(path, r"application_\d+_\d+_(\d+)(\.[a-z0-9.]+)?$", 1)
-    return F.when(F.length(attempt) > 0, attempt.cast("int")).otherwise(1)
+    return F.when(path.contains("application_"), F.coalesce(F.nullif(attempt, F.lit("")).cast("int"), F.lit(1))).otherwise(1)
 
 
 def file_app_and_number(path: Column) -> tuple[Column, Column]:
     """Application and number of a log file. A rolled file is named ``events_<n>_<app>``, a single-file log by its
     application; on YARN an attempt follows the id, see ``file_run``; compaction and compression add endings."""
-    file_name = F.regexp_extract(path, r"([^/]+)$", 1)
-    number = F.regexp_extract(file_name, r"^events_(\d+)_", 1)
-    bare = F.regexp_replace(F.regexp_replace(file_name, r"^events_\d+_", ""), r"(\.(compact|inprogress|lz4|lzf|zstd|snappy))+$", "")
-    app = F.regexp_replace(bare, r"^(application_\d+_\d+)_\d+$", "$1")
-    return app, F.when(F.length(number) > 0, number.cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+    # A pattern is tried only where it can match: this runs for every line.
+    file_name = _file_name(path)
+    rolled = file_name.startswith("events_")
+    number = F.when(rolled, F.nullif(F.regexp_extract(file_name, r"^events_(\d+)_", 1), F.lit("")).cast("bigint"))
+    whole = F.when(rolled, F.regexp_replace(file_name, r"^events_\d+_", "")).otherwise(file_name)
+    bare = F.when(file_name.contains("."), F.regexp_replace(whole, r"(\.(compact|inprogress|lz4|lzf|zstd|snappy))+$", "")).otherwise(whole)
+    app = F.when(file_name.contains("application_"), F.regexp_replace(bare, r"^(application_\d+_\d+)_\d+$", "$1")).otherwise(bare)
+    return app, F.coalesce(number, F.lit(1).cast("bigint"))
+
+
+def _file_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
 
 
 def _is_log(path: Column) -> Column:
     """Not the marker of an application's state, which lies beside its rolled files."""
-    return ~F.regexp_extract(path, r"([^/]+)$", 1).startswith("appstatus_")
+    return ~_file_name(path).startswith("appstatus_")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
