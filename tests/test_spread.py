@@ -6,8 +6,9 @@ from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
+from weftline.functions import plan_text as pt
 from weftline.functions.values import once
-from weftline.operators import connectors
+from weftline.operators import connectors, harvest
 from weftline.plans import statements
 from weftline.sources import event_log, standins
 
@@ -107,3 +108,42 @@ def test_log_files_of_all_names(spark):
     app, number = event_log.file_app_and_number(F.col("f"))
     rows = spark.createDataFrame([(i, x) for i, x in enumerate(names)], "i int, f string").orderBy("i").select(app, number, event_log.file_run(F.col("f"))).collect()
     assert [tuple(r) for r in rows] == [("app-1", 1, 1), ("app-1", 12, 1), ("application_1_2", 1, 3), ("events_x_app.a", 1, 1), ("application_1_2", 2, 1), ("application_1_2", 1, 1), ("", 1, 1)]
+
+
+def _rows_of_facts(spark, query, name):
+    statements._STAGED.clear()
+    statements.QUERIES[query][0](spark, "/root/testdata/sf0.001")
+    place = statements.stage(spark, "/root/testdata/sf0.001")
+    made = {x.name for x in Path(urlparse(place).path).iterdir()}
+    return made, spark.read.parquet(f"{place}/{name}").count()
+
+
+def test_a_query_for_one_command_parses_the_plans_that_name_it(spark):
+    made, parsed = _rows_of_facts(spark, "harvest_dir", "naming-InsertIntoHiveDirCommand")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert "started_facts" not in made and parsed == orders.where("o_orderkey % 16 = 7").count()
+
+
+def _plan(command):
+    return f"== Physical Plan ==\nExecute {command} (2)\n+- Scan parquet c.d.t (1)\n\n\n(1) Scan parquet c.d.t\nLocation: X [file:/a]\n\n(2) Execute {command}\nArguments: `c`.`d`.`{command}`, x\n\n"
+
+
+def test_a_statement_is_whole_where_any_of_its_executions_names_the_command(spark):
+    load, insert, ctas, view = "LoadDataCommand", "InsertIntoHiveTable", "CreateDataSourceTableAsSelectCommand", "CreateViewCommand"
+    other = "== Physical Plan ==\nScan parquet c.d.u (1)\n\n\n(1) Scan parquet c.d.u\nLocation: X [file:/b]\n\n"
+    # By root and execution: a nested one outranks the root, the root alone has no command, two nested ones beside each other, unrelated ones.
+    plans = [(1, 1, load), (1, 2, ctas), (3, 3, None), (3, 4, load), (5, 5, insert), (5, 6, load), (5, 7, None), (8, 8, view), (8, 9, None), (10, 10, load), (10, 11, None), (12, 12, insert)]
+    rows = [("a", root, number, None, None, _plan(name) if name else other) for root, number, name in plans] + [("a", 13, 13, None, None, None)]
+    started = spark.createDataFrame(rows, "app_id string, root_execution_id long, execution_id long, query_id string, batch_id long, plan string")
+
+    def told(known):
+        chosen, leaves = harvest.statements(known)
+        chosen = chosen.where(F.col("command") == load)
+        read = leaves.join(chosen.select("root_execution_id", "app_id"), ["root_execution_id", "app_id"], "left_semi")
+        return sorted(map(repr, chosen.collect())), sorted(map(repr, read.select("execution_id", "leaf_pos", "node").collect()))
+
+    named = pt.may_have(F.col("plan"), [load])
+    first = harvest.facts(started.where(named))
+    rest = harvest.facts(harvest.beside(started.where(~named), first, [load]))
+    assert told(first.unionByName(rest)) == told(harvest.facts(started))
+    assert sorted(r.execution_id for r in rest.collect()) == [2, 3, 5, 7, 11]

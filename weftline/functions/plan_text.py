@@ -120,6 +120,20 @@ def command_of(node: Column) -> Column:
     return F.when(node.startswith(_EXECUTE), once(F.substring_index(bare, " ", 1), known)).when(node.isin(*V2_WRITES), F.lit("WriteToDataSourceV2"))
 
 
+def may_have(plan: Column, wanted: list[str]) -> Column:
+    """Whether the text of a plan can hold one of the ``wanted`` commands, told without parsing it; see ``command_of``."""
+    shown = [x for name in wanted for x in (V2_WRITES if name == V2_WRITES[0] else [_EXECUTE + name])]
+    found = F.lit(False)
+    for text in shown:
+        found = found | plan.contains(text)
+    return F.coalesce(found, F.lit(False))
+
+
+def may_be_cut(plan: Column) -> Column:
+    """Whether the text of a plan can hold a cut list of paths; see ``more_paths``."""
+    return F.coalesce(plan.contains("Location: ") & plan.contains(", ... "), F.lit(False))
+
+
 def commands(nodes: Column) -> Column:
     """Commands of a plan with the detail text that holds their arguments and the end of their subtree."""
     picked = F.filter(nodes, lambda n: command_of(n["node"]).isNotNull())

@@ -136,6 +136,23 @@ def facts(executions: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def beside(others: DataFrame, known: DataFrame, wanted: list[str]) -> DataFrame:
+    """Those of ``others`` that belong to a statement which has one of the ``wanted`` commands in ``known``, the facts of the executions whose
+    plan names one.
+
+    Which execution speaks for a statement, and what the statement reads, is told by all its executions, so these must be parsed too. Beside a
+    root only nested executions can be others; roots are others only where a nested execution has the command, so that mostly no root's text
+    is shuffled."""
+    keys = ["root_execution_id", "app_id"]
+    nested = F.col("execution_id") != F.col("root_execution_id")
+    having = known.where(F.exists("listed", lambda c: c["command"].isin(*wanted))).select(*keys, nested.alias("inner"))
+    found = others.where(nested).join(having.select(*keys).distinct(), keys, "left_semi")
+    inner = having.where("inner").select(*keys).distinct()
+    if not inner.isEmpty():
+        found = found.unionByName(others.where(~nested).join(inner, keys, "left_semi"))
+    return found.select(*others.columns)
+
+
 def stream_sink_rows(known: DataFrame, progress: DataFrame) -> DataFrame:
     """The same rows for finished micro-batches: the progress record names the sink.
 
