@@ -154,3 +154,11 @@ def test_a_statement_is_whole_where_any_of_its_executions_names_the_command(spar
     rest = harvest.facts(harvest.beside(started.where(~named), first, [load]))
     assert told(first.unionByName(rest)) == told(harvest.facts(started))
     assert sorted(r.execution_id for r in rest.collect()) == [2, 3, 5, 7, 11]
+
+
+def test_the_success_test_groups_nothing_and_doubles_nothing(spark):
+    started = spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("a", 3, 3), ("a", 4, 3), ("b", 1, 1)], "app_id string, execution_id long, root_execution_id long")
+    ended = spark.createDataFrame([("a", 1, False), ("a", 1, False), ("a", 2, False), ("a", 3, True), ("a", 4, False)], "app_id string, execution_id long, failed boolean")
+    good = event_log.successful_executions(started, ended)
+    assert "Aggregate" not in good._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.app_id, r.execution_id) for r in good.collect()) == [("a", 1), ("a", 2)]

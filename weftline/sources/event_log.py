@@ -233,7 +233,8 @@ def successful_executions(started: DataFrame, ended: DataFrame) -> DataFrame:
     table with the ids of executions. Give it the facts of plans, not their text, which would be shuffled.
     """
     ids = started.select("app_id", "execution_id", "root_execution_id")
-    good = ended.where("not failed").select("app_id", "execution_id").distinct()
+    # Not made distinct: for semi joins it need not be, and it would be shuffled by one order of its keys more.
+    good = ended.where("not failed").select("app_id", "execution_id")
     roots = good.withColumnRenamed("execution_id", "root_execution_id")
     # The number first: sorts look at the first key first, and few applications have many executions.
     kept = ids.join(good, ["execution_id", "app_id"], "left_semi").join(
